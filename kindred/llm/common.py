@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -66,3 +68,35 @@ def prefix_offsets(counts: DataFrame, order: str, n: str, out: str) -> DataFrame
     """Adds the sum of n over all rows before; for tables of one row a file or shard."""
     w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumn(out, F.coalesce(F.sum(n).over(w), F.lit(0)).cast("long"))
+
+
+def append_columns(
+    df: DataFrame, text: str, make: Callable[[], Callable[[list], list[pa.Array]]], added: list[tuple[str, str]]
+) -> DataFrame:
+    """df with columns computed from one text column, batch by batch; columns of these names are replaced.
+
+    make() is called once in each task and gives a function from a list of texts to one Arrow array a column.
+    """
+    base = df.drop(*[n for n, _ in added])
+    named = ", ".join(f"`{n}` {t}" for n, t in base.dtypes + added)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = None
+        for batch in batches:
+            function = function or make()
+            columns = function(batch.column(batch.schema.get_field_index(text)).to_pylist())
+            names = [*batch.schema.names, *(n for n, _ in added)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=names)
+
+    return base.mapInArrow(run, named)
+
+
+def hash_sample(ids: DataFrame, key: str, by: str, rows: int, seed: int) -> DataFrame:
+    """For each value of `by` the greatest hash of `key` among the `rows` least: by, _bar. A sample that reruns agree on."""
+    w = Window.partitionBy(by).orderBy("_h")
+    ranked = ids.select(by, sample_hash(key, seed).alias("_h")).withColumn("_rn", F.row_number().over(w))
+    return ranked.filter(F.col("_rn") <= rows).groupBy(by).agg(F.max("_h").alias("_bar"))
+
+
+def sample_hash(key: str, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), F.col(key))

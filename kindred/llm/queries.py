@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import common, mixing, packing, urls, warc, wavelet
+from kindred.llm import common, langid, mixing, packing, toxicity, urls, warc, wavelet
 
 TOKENIZER = "byte_bpe_50k.json"
 URL_RULES = [
@@ -23,6 +23,13 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read_table(spark, sf_dir, "documents")
+    profiles = langid.fit(docs.filter(~common.held_out()))
+    found = langid.predict(docs.select("doc_id", "text"), profiles)
+    return found.select("doc_id", common.held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.archive_pages(common.read_table(spark, sf_dir, "pages")).filter("record_type <> 'gap'")
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -45,6 +52,19 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    docs, labels = (common.read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return toxicity.fit(docs, labels.filter(~common.held_out()))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, sf_dir))
+    predicted = (F.col("toxicity") >= toxicity.THRESHOLD).cast("int")
+    held = common.held_out().alias("held_out")
+    return scored.select("doc_id", held, F.col("toxicity").alias("score"), predicted.alias("predicted"))
+
+
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read_table(spark, sf_dir, "documents")
     manifest = wavelet.write_shards(docs, common.scratch_path(spark, "wavelet"), tokenizer_path())
@@ -53,10 +73,12 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op3_warc": op3_warc,
     "op4_mix_sources": op4_mix_sources,
     "op5_packing": op5_packing,
     "op8_url_filter": op8_url_filter,
+    "op9_toxicity": op9_toxicity,
     "op10_token_ids": op10_token_ids,
 }
 ORACLE_SQL: dict[str, str] = {}
