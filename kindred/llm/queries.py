@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import common, langid, mixing, packing, toxicity, urls, warc, wavelet
+from kindred.llm import ann, common, embed_dedup, langid, mixing, packing, toxicity, urls, warc, wavelet
 
 TOKENIZER = "byte_bpe_50k.json"
 URL_RULES = [
@@ -30,6 +30,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", common.held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op2_embedding_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.dedup(common.read_table(spark, sf_dir, "embeddings"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.archive_pages(common.read_table(spark, sf_dir, "pages")).filter("record_type <> 'gap'")
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -47,6 +51,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = common.read_table(spark, sf_dir, "embeddings")
+    return ann.nearest(rows, rows.filter(F.col("vec_id") % 20 == 0))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.judge(common.read_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -74,9 +83,11 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_embedding_near_dups": op2_embedding_near_dups,
     "op3_warc": op3_warc,
     "op4_mix_sources": op4_mix_sources,
     "op5_packing": op5_packing,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_url_filter": op8_url_filter,
     "op9_toxicity": op9_toxicity,
     "op10_token_ids": op10_token_ids,
