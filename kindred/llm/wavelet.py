@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from kindred.llm import common, storage, tokens
 
 MAGIC = b"KWM1"
-BLOCK = 1 << 19
+BLOCK = 1 << 18
 STEP = 512
 #: Of zstd; planes of ids are half random, stronger levels gain little.
 LEVEL = 1
@@ -76,11 +76,11 @@ class WaveletMatrix:
         v = values.astype(np.uint16 if levels <= 16 else np.uint32)
         planes, zeros = [], []
         for level in range(levels):
-            bit = (v & v.dtype.type(1 << (levels - 1 - level))).astype(bool)
+            bit = ((v >> v.dtype.type(levels - 1 - level)).astype(np.uint8) & 1).view(bool)
             planes.append(Bits(np.packbits(bit), len(v)))
-            low = v[~bit]
+            low = np.compress(~bit, v)
             zeros.append(len(low))
-            v = np.concatenate([low, v[bit]])
+            v = np.concatenate([low, np.compress(bit, v)])
         return cls(planes, zeros, len(values))
 
     def decode(self) -> np.ndarray:
@@ -90,8 +90,8 @@ class WaveletMatrix:
         for level in reversed(range(levels)):
             bit, z = self.planes[level].all(), self.zeros[level]
             up = np.empty_like(v)
-            up[~bit] = v[:z]
-            up[bit] = v[z:] | v.dtype.type(1 << (levels - 1 - level))
+            up[np.flatnonzero(~bit)] = v[:z]
+            up[np.flatnonzero(bit)] = v[z:] | v.dtype.type(1 << (levels - 1 - level))
             v = up
         return v
 
