@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import ann, common, embed_dedup, langid, mixing, packing, toxicity, urls, warc, wavelet
+from kindred.llm import ann, common, embed_dedup, langid, mixing, ngram_join, packing, toxicity, urls, warc, wavelet
 
 TOKENIZER = "byte_bpe_50k.json"
 URL_RULES = [
@@ -51,6 +51,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_documents(common.read_table(spark, sf_dir, "documents"))
+
+
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = common.read_table(spark, sf_dir, "embeddings")
     return ann.nearest(rows, rows.filter(F.col("vec_id") % 20 == 0))
@@ -87,6 +91,7 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op4_mix_sources": op4_mix_sources,
     "op5_packing": op5_packing,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_url_filter": op8_url_filter,
     "op9_toxicity": op9_toxicity,
