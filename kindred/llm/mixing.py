@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from kindred.llm import common
 
 WORD = "[^\\x20\\x09-\\x0D]+"
-BUCKET = 20_000
+BUCKET = 4_000
 SEED = 20_011
 
 
