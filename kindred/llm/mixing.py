@@ -61,7 +61,16 @@ def source_targets(sizes: DataFrame, weights: list[float], share: float, epochs:
     return rows.select("source", "source_size", "n_docs", target.alias("target"))
 
 
-def mix(
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """Words taken of each row: doc_id, source, size, source_size, target, taken; options as _mixed has them.
+
+    docs: doc_id, source, text; other columns are ignored. A null text has size 0 and takes 0; null is a source of its
+    own. Repeated rows count each: they share a key, and which of two equal rows is cut makes no difference.
+    """
+    return _mixed(docs, **options).drop("_tie")
+
+
+def _mixed(
     docs: DataFrame,
     weights: list[float] = (3.0, 1.0, 2.0),
     share: float = 1.5,
@@ -70,11 +79,7 @@ def mix(
     size: Column | None = None,
     weight: Column | None = None,
 ) -> DataFrame:
-    """Words taken of each row: doc_id, source, size, source_size, target, taken.
-
-    docs: doc_id, source, text; other columns are ignored. A null text has size 0 and takes 0; null is a source of its
-    own. Repeated rows count each: they share a key, and which of two equal rows is cut makes no difference.
-    """
+    """mix, and a hash of each row's text as _tie."""
     size = n_words(F.col("text")) if size is None else size
     base = docs.select("doc_id", "source", "text").withColumn("size", size)
     weight = quality(F.col("text"), F.col("size")) if weight is None else weight
@@ -101,5 +106,34 @@ def mix(
     within = Window.partitionBy("source", "_bucket").orderBy("_key", "doc_id", "_tie")
     ahead = F.coalesce(F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("_rest") - F.col("_at") - ahead))
-    taken = F.col("_epochs") * F.col("size") + part
-    return placed.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    taken = (F.col("_epochs") * F.col("size") + part).cast("long").alias("taken")
+    return placed.select("doc_id", "source", "size", "source_size", "target", taken, "_tie")
+
+
+def apply_mix(docs: DataFrame, **options) -> DataFrame:
+    """docs as often as the mix takes them, same columns: a row taken 1.4 times is there whole, and cut to 0.4.
+
+    A cut text keeps its first words, parted by single spaces, and n_chars (if there is one) follows it. A row of which
+    nothing is taken goes. Rows that repeat id, source and text are written as copies of one of them.
+    """
+    key = ["doc_id", "source", "_tie"]
+    totals = _mixed(docs, **options).groupBy(*key).agg(
+        F.sum("taken").alias("_taken"), F.max("size").alias("_size"), F.count("*").alias("_rows")
+    )
+    totals = totals.filter("_taken > 0").select(*[F.col(c).alias(f"{c}_") for c in key], "_taken", "_size", "_rows")
+    rows = docs.withColumn("_tie", F.xxhash64("text"))
+    same = F.lit(True)
+    for c in key:
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}_"))
+    rows = rows.join(totals, same)
+    rows = rows.filter("_rows = 1").union(rows.filter("_rows > 1").dropDuplicates(key))
+    whole, rest = F.expr("_taken div _size"), F.col("_taken") % F.col("_size")
+    rows = rows.withColumn("_rest", rest).withColumn("_whole", whole)
+    rows = rows.withColumn("_copy", F.explode(F.expr("sequence(1L, _whole + if(_rest > 0, 1L, 0L))")))
+    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("_rest").cast("int")), " ")
+    is_cut = F.col("_copy") > F.col("_whole")
+    rows = rows.withColumn("text", F.when(is_cut, cut).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(dict(docs.dtypes)["n_chars"])
+        rows = rows.withColumn("n_chars", F.when(is_cut, length).otherwise(F.col("n_chars")))
+    return rows.select(*docs.columns)

@@ -29,6 +29,8 @@ from kindred.llm import common, components, shingles
 
 THRESHOLD = Fraction(90, 100)
 WORDS = 3
+#: Of near-duplicate stages: five words, four fifths.
+STAGE_THRESHOLD, STAGE_WORDS = Fraction(80, 100), 5
 BAND = 1.2
 WORD_BITS = 128
 SHORT_BITS = 1024
@@ -292,3 +294,21 @@ def join_documents(docs: DataFrame, t: Fraction = THRESHOLD, words: int = WORDS)
     return found.select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def keep_one(docs: DataFrame, t: Fraction = THRESHOLD, words: int = WORDS) -> DataFrame:
+    """docs with one row of each component: of the rows whose doc_id is the component_id, one with the least text hash.
+
+    Rows whose sets are empty are linked with nothing and stay, as do rows with a null id, whose components no id names.
+    """
+    joined = join_documents(docs, t, words).filter("n_shingles > 0 and doc_id = component_id")
+    heads = joined.select(F.col("doc_id").alias("_head")).distinct()
+    named = F.col("doc_id").cast("long")
+    least = docs.groupBy(named.alias("_id")).agg(F.min(F.xxhash64("text")).alias("_least"), F.count("*").alias("_rows"))
+    none = ~F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
+    rows = docs.join(heads, named == F.col("_head"), "left").join(least, named == F.col("_id"), "left")
+    chosen = F.col("_head").isNotNull() & (F.xxhash64("text") == F.col("_least"))
+    kept = rows.filter(named.isNull() | none | chosen)
+    single = kept.filter(named.isNull() | none | (F.col("_rows") == 1)).select(*docs.columns)
+    repeated = kept.filter(named.isNotNull() & ~none & (F.col("_rows") > 1)).select(*docs.columns)
+    return single.union(repeated.dropDuplicates(["doc_id"]))

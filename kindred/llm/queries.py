@@ -23,10 +23,14 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def language_profiles(docs: DataFrame) -> langid.Profiles:
+    """Fitted on documents that are not held out."""
+    return langid.fit(docs.filter(~common.held_out()))
+
+
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read_table(spark, sf_dir, "documents")
-    profiles = langid.fit(docs.filter(~common.held_out()))
-    found = langid.predict(docs.select("doc_id", "text"), profiles)
+    found = langid.predict(docs.select("doc_id", "text"), language_profiles(docs))
     return found.select("doc_id", common.held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
@@ -44,13 +48,17 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.read_table(spark, sf_dir, "documents")
+def packed_digest(docs: DataFrame) -> DataFrame:
+    """The packing of docs, with a checksum of each piece's ids in their place."""
     pieces = packing.cut(docs, tokenizer_path()).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     packed = packing.assign(common.materialize(pieces, "pieces"))
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_digest(common.read_table(spark, sf_dir, "documents"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_documents(common.read_table(spark, sf_dir, "documents"))
 
