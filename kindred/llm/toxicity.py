@@ -11,7 +11,7 @@ It is fitted on at most `sample` labelled documents a class, those with the leas
 from __future__ import annotations
 
 import math
-import re
+import string
 import zlib
 from collections import Counter
 from dataclasses import dataclass
@@ -30,33 +30,48 @@ EPOCHS = 10
 #: A bucket that fewer documents of the sample have keeps no embedding, so no document is learned by heart.
 LEAST_DOCS = 5
 #: By which share a step draws the embeddings it touches towards 0.
-DECAY = 1e-3
+DECAY = 5e-4
 THRESHOLD = 0.7
 #: Means of some hundred words are small numbers; the softmax reads them this many times enlarged.
 SCALE = 30.0
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-EDGES = re.compile(r"^[^\w]+|[^\w]+$")
-CACHE_WORDS = 500_000
+#: Stripped from the ends of a word.
+MARKS = string.punctuation + "«»“”„‘’‚…–—¿¡"
+CACHE_WORDS = 900_000
 
 
 def subwords(word: str) -> list[int]:
     """Buckets of a word: itself and its n-grams of 3 to 5 characters, its ends marked."""
-    core = EDGES.sub("", word.lower()) or word
+    core = word.lower().strip(MARKS) or word
     marked = f"<{core[:64]}>"
-    grams = {marked[i : i + n] for n in (3, 4, 5) for i in range(len(marked) - n + 1)} | {f"<<{core}>>"}
-    return sorted({zlib.crc32(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in grams})
+    n = len(marked)
+    if marked.isascii():
+        raw = marked.encode()
+        grams = [raw[i : i + k] for k in (3, 4, 5) for i in range(n - k + 1)]
+    else:
+        grams = [marked[i : i + k].encode("utf-8", "surrogatepass") for k in (3, 4, 5) for i in range(n - k + 1)]
+    grams.append(f"<<{core}>>".encode("utf-8", "surrogatepass"))
+    return [zlib.crc32(g) % BUCKETS for g in grams]
 
 
-def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+class Subwords(dict):
+    """Remembers the buckets of words."""
+
+    def __missing__(self, word: str) -> list[int]:
+        self[word] = out = subwords(word)
+        return out
+
+
+def features(text: str | None, known: Subwords) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and their weights in its mean."""
-    counts = Counter(WORD.findall(text or ""))
+    counts = Counter((text or "").split())
     n = sum(counts.values())
-    weights: dict[int, float] = {}
+    ids, weights = [], []
     for word, c in counts.items():
-        ids = subwords(word)
-        for i in ids:
-            weights[i] = weights.get(i, 0.0) + c / (n * len(ids))
-    return np.fromiter(weights, np.int64, len(weights)), np.fromiter(weights.values(), np.float32, len(weights))
+        own = known[word]
+        ids += own
+        weights += [c / (n * len(own))] * len(own)
+    buckets, at = np.unique(np.array(ids, np.int64), return_inverse=True)
+    return buckets, np.bincount(at, weights, len(buckets)).astype(np.float32)
 
 
 @dataclass
@@ -85,12 +100,12 @@ class Scorer(dict):
         return out
 
     def score(self, text: str | None) -> float:
-        words = WORD.findall(text) if text else ()
+        words = text.split() if text else ()
         logit = self.bias + (sum(map(self.__getitem__, words)) / len(words) if words else 0.0)
         return 1 / (1 + math.exp(-logit)) if logit > -700 else 0.0
 
 
-def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, rate: float = 0.1, seed: int = 9) -> Model:
+def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, rate: float = 0.2, seed: int = 9) -> Model:
     """Joint training, one document a step; with no labels of one class the model is the share of the other."""
     positive = sum(labels)
     if not 0 < positive < len(labels):
@@ -100,7 +115,8 @@ def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, rate
     embedding = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     softmax, bias = rng.normal(0, 0.3, (2, DIM)).astype(np.float32), np.zeros(2, np.float32)
     seen, seen_softmax, seen_bias = np.full(BUCKETS, 1e-6, np.float32), np.full((2, DIM), 1e-6), np.full(2, 1e-6)
-    bags = [features(t) for t in texts]
+    known = Subwords()
+    bags = [features(t, known) for t in texts]
     frequent = np.bincount(np.concatenate([ids for ids, _ in bags]), minlength=BUCKETS) >= LEAST_DOCS
     bags = [(ids[frequent[ids]], w[frequent[ids]]) for ids, w in bags]
     embedding[~frequent] = 0
