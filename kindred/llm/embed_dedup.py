@@ -26,7 +26,7 @@ THRESHOLD = 0.95
 WINDOW = 32
 RECALL = 0.999
 BITS = 48
-SORT_BLOCK, COUNT_BLOCK = 4096, 1024
+SORT_BLOCK, COUNT_BLOCK = 4096, 256
 
 
 def passes_for(n: int, threshold: float = THRESHOLD, window: int = WINDOW, recall: float = RECALL) -> int:
@@ -81,11 +81,10 @@ def connecting_edges(classes: DataFrame, d: int, threshold: float, window: int,
                 continue
             x = vectors.unit(vectors.matrix(batch.column(1).to_pylist(), d))
             keys = ((x @ planes) > 0).reshape(len(x), passes, BITS) @ weights
-            vec = pa.array([r.tobytes() for r in x], pa.binary())
             for p in range(passes):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([p] * len(x), pa.int32()), pa.array(keys[:, p]), batch.column(0), vec],
-                    names=["pass", "hash", "rep", "vec"],
+                    [pa.array([p] * len(x), pa.int32()), pa.array(keys[:, p]), batch.column(0)],
+                    names=["pass", "hash", "rep"],
                 )
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,22 +95,24 @@ def connecting_edges(classes: DataFrame, d: int, threshold: float, window: int,
             at += n
             yield pa.RecordBatch.from_arrays([*cols, *batch.columns], names=["part", "i", *batch.schema.names])
 
-    keyed = classes.select("rep", "vec").mapInArrow(hashed, "pass int, hash long, rep long, vec binary")
+    # Ranks are taken of narrow rows; vectors travel once, to the blocks where they are compared.
+    keyed = classes.select("rep", "vec").mapInArrow(hashed, "pass int, hash long, rep long")
     order = ("pass", "hash", "rep")
-    ordered = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("pass", "rep", "vec")
-    ordered = ordered.mapInArrow(numbered, "part int, i long, pass int, rep long, vec binary")
-    ordered = common.materialize(ordered, "sorted")
+    ordered = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("pass", "rep")
+    ordered = common.materialize(ordered.mapInArrow(numbered, "part int, i long, pass int, rep long"), "sorted")
     sizes = ordered.groupBy("part").agg(F.count("*").alias("n"))
     base = common.prefix_offsets(sizes, "part", "n", "base").select("part", "base")
     ranked = ordered.join(base, "part").withColumn("rank", F.col("base") + F.col("i"))
     block = F.expr(f"rank div {SORT_BLOCK}")
     with_next = F.when((F.col("rank") % SORT_BLOCK < window) & (block > 0), F.array(block, block - 1)).otherwise(F.array(block))
-    dealt = ranked.select("rank", "pass", "rep", "vec", F.explode(with_next).alias("block"))
+    dealt = ranked.select("rank", "pass", "rep", F.explode(with_next).alias("block"))
+    dealt = dealt.join(classes.select("rep", "vec"), "rep").select("block", "rank", "pass", "rep", "vec")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("rank")
         reps = group["rep"].to_numpy()
-        label = window_links(vectors.matrix(group["vec"], d), group["pass"].to_numpy(), threshold, window)
+        x = vectors.unit(vectors.matrix(group["vec"], d))
+        label = window_links(x, group["pass"].to_numpy(), threshold, window)
         other = label != np.arange(len(label))
         return pd.DataFrame({"u": reps[other], "v": reps[label[other]]})
 

@@ -18,7 +18,8 @@ def dimension(vectors: DataFrame, column: str = "embedding") -> int:
 
 
 def packed(vectors: DataFrame, id_col: str, column: str = "embedding") -> tuple[DataFrame, int]:
-    """Rows that take part, as (id_col, vec: float64 bytes), and the dimension.
+    """Rows that take part, as (id_col, vec: bytes of 32-bit floats, or of 64-bit ones where a component needs them),
+    and the dimension.
 
     Left out are null ids and vectors that are null, zero, of another length than most, or hold a component that is
     null or not finite.
@@ -34,8 +35,11 @@ def packed(vectors: DataFrame, id_col: str, column: str = "embedding") -> tuple[
             flat = lists.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             matrix = flat.reshape(len(at), d)
             good = np.isfinite(matrix).all(1) & (matrix != 0).any(1)
-            at, matrix = at[good], np.ascontiguousarray(matrix[good])
-            bytes_ = [row.tobytes() for row in matrix]
+            at, matrix = at[good], matrix[good] + 0.0  # no -0
+            with np.errstate(over="ignore"):
+                short = matrix.astype(np.float32)
+            exact = (short == matrix).all(1)
+            bytes_ = [(s if e else m).tobytes() for s, m, e in zip(short, matrix, exact, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(at)), pa.array(bytes_, pa.binary())], names=[id_col, "vec"]
             )
@@ -47,8 +51,11 @@ def packed(vectors: DataFrame, id_col: str, column: str = "embedding") -> tuple[
 
 
 def matrix(column, d: int) -> np.ndarray:
-    """A column of packed vectors as an array of shape (n, d)."""
-    return np.frombuffer(b"".join(column), np.float64).reshape(-1, d)
+    """A column of packed vectors as an array of doubles of shape (n, d)."""
+    rows = list(column)
+    if all(len(r) == 4 * d for r in rows):
+        return np.frombuffer(b"".join(rows), np.float32).reshape(-1, d).astype(np.float64)
+    return np.array([np.frombuffer(r, np.float32 if len(r) == 4 * d else np.float64) for r in rows], np.float64)
 
 
 def unit(x: np.ndarray) -> np.ndarray:
