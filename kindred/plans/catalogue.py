@@ -1,10 +1,671 @@
-"""The queries over the driver's tables, and the SQL that says the same."""
+"""The queries over the driver's tables, and the SQL that says the same.
+
+Records are those of plans.entities. Caps are set low enough for the tables to reach them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from kindred.functions import address as A
+from kindred.functions import anchors as N
+from kindred.functions import features as FV
+from kindred.functions import similarity as S
+from kindred.functions import text as T
+from kindred.functions import vocab
+from kindred.operators import blocking, fusion, graph, keys, knn, learning, metrics, ranking, sampling, validate
+from kindred.plans import entities as E
+from kindred.plans import oracle as O
+from kindred.plans import presets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+CAPS = {"d": 10, "f": 20, "g": 20, "h": 10, "i": 20}
+R33 = ranking.PRODUCTION
+
+
+def query(name: str, sql: str | None = None):
+    def register(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLE_SQL[name] = sql
+        return f
+
+    return register
+
+
+def _with(body: str) -> str:
+    return f"WITH {O.RECORDS}, {O.PARTS} {body}"
+
+
+# -- scalars ---------------------------------------------------------------------------------------------------------
+
+
+@query("normalize_name_documents", _with("SELECT entity_id, nn AS normalized FROM parts"))
+def normalize_name_documents(spark, d):
+    return E.records(spark, d).select("entity_id", T.normalize_name("name").alias("normalized"))
+
+
+_LISTS = {
+    "baseline": vocab.SUFFIXES_BASELINE,
+    "blocking": vocab.SUFFIXES_BLOCKING,
+    "multilingual": vocab.SUFFIXES_MULTILINGUAL,
+    "tight": vocab.SUFFIXES_TIGHT,
+    "pipeline": vocab.SUFFIXES_PIPELINE,
+    "short": vocab.SUFFIXES_SHORT,
+}
+
+
+@query(
+    "clean_name_variants",
+    f"WITH {O.RECORDS} SELECT entity_id, " + ", ".join(f"{O.clean_name('name', v)} AS {k}" for k, v in _LISTS.items()) + " FROM rec",
+)
+def clean_name_variants(spark, d):
+    return E.records(spark, d).select("entity_id", *[T.clean_name("name", v).alias(k) for k, v in _LISTS.items()])
+
+
+@query(
+    "address_parts",
+    _with(r"""SELECT entity_id, array_to_string(nums, '_') AS numbers,
+  CASE WHEN len(nums) > 0 AND len(alpha) > 0 THEN nums[1] || '_' || alpha[1] ELSE '' END AS anchor,
+  array_to_string(list_sort(list_distinct(regexp_extract_all(address, '\d+'))), '_') AS number_set,
+  regexp_extract(address, '\b\d+\b') AS first_number,
+  array_to_string(street[1:2], ' ') AS street, array_to_string(list_sort(longest), ' ') AS pair FROM parts"""),
+)
+def address_parts(spark, d):
+    return E.records(spark, d).select(
+        "entity_id",
+        A.address_numbers("address").alias("numbers"),
+        A.address_anchor("address").alias("anchor"),
+        A.number_set_key("address").alias("number_set"),
+        A.first_number("address").alias("first_number"),
+        F.array_join(A.street_tokens("address"), " ").alias("street"),
+        F.array_join(A.address_pair("address"), " ").alias("pair"),
+    )
+
+
+@query(
+    "significant_tokens",
+    _with(f"""SELECT entity_id, array_to_string(sig, ' ') AS tokens, sig[1] AS first, ({O.by_length("sig")})[1] AS longest FROM parts"""),
+)
+def significant_tokens(spark, d):
+    sig = T.significant_tokens("name")
+    return E.records(spark, d).select(
+        "entity_id",
+        F.array_join(sig, " ").alias("tokens"),
+        T.first_token(sig).alias("first"),
+        T.longest_token(sig).alias("longest"),
+    )
+
+
+@query("super_clean_names")
+def super_clean_names(spark, d):
+    return E.records(spark, d).select("entity_id", T.super_clean_name("name").alias("cleaned"), T.clean_name_enhanced("name").alias("enhanced"))
+
+
+@query("places")
+def places(spark, d):
+    rows = E.landed(E.records(spark, d))
+    return rows.select(
+        "entity_id",
+        A.geo("address", "country", E.PLACES_INDIA, E.PLACES_FRANCE).alias("geo"),
+        A.canonical_geo("address", "country").alias("canonical"),
+        A.audit_state("address", "country").alias("audit"),
+        A.state_code("address").alias("code"),
+        A.postal_code("address", "country").alias("postal"),
+    )
+
+
+@query(
+    "page_domains",
+    r"""SELECT page_id, list_filter(list_transform(regexp_extract_all(url, '(?i)\b(?:https?://)?(?:www\.)?([a-zA-Z0-9][-a-zA-Z0-9]*\.[a-zA-Z]{2,}(?:\.[a-zA-Z]{2,})?)\b', 1), lambda h: lower(h)), lambda h: length(h) > 4)[1] AS domain FROM pages""",
+)
+def page_domains(spark, d):
+    rows = E.table(spark, d, "pages")
+    return rows.select("page_id", N.anchors("url", F.lit(""), F.lit("us"))["DOMAIN"].alias("domain"))
+
+
+# -- keys and candidates ---------------------------------------------------------------------------------------------
+
+
+def _key_query(name: str) -> None:
+    cap = {name: CAPS[name]} if name in CAPS else {}
+    sql = f"""WITH {O.RECORDS}, {O.PARTS}, {O.key_table((name,))}, {O.postings(cap)}
+SELECT DISTINCT s.entity_id AS s1_id, p.entity_id AS target_id FROM keyed s JOIN posted p USING (key_type, key) WHERE s.source = 'S1'"""
+    query(f"key_{name}_join", sql)(lambda spark, d: blocking.key_join(*E.sides(spark, d), name, CAPS.get(name)))
+
+
+for _k in keys.KEYS:
+    _key_query(_k)
+
+
+def _evidence(spark, d):
+    return blocking.evidence(*E.sides(spark, d), keys.PRODUCTION, {k: v for k, v in CAPS.items() if k != "h"})
+
+
+_CAPS = {k: v for k, v in CAPS.items() if k != "h"}
+_EV = O.evidence(keys.PRODUCTION, _CAPS)
+_RK = O.ranked(keys.PRODUCTION, _CAPS, R33.weights, R33.bonus)
+
+
+@query("evidence_union", f"{_EV} SELECT * FROM ev")
+def evidence_union(spark, d):
+    return _evidence(spark, d)
+
+
+@query("evidence_ranked_top25", f"{_RK} SELECT * FROM rk WHERE rank <= 25")
+def evidence_ranked_top25(spark, d):
+    return ranking.rank(_evidence(spark, d))
+
+
+@query("posting_cap", f"WITH {O.RECORDS}, {O.PARTS}, {O.key_table(keys.PRODUCTION)}, {O.postings(_CAPS)} SELECT key_type, replace(key, '|', ' ') AS key, entity_id FROM posted")
+def posting_cap(spark, d):
+    rows = blocking.capped(keys.key_table(E.sides(spark, d)[1]), _CAPS).distinct()
+    return rows.select("key_type", F.translate("key", keys.SEPARATOR, " ").alias("key"), "entity_id")
+
+
+_PCT = {q: f"list_sort(list(n))[floor({q / 100} * (count(*) - 1))::INT + 1]" for q in (50, 95, 99)}
+
+
+@query(
+    "posting_stats",
+    f"""WITH {O.RECORDS}, {O.PARTS}, {O.key_table(keys.PRODUCTION)},
+sizes AS (SELECT key_type, key, count(*) AS n FROM keyed WHERE source <> 'S1' GROUP BY 1, 2)
+SELECT key_type, count(*) AS unique_keys, sum(n)::BIGINT AS postings, round(avg(n), 6) AS mean, max(n) AS largest,
+  {", ".join(f"count(*) FILTER (n > {m}) AS gt_{m}" for m in (25, 50, 100, 250, 500, 1000))},
+  {", ".join(f"{x} AS p{q}" for q, x in _PCT.items())} FROM sizes GROUP BY 1""",
+)
+def posting_stats(spark, d):
+    return blocking.posting_stats(E.sides(spark, d)[1])
+
+
+@query(
+    "exact_name_baseline",
+    _with("""SELECT s.entity_id AS s1_id, coalesce(string_agg(DISTINCT t.entity_id, ',' ORDER BY t.entity_id), '') AS targets, count(DISTINCT t.entity_id) AS n
+  FROM parts s LEFT JOIN parts t ON t.source <> 'S1' AND s.country = t.country AND s.nn = t.nn AND s.nn <> '' WHERE s.source = 'S1' GROUP BY 1"""),
+)
+def exact_name_baseline(spark, d):
+    rows = blocking.exact_name_matches(*E.sides(spark, d))
+    ids = F.filter(F.split("matched_entity_ids", ","), lambda x: x != "")
+    return rows.select("s1_id", F.array_join(F.array_sort(ids), ",").alias("targets"), F.size(ids).cast("long").alias("n"))
+
+
+def _tiered(spark, d, clean=vocab.SUFFIXES_TIGHT):
+    options = {"india": E.PLACES_INDIA, "france": E.PLACES_FRANCE}
+    return [keys.tier_columns(E.landed(x), T.clean_name("name", clean), **options) for x in E.sides(spark, d)]
+
+
+def _sql_tiers(tiers) -> list[dict]:
+    return [{"parts": t.parts, "rare": t.rare, "last_resort": t.last_resort, "multi": t.multi} for t in tiers]
+
+
+@query("tiered_cascade_v1", O.cascade(_sql_tiers(blocking.TIGHT), 10, vocab.SUFFIXES_TIGHT))
+def tiered_cascade_v1(spark, d):
+    return blocking.cascade(*_tiered(spark, d), blocking.TIGHT, 10)
+
+
+@query("tiered_cascade_v2", O.cascade(_sql_tiers(blocking.TIGHT_TWO), 8, vocab.SUFFIXES_TIGHT))
+def tiered_cascade_v2(spark, d):
+    return blocking.cascade(*_tiered(spark, d), blocking.TIGHT_TWO, 8)
+
+
+@query("sliced_union")
+def sliced_union(spark, d):
+    return blocking.sliced_union(*_tiered(spark, d), presets.TITAN_SLICES)
+
+
+_TOKENS = rf"""list_distinct(list_filter(regexp_extract_all(lower(address), '[\p{{L}}\p{{N}}_]+'), lambda t: length(t) >= 2 AND NOT list_contains({O.words(vocab.ADDRESS_TOKEN_STOPS)}, t)))"""
+
+
+def _token_join_sql(lo: int, hi: int) -> str:
+    return f"""WITH {O.RECORDS}, tok AS (SELECT entity_id, source, country, unnest({_TOKENS}) AS token FROM rec),
+df AS (SELECT token FROM tok WHERE source <> 'S1' GROUP BY 1 HAVING count(*) BETWEEN {lo} AND {hi})
+SELECT s.entity_id AS s1_id, t.entity_id AS target_id, count(*) AS shared FROM tok s JOIN tok t USING (token, country) JOIN df USING (token)
+WHERE s.source = 'S1' AND t.source <> 'S1' GROUP BY 1, 2"""
+
+
+@query("token_overlap_join", _token_join_sql(1, 50))
+def token_overlap_join(spark, d):
+    return blocking.token_join(*E.sides(spark, d), A.address_tokens("address"), 1, 50)
+
+
+@query("rare_token_join", _token_join_sql(2, 6))
+def rare_token_join(spark, d):
+    return blocking.token_join(*E.sides(spark, d), A.address_tokens("address"), 2, 6)
+
+
+@query("token_frequency", f"WITH {O.RECORDS}, tok AS (SELECT unnest({_TOKENS}) AS token FROM rec) SELECT token, count(*) AS df FROM tok GROUP BY 1")
+def token_frequency(spark, d):
+    rows = E.records(spark, d).select(F.explode(A.address_tokens("address")).alias("token"))
+    return rows.groupBy("token").agg(F.count("*").alias("df"))
+
+
+# -- similarity and features -----------------------------------------------------------------------------------------
+
+
+def _pairs(spark, d):
+    """Candidate pairs by first significant word, with both records."""
+    s1, targets = E.sides(spark, d)
+    side = lambda df, i, key: df.select(F.col("entity_id").alias(key), *[F.col(c).alias(f"{c}{i}") for c in ("name", "address", "country")])
+    found = blocking.key_join(s1, targets, "d", CAPS["d"])
+    return found.join(side(s1, 1, "s1_id"), "s1_id").join(side(targets, 2, "target_id"), "target_id")
+
+
+_PAIRS_SQL = f"""WITH {O.RECORDS}, {O.PARTS}, {O.key_table(("d",))}, {O.postings({"d": CAPS["d"]})},
+pr AS (SELECT DISTINCT s.entity_id AS s1_id, p.entity_id AS target_id FROM keyed s JOIN posted p USING (key_type, key) WHERE s.source = 'S1'),
+pairs AS (SELECT pr.*, a.name AS name1, b.name AS name2, a.nn AS n1, b.nn AS n2, a.address AS address1, b.address AS address2
+  FROM pr JOIN parts a ON a.entity_id = s1_id JOIN parts b ON b.entity_id = target_id)"""
+
+
+@query("jaro_winkler_pairs", f"{_PAIRS_SQL} SELECT s1_id, target_id, round(100 * jaro_winkler_similarity(regexp_replace(n1, '[^\\x00-\\x7F]', '?', 'g'), regexp_replace(n2, '[^\\x00-\\x7F]', '?', 'g')), 6) AS similarity FROM pairs")
+def jaro_winkler_pairs(spark, d):
+    rows = _pairs(spark, d)
+    # DuckDB compares bytes; letters of more than one byte are marked alike on both sides.
+    both = [F.regexp_replace(T.normalize_name(c), "[^\\x00-\\x7F]", "?") for c in ("name1", "name2")]
+    return rows.select("s1_id", "target_id", F.round(S.jaro_winkler_column(*both), 6).alias("similarity"))
+
+
+def _ft(x: str) -> str:
+    return f"list_distinct(list_filter(regexp_extract_all(lower({x}), '[a-z0-9]+'), lambda t: NOT list_contains({O.words(vocab.FEATURE_STOP_WORDS)}, t)))"
+
+
+@query(
+    "address_jaccard",
+    f"""{_PAIRS_SQL}, t AS (SELECT s1_id, target_id, {_ft("address1")} AS a, {_ft("address2")} AS b FROM pairs),
+o AS (SELECT *, len(list_intersect(a, b)) AS shared FROM t)
+SELECT s1_id, target_id, shared::INT AS shared, CASE WHEN len(a) + len(b) - shared = 0 THEN 0.0 ELSE round(100.0 * shared / (len(a) + len(b) - shared), 6) END::DOUBLE AS jaccard FROM o""",
+)
+def address_jaccard(spark, d):
+    a, b = A.feature_tokens("address1"), A.feature_tokens("address2")
+    return _pairs(spark, d).select("s1_id", "target_id", S.overlap(a, b).alias("shared"), F.round(S.jaccard_percent(a, b), 6).alias("jaccard"))
+
+
+def _feature_query(name: str, which: list[str]) -> None:
+    query(name)(lambda spark, d: FV.pair_features(_pairs(spark, d), which).select("s1_id", "target_id", *which))
+
+
+for _n, _w in {"features_6": FV.SIX, "features_10": FV.TEN, "features_16": FV.SIXTEEN, "features_18": FV.EIGHTEEN}.items():
+    _feature_query(_n, _w)
+
+
+@query("pair_diagnostics")
+def pair_diagnostics(spark, d):
+    return FV.diagnostics(_pairs(spark, d))
+
+
+@query("fuzzy_scores")
+def fuzzy_scores(spark, d):
+    return _pairs(spark, d).select("s1_id", "target_id", S.fuzzy_score(T.normalize_name("name1"), T.normalize_name("name2")).alias("score"))
+
+
+# -- vectors ---------------------------------------------------------------------------------------------------------
+
+
+@query(
+    "cosine_knn",
+    """WITH s AS (SELECT a.vec_id AS query_id, b.vec_id AS id, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS sim
+  FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, id)::INT AS rank FROM s)
+SELECT query_id, id, rank, round(sim, 9) AS similarity FROM r WHERE rank <= 5""",
+)
+def cosine_knn(spark, d):
+    rows = E.table(spark, d, "embeddings")
+    return knn.similar_pairs(rows, rows, "label", k=5).withColumn("similarity", F.round("similarity", 9))
+
+
+@query(
+    "cosine_threshold",
+    """SELECT a.vec_id AS query_id, b.vec_id AS id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) AS similarity
+  FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.8""",
+)
+def cosine_threshold(spark, d):
+    rows = E.table(spark, d, "embeddings")
+    return knn.similar_pairs(rows, rows, "label", least=0.8).withColumn("similarity", F.round("similarity", 9))
+
+
+# -- evaluation ------------------------------------------------------------------------------------------------------
+
+
+def _found(spark, d):
+    return ranking.rank(_evidence(spark, d)).filter("rank <= 2").select("s1_id", "target_id", "score")
+
+
+def _confused(spark, d):
+    scope = E.sides(spark, d)[0].select(F.col("entity_id").alias("s1_id"), "country")
+    return metrics.confusion(scope, E.truth(spark, d), _found(spark, d))
+
+
+_CONF = f"{_RK}, {O.confusion('SELECT s1_id, target_id FROM rk WHERE rank <= 2')}"
+_MEANS = "round(avg(precision), 9) AS precision, round(avg(recall), 9) AS recall, round(avg(f05), 9) AS f05"
+
+
+@query("macro_f05", f"{_CONF} SELECT count(*) AS entities, {_MEANS} FROM scores")
+def macro_f05(spark, d):
+    return metrics.macro(_confused(spark, d))
+
+
+@query("macro_f05_by_country", f"{_CONF} SELECT country, count(*) AS entities, {_MEANS} FROM scores GROUP BY ROLLUP (country)")
+def macro_f05_by_country(spark, d):
+    return metrics.macro_by_country(_confused(spark, d))
+
+
+@query(
+    "micro_scores",
+    f"""{_CONF}, m AS (SELECT sum(n_right)::BIGINT AS tp, sum(n_found - n_right)::BIGINT AS fp, sum(n_true - n_right)::BIGINT AS fn,
+  round(avg(CASE WHEN n_true = 0 THEN (n_found = 0)::INT END), 9) AS singleton_accuracy,
+  round(avg((n_found = n_right AND n_true = n_right)::INT), 9) AS exact_accuracy FROM conf)
+SELECT tp, fp, fn, singleton_accuracy, exact_accuracy, round(tp / (tp + fp), 9) AS precision, round(tp / (tp + fn), 9) AS recall FROM m""",
+)
+def micro_scores(spark, d):
+    rows = metrics.micro(_confused(spark, d)).drop("f05", "f1")
+    return rows.withColumn("precision", F.round("precision", 9)).withColumn("recall", F.round("recall", 9))
+
+
+@query(
+    "threshold_sweep",
+    f"""{_RK}, {O.TRUTH}, {O.SCOPE}, grid AS (SELECT unnest([2.0, 4.0, 6.0, 8.0]::DOUBLE[]) AS threshold),
+f AS (SELECT s1_id, threshold, count(*) AS n_found, count(t.target_id) AS n_right FROM rk JOIN grid ON score >= threshold
+  LEFT JOIN truth t USING (s1_id, target_id) WHERE rank <= 25 GROUP BY 1, 2),
+conf AS (SELECT s.s1_id, g.threshold, coalesce(n_found, 0) AS n_found, coalesce(n_right, 0) AS n_right, coalesce(t.n, 0) AS n_true
+  FROM scope s CROSS JOIN grid g LEFT JOIN f ON f.s1_id = s.s1_id AND f.threshold = g.threshold
+  LEFT JOIN (SELECT s1_id, count(*) AS n FROM truth GROUP BY 1) t ON t.s1_id = s.s1_id),
+pr AS (SELECT *, CASE WHEN n_true = 0 AND n_found = 0 THEN 1.0 WHEN n_found = 0 THEN 0.0 ELSE n_right / n_found END::DOUBLE AS precision,
+  CASE WHEN n_true = 0 AND n_found = 0 THEN 1.0 WHEN n_true = 0 THEN 0.0 ELSE n_right / n_true END::DOUBLE AS recall FROM conf),
+scores AS (SELECT *, {O.F05} AS f05 FROM pr) SELECT threshold, {_MEANS} FROM scores GROUP BY 1""",
+)
+def threshold_sweep(spark, d):
+    scope = E.sides(spark, d)[0].select(F.col("entity_id").alias("s1_id"))
+    return metrics.threshold_sweep(scope, E.truth(spark, d), ranking.rank(_evidence(spark, d)), [2.0, 4.0, 6.0, 8.0], by="score")
+
+
+@query(
+    "recall_at_k",
+    f"""{_RK}, {O.TRUTH}, {O.SCOPE}, grid AS (SELECT unnest([1, 5, 10, 15, 20, 25]) AS k),
+per AS (SELECT s.s1_id, g.k, count(r.target_id) AS n_found, count(t.target_id) AS n_right FROM scope s CROSS JOIN grid g
+  LEFT JOIN rk r ON r.s1_id = s.s1_id AND r.rank <= g.k LEFT JOIN truth t ON t.s1_id = r.s1_id AND t.target_id = r.target_id GROUP BY 1, 2),
+full_ AS (SELECT per.*, coalesce(t.n, 0) AS n_true FROM per LEFT JOIN (SELECT s1_id, count(*) AS n FROM truth GROUP BY 1) t USING (s1_id))
+SELECT k::INT AS k, sum(n_true)::BIGINT AS true_pairs, sum(n_right)::BIGINT AS recovered, count(*) FILTER (n_true > 0 AND n_right = n_true) AS whole_entities,
+  sum(n_found)::BIGINT AS candidates, max(n_found) AS most_candidates, count(*) FILTER (n_found = 0) AS without_candidates FROM full_ GROUP BY 1""",
+)
+def recall_at_k(spark, d):
+    scope = E.sides(spark, d)[0].select(F.col("entity_id").alias("s1_id"))
+    return metrics.recall_at(scope, E.truth(spark, d), ranking.rank(_evidence(spark, d)), [1, 5, 10, 15, 20, 25])
+
+
+@query("evidence_breakdown", f"{_EV}, {O.TRUTH} SELECT has_a, has_b, has_c, count(*) AS pairs FROM ev JOIN truth USING (s1_id, target_id) WHERE has_a OR has_b OR has_c GROUP BY 1, 2, 3")
+def evidence_breakdown(spark, d):
+    return metrics.evidence_breakdown(E.truth(spark, d), _evidence(spark, d))
+
+
+@query("missed_matches", f"{_EV}, {O.TRUTH} SELECT s1_id, target_id FROM truth ANTI JOIN ev USING (s1_id, target_id)")
+def missed_matches(spark, d):
+    return metrics.missed(E.truth(spark, d), _evidence(spark, d)).select("s1_id", "target_id")
+
+
+@query(
+    "experimental_split",
+    f"""{_EV}, {O.TRUTH}, m AS (SELECT * FROM truth ANTI JOIN (SELECT * FROM ev WHERE has_a OR has_b OR has_c) USING (s1_id, target_id))
+SELECT coalesce(has_d, FALSE) AS has_d, coalesce(has_f, FALSE) AS has_f, count(*) AS pairs FROM m LEFT JOIN ev USING (s1_id, target_id) GROUP BY 1, 2""",
+)
+def experimental_split(spark, d):
+    return metrics.experimental_split(E.truth(spark, d), _evidence(spark, d))
+
+
+@query(
+    "candidate_volume",
+    f"""{_EV}, {O.SCOPE}, c AS (SELECT s.s1_id, count(e.target_id) AS n FROM scope s LEFT JOIN ev e USING (s1_id) GROUP BY 1)
+SELECT count(*) AS entities, sum(n)::BIGINT AS candidates, round(avg(n), 9) AS mean, max(n) AS largest, count(*) FILTER (n = 0) AS without,
+  {", ".join(f"trunc(quantile_cont(n, {q / 100}))::INT AS linear_p{q}" for q in (50, 95, 99))}, {", ".join(f"{x} AS p{q}" for q, x in _PCT.items())} FROM c""",
+)
+def candidate_volume(spark, d):
+    scope = E.sides(spark, d)[0].select(F.col("entity_id").alias("s1_id"))
+    return metrics.candidate_volume(scope, _evidence(spark, d))
+
+
+@query("candidates_per_source", f"{_EV} SELECT left(target_id, 2) AS source, count(*) AS pairs FROM ev GROUP BY 1")
+def candidates_per_source(spark, d):
+    return metrics.per_source(_evidence(spark, d))
+
+
+@query(
+    "singleton_candidates",
+    f"""{_EV}, {O.TRUTH}, {O.SCOPE}, c AS (SELECT s.s1_id, count(e.target_id) AS n FROM scope s ANTI JOIN truth USING (s1_id) LEFT JOIN ev e ON e.s1_id = s.s1_id GROUP BY 1)
+SELECT CASE WHEN n = 0 THEN 'none' WHEN n <= 25 THEN 'up to 25' ELSE 'more' END AS bucket, count(*) AS entities FROM c GROUP BY 1""",
+)
+def singleton_candidates(spark, d):
+    scope = E.sides(spark, d)[0].select(F.col("entity_id").alias("s1_id"))
+    return metrics.singleton_candidates(scope, E.truth(spark, d), _evidence(spark, d))
+
+
+@query(
+    "truncation_loss",
+    f"""{_RK}, {O.TRUTH} SELECT CASE WHEN rank IS NULL THEN 'not found' WHEN rank <= 3 THEN 'kept' WHEN has_a OR has_b OR has_c THEN 'cut, base evidence'
+  ELSE 'cut, experimental evidence' END AS reason, count(*) AS pairs FROM truth LEFT JOIN rk USING (s1_id, target_id) GROUP BY 1""",
+)
+def truncation_loss(spark, d):
+    every = ranking.rank(_evidence(spark, d), ranking.RankingConfig(R33.weights, R33.bonus, 0))
+    return metrics.truncation_loss(E.truth(spark, d), every, 3)
+
+
+@query("config_recall")
+def config_recall(spark, d):
+    configs = {
+        "base": ranking.RankingConfig(most=3),
+        "bonus": ranking.RankingConfig(bonus=0.5, most=3),
+        "production": ranking.RankingConfig(R33.weights, R33.bonus, 3),
+    }
+    return metrics.config_recall(E.truth(spark, d), _evidence(spark, d), configs)
+
+
+@query(
+    "rule_grid",
+    f"""{_RK}, {O.TRUTH}, p AS (SELECT rk.*, t.target_id IS NOT NULL AS hit FROM rk LEFT JOIN truth t USING (s1_id, target_id)),
+g AS (SELECT 'name' AS rule, hit FROM p WHERE has_a UNION ALL SELECT 'name and address', hit FROM p WHERE has_a AND has_c
+  UNION ALL SELECT 'score 4', hit FROM p WHERE score >= 4 UNION ALL SELECT 'three keys', hit FROM p WHERE evidence_count >= 3)
+SELECT rule, count(*) AS found, count(*) FILTER (hit) AS right, (SELECT count(*) FROM truth) AS n_true FROM g GROUP BY 1""",
+)
+def rule_grid(spark, d):
+    every = ranking.rank(_evidence(spark, d), ranking.RankingConfig(R33.weights, R33.bonus, 0))
+    rules = {
+        "name": F.col("has_a"),
+        "name and address": F.col("has_a") & F.col("has_c"),
+        "score 4": F.col("score") >= 4,
+        "three keys": F.col("evidence_count") >= 3,
+    }
+    return metrics.rule_grid(every, E.truth(spark, d), rules).select("rule", "found", "right", "n_true")
+
+
+@query("cross_country_pairs", f"{_EV} SELECT s1_id, target_id FROM ev JOIN rec a ON a.entity_id = s1_id JOIN rec b ON b.entity_id = target_id WHERE a.country <> b.country")
+def cross_country_pairs(spark, d):
+    s1, targets = E.sides(spark, d)
+    return validate.cross_country(_evidence(spark, d), s1, targets).select("s1_id", "target_id")
+
+
+@query(
+    "script_counts",
+    rf"""WITH {O.RECORDS} SELECT country, count(*) AS records, count(*) FILTER (regexp_matches(name, '[ऀ-ൿ]')) AS indic,
+  count(*) FILTER (regexp_matches(name, '[^\x00-\xFF]')) AS beyond_latin1, count(*) FILTER (regexp_matches(address, '[0-9]')) AS with_digits FROM rec GROUP BY 1""",
+)
+def script_counts(spark, d):
+    return E.records(spark, d).groupBy("country").agg(
+        F.count("*").alias("records"),
+        F.count_if(T.has_indic("name")).alias("indic"),
+        F.count_if(~T.is_latin1("name")).alias("beyond_latin1"),
+        F.count_if(F.col("address").rlike("[0-9]")).alias("with_digits"),
+    )
+
+
+# -- graph, fusion, assignment ---------------------------------------------------------------------------------------
+
+
+@query(
+    "match_components",
+    f"""{_EV}, e AS (SELECT s1_id AS u, target_id AS v FROM ev WHERE has_a UNION SELECT target_id, s1_id FROM ev WHERE has_a),
+r AS (WITH RECURSIVE w(node, reach) AS (SELECT DISTINCT u, u FROM e UNION SELECT w.node, e.v FROM w JOIN e ON w.reach = e.u) SELECT * FROM w)
+SELECT node, min(reach) AS component FROM r GROUP BY 1""",
+)
+def match_components(spark, d):
+    found = _evidence(spark, d).filter("has_a").select(F.col("s1_id").alias("u"), F.col("target_id").alias("v"))
+    return graph.components(found)
+
+
+def _edges(spark, d):
+    ranked = ranking.rank(_evidence(spark, d))
+    scored = ranked.select(F.col("s1_id").alias("u"), F.col("target_id").alias("v"), (F.col("score") / 14).alias("w"))
+    rows = E.records(spark, d)
+    return scored.unionByName(graph.bridge_edges(rows.filter("source = 'S2'"), rows.filter("source = 'S3'")))
+
+
+@query("greedy_assignment")
+def greedy_assignment(spark, d):
+    return graph.assign(_edges(spark, d), 0.3)
+
+
+def _exact_slots(spark, d, source: str | None = None):
+    best = ranking.best_per_source(ranking.rank(_evidence(spark, d)).filter("has_a"), by="score")
+    wide = best.groupBy("s1_id").agg(*[F.max(F.when(F.col("source") == f"S{i}", F.col("target_id"))).alias(f"s{i}_id") for i in (2, 3)])
+    return wide.withColumn(source, F.lit(None).cast("string")) if source else wide
+
+
+_BEST = f"""{_RK}, b AS (SELECT *, left(target_id, 2) AS src, row_number() OVER (PARTITION BY s1_id, left(target_id, 2) ORDER BY score DESC, target_id) AS rn FROM rk WHERE rank <= 25 AND has_a),
+wide AS (SELECT s1_id, max(CASE WHEN src = 'S2' AND rn = 1 THEN target_id END) AS s2_id, max(CASE WHEN src = 'S3' AND rn = 1 THEN target_id END) AS s3_id FROM b GROUP BY 1)"""
+
+
+@query("best_per_source", f"{_BEST} SELECT * FROM wide")
+def best_per_source(spark, d):
+    return _exact_slots(spark, d)
+
+
+@query(
+    "transitive_bridge",
+    f"""{_BEST}, cl AS (SELECT entity_id, source, ord, lower(country) || '|' || {O.clean_name("name", vocab.SUFFIXES_TIGHT)} AS key, {O.clean_name("name", vocab.SUFFIXES_TIGHT)} AS cn,
+  list_distinct({O.tokens("lower(address)")}) AS ws FROM rec),
+half AS (SELECT s1_id, s2_id, NULL::VARCHAR AS s3_id FROM wide),
+c AS (SELECT h.s1_id, f.entity_id AS other, f.ord FROM half h JOIN cl n ON n.entity_id = h.s2_id AND n.cn <> '' JOIN cl f ON f.key = n.key AND f.source = 'S3'
+  WHERE len(list_intersect(n.ws, f.ws)) >= 2 OR (len(n.ws) <= 2 AND len(f.ws) <= 2)),
+pick AS (SELECT s1_id, arg_min(other, ord) AS new FROM c GROUP BY 1)
+SELECT s1_id, s2_id, new AS s3_id FROM half LEFT JOIN pick USING (s1_id)""",
+)
+def transitive_bridge(spark, d):
+    return graph.transitive(_exact_slots(spark, d, "s3_id"), E.records(spark, d))
+
+
+@query("override_slots", f"{_BEST} SELECT s1_id, s2_id, s3_id FROM wide")
+def override_slots(spark, d):
+    return fusion.override_slots(_exact_slots(spark, d, "s2_id"), _exact_slots(spark, d))
+
+
+@query("override_entities", f"{_BEST} SELECT s1_id, CASE WHEN s3_id IS NULL THEN s2_id END AS s2_id, s3_id FROM wide")
+def override_entities(spark, d):
+    return fusion.override_entities(_exact_slots(spark, d, "s2_id"), _exact_slots(spark, d))
+
+
+@query(
+    "recovered_matches",
+    f"""{_BEST}, p AS (SELECT s1_id, target_id, score / 14 AS p FROM rk WHERE rank <= 25 AND score / 14 >= 0.25),
+best AS (SELECT s1_id, arg_min(target_id, {{'p': -p, 't': target_id}}) FILTER (left(target_id, 2) = 'S2') AS n2, arg_min(target_id, {{'p': -p, 't': target_id}}) FILTER (left(target_id, 2) = 'S3') AS n3 FROM p GROUP BY 1)
+SELECT s1_id, n2 AS s2_id, coalesce(s3_id, n3) AS s3_id FROM wide LEFT JOIN best USING (s1_id)""",
+)
+def recovered_matches(spark, d):
+    scored = ranking.rank(_evidence(spark, d)).select("s1_id", "target_id", (F.col("score") / 14).alias("p"))
+    return fusion.recover(_exact_slots(spark, d, "s2_id"), scored, 0.25)
+
+
+def _lists(spark, d):
+    ranked = ranking.rank(_evidence(spark, d))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("rank", "target_id"))), lambda x: x["target_id"])
+    cands = ranked.groupBy("s1_id").agg(listed.alias("candidates"))
+    matched = F.array_compact(F.array("s2_id", "s3_id"))
+    rows = E.sides(spark, d)[0].select(F.col("entity_id").alias("s1_id"))
+    rows = rows.join(_exact_slots(spark, d).select("s1_id", matched.alias("matched")), "s1_id", "left").join(cands, "s1_id", "left")
+    empty = F.array().cast("array<string>")
+    return rows.select("s1_id", F.coalesce("matched", empty).alias("matched"), F.coalesce("candidates", empty).alias("candidates"))
+
+
+@query(
+    "superset_sync",
+    f"""{_BEST}, {O.SCOPE}, c AS (SELECT s1_id, list(target_id ORDER BY rank) AS cands FROM rk WHERE rank <= 25 GROUP BY 1),
+m AS (SELECT s.s1_id, list_filter([s2_id, s3_id], lambda x: x IS NOT NULL) AS matched, coalesce(cands, []) AS cands FROM scope s LEFT JOIN wide USING (s1_id) LEFT JOIN c USING (s1_id))
+SELECT s1_id, array_to_string(list_concat(matched, list_filter(cands, lambda x: NOT list_contains(matched, x))), ',') AS ids FROM m""",
+)
+def superset_sync(spark, d):
+    return _lists(spark, d).select("s1_id", F.array_join(fusion.superset(F.col("matched"), F.col("candidates")), ",").alias("ids"))
+
+
+@query("result_violations")
+def result_violations(spark, d):
+    rows, s1 = _lists(spark, d), E.sides(spark, d)[0]
+    found = validate.match_violations(rows.select("s1_id", "matched"), s1)
+    found = found.unionByName(validate.candidate_violations(rows.select("s1_id", "candidates"), s1))
+    return found.unionByName(validate.not_candidates(rows.select("s1_id", "matched"), rows.select("s1_id", "candidates")))
+
+
+@query("suspect_pairs")
+def suspect_pairs(spark, d):
+    rows = fusion.suspects(_pairs(spark, d).withColumns({f"country{i}": F.lit("us") for i in (1, 2)}))
+    return rows.select("s1_id", "target_id", "reason")
+
+
+# -- sampling and learning -------------------------------------------------------------------------------------------
+
+_DIGEST = "('0x' || substr(md5('42:' || entity_id), 1, 8))::BIGINT"
+
+
+@query("holdout_split", f"WITH {O.RECORDS} SELECT entity_id, {_DIGEST} % 10 < 2 AS held_out FROM rec")
+def holdout_split(spark, d):
+    return sampling.holdout(E.records(spark, d).select("entity_id"), "entity_id")
+
+
+@query("systematic_sample", f"WITH {O.RECORDS} SELECT entity_id FROM rec WHERE ord % 30 = 0")
+def systematic_sample(spark, d):
+    return sampling.every_nth(E.records(spark, d)).select("entity_id")
+
+
+@query("shuffled_sample", f"WITH {O.RECORDS} SELECT entity_id FROM rec ORDER BY {_DIGEST}, entity_id LIMIT 50")
+def shuffled_sample(spark, d):
+    return sampling.shuffled(E.records(spark, d), "entity_id", 50).select("entity_id")
+
+
+def _labelled(spark, d):
+    truth = E.truth(spark, d)
+    negative = sampling.negatives(truth, _evidence(spark, d).select("s1_id", "target_id"))
+    pairs = learning.training_pairs(truth, negative)
+    s1, targets = E.sides(spark, d)
+    side = lambda df, i, key: df.select(F.col("entity_id").alias(key), T.normalize_name("name").alias(f"name{i}"), F.col("address").alias(f"address{i}"))
+    return FV.pair_features(pairs.join(side(s1, 1, "s1_id"), "s1_id").join(side(targets, 2, "target_id"), "target_id"))
+
+
+@query(
+    "training_negatives",
+    f"""{_EV}, {O.TRUTH}, pos AS (SELECT s1_id, count(*) AS n FROM truth GROUP BY 1),
+neg AS (SELECT e.s1_id, e.target_id, coalesce(n, 0) AS n, row_number() OVER (PARTITION BY e.s1_id ORDER BY ('0x' || substr(md5('42:' || e.s1_id || '|' || e.target_id), 1, 8))::BIGINT, e.target_id) AS rn
+  FROM ev e ANTI JOIN truth USING (s1_id, target_id) LEFT JOIN pos ON pos.s1_id = e.s1_id)
+SELECT s1_id, target_id FROM neg WHERE rn <= greatest(5 * n, 3)""",
+)
+def training_negatives(spark, d):
+    return sampling.negatives(E.truth(spark, d), _evidence(spark, d).select("s1_id", "target_id")).select("s1_id", "target_id")
+
+
+@query("classifier_scores")
+def classifier_scores(spark, d):
+    rows = sampling.holdout(_labelled(spark, d))
+    models = learning.train(rows.filter(~F.col("held_out")), models={"boosted": learning.boosted(depth=3, rounds=5), "logistic": learning.ensemble()["logistic"]})
+    return learning.score(rows, models, {"boosted": 0.6, "logistic": 0.4}).select("s1_id", "target_id", "label", "held_out", "p")
+
+
+@query("multi_match", f"""{_RK}, p AS (SELECT s1_id, target_id, score / 14 AS p, row_number() OVER (PARTITION BY s1_id, left(target_id, 2) ORDER BY score DESC, target_id) AS rn FROM rk WHERE rank <= 25)
+SELECT s1_id, target_id FROM p WHERE (rn = 1 AND p >= 0.25) OR (rn > 1 AND p >= 0.5)""")
+def multi_match(spark, d):
+    scored = ranking.rank(_evidence(spark, d)).select("s1_id", "target_id", (F.col("score") / 14).alias("p"))
+    return ranking.multi_match(scored, 0.25, 0.5).select("s1_id", "target_id")
+
+
+@query("name_embedding_knn")
+def name_embedding_knn(spark, d):
+    s1, targets = E.sides(spark, d)
+    rows = [learning.embed(x.select("entity_id", "country", T.encoder_text("name", "address").alias("t")), "t") for x in (s1, targets)]
+    return knn.similar_pairs(*rows, "country", k=3, least=0.5, id_col="entity_id")
