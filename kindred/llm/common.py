@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -92,11 +95,26 @@ def append_columns(
 
 
 def hash_sample(ids: DataFrame, key: str, by: str, rows: int, seed: int) -> DataFrame:
-    """For each value of `by` the greatest hash of `key` among the `rows` least: by, _bar. A sample that reruns agree on."""
+    """For each value of `by`, of which there must be few, the greatest hash of `key` among the `rows` least: by, _bar.
+    A sample that reruns agree on.
+
+    Only hashes of the least share of each value's rows, twice what is wanted, are ranked: no value is a hot window.
+    """
+    counts = ids.groupBy(by).agg(F.count("*").alias("_n"))
+    hashed = ids.select(by, sample_hash(key, seed).alias("_h")).join(F.broadcast(counts), by)
+    share = F.least(F.lit(1.0), F.lit(2.0 * rows + 200) / F.col("_n"))
+    low = hashed.filter(F.col("_h") <= (share * 2.0**64 - 2.0**63).cast("long"))
     w = Window.partitionBy(by).orderBy("_h")
-    ranked = ids.select(by, sample_hash(key, seed).alias("_h")).withColumn("_rn", F.row_number().over(w))
+    ranked = low.withColumn("_rn", F.row_number().over(w))
     return ranked.filter(F.col("_rn") <= rows).groupBy(by).agg(F.max("_h").alias("_bar"))
 
 
 def sample_hash(key: str, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), F.col(key))
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system, where the C library can; the driver has little."""
+    gc.collect()
+    with contextlib.suppress(AttributeError, OSError):
+        ctypes.CDLL(None).malloc_trim(0)
