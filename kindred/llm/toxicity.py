@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 import string
 import zlib
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 
@@ -25,18 +26,18 @@ from kindred.llm import common
 
 BUCKETS = 1 << 17
 DIM = 12
-SAMPLE = 2000
+SAMPLE = 1500
 EPOCHS = 10
 #: A bucket that fewer documents of the sample have keeps no embedding, so no document is learned by heart.
 LEAST_DOCS = 5
 #: By which share a step draws the embeddings it touches towards 0.
-DECAY = 5e-4
+DECAY = 2e-4
 THRESHOLD = 0.7
 #: Means of some hundred words are small numbers; the softmax reads them this many times enlarged.
 SCALE = 30.0
 #: Stripped from the ends of a word.
 MARKS = string.punctuation + "«»“”„‘’‚…–—¿¡"
-CACHE_WORDS = 900_000
+CACHE_WORDS, CACHE_TRAINING = 600_000, 100_000
 
 
 def subwords(word: str) -> list[int]:
@@ -54,10 +55,12 @@ def subwords(word: str) -> list[int]:
 
 
 class Subwords(dict):
-    """Remembers the buckets of words."""
+    """Remembers the buckets of words, forgetting all when it holds CACHE_TRAINING."""
 
-    def __missing__(self, word: str) -> list[int]:
-        self[word] = out = subwords(word)
+    def __missing__(self, word: str) -> array:
+        if len(self) >= CACHE_TRAINING:
+            self.clear()
+        self[word] = out = array("i", subwords(word))
         return out
 
 
@@ -71,7 +74,7 @@ def features(text: str | None, known: Subwords) -> tuple[np.ndarray, np.ndarray]
         ids += own
         weights += [c / (n * len(own))] * len(own)
     buckets, at = np.unique(np.array(ids, np.int64), return_inverse=True)
-    return buckets, np.bincount(at, weights, len(buckets)).astype(np.float32)
+    return buckets.astype(np.int32), np.bincount(at, weights, len(buckets)).astype(np.float32)
 
 
 @dataclass
@@ -106,7 +109,10 @@ class Scorer(dict):
 
 
 def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, rate: float = 0.2, seed: int = 9) -> Model:
-    """Joint training, one document a step; with no labels of one class the model is the share of the other."""
+    """Joint training, one document a step; with no labels of one class the model is the share of the other.
+
+    texts is emptied on the way, to hold them and what is made of them only once.
+    """
     positive = sum(labels)
     if not 0 < positive < len(labels):
         share = min(max(positive / len(labels), 0.01), 0.99) if labels else 0.5
@@ -117,6 +123,8 @@ def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, rate
     seen, seen_softmax, seen_bias = np.full(BUCKETS, 1e-6, np.float32), np.full((2, DIM), 1e-6), np.full(2, 1e-6)
     known = Subwords()
     bags = [features(t, known) for t in texts]
+    texts.clear()
+    known.clear()
     frequent = np.bincount(np.concatenate([ids for ids, _ in bags]), minlength=BUCKETS) >= LEAST_DOCS
     bags = [(ids[frequent[ids]], w[frequent[ids]]) for ids, w in bags]
     embedding[~frequent] = 0
@@ -149,16 +157,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 9)
     """Train on labelled documents: docs (doc_id, text), labels (doc_id, toxic).
 
     Null ids and labels are left out; a document labelled both ways is toxic. At most `sample` documents a class, the
-    clean ones twice as many, come to the driver.
+    clean ones three times as many, come to the driver.
     """
     marked = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     marked = marked.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     hashed = marked.withColumn("_h", common.sample_hash("doc_id", seed))
     chosen = hashed.filter("toxic = 1").orderBy("_h").limit(sample)
-    chosen = chosen.union(hashed.filter("toxic = 0").orderBy("_h").limit(2 * sample)).select("doc_id", "toxic")
+    chosen = chosen.union(hashed.filter("toxic = 0").orderBy("_h").limit(3 * sample)).select("doc_id", "toxic")
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").toPandas()
     rows = rows.sort_values(["doc_id", "text"], kind="stable")
-    return train(rows["text"].tolist(), rows["toxic"].astype(int).tolist(), seed=seed)
+    texts, marks = rows["text"].tolist(), rows["toxic"].astype(int).tolist()
+    del rows
+    model = train(texts, marks, seed=seed)
+    common.release_memory()
+    return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
