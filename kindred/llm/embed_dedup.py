@@ -45,21 +45,9 @@ def window_links(x: np.ndarray, group: np.ndarray, threshold: float, window: int
         hit = np.flatnonzero((group[:-o] == group[o:]) & (np.einsum("ij,ij->i", x[:-o], x[o:]) >= threshold))
         left.append(hit)
         right.append(hit + o)
-    label = np.arange(n)
     if not left:
-        return label
-    a, b = np.concatenate(left), np.concatenate(right)
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, label[a], low)
-        np.minimum.at(new, label[b], low)
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
+        return np.arange(n)
+    return components.least_labels(n, np.concatenate(left), np.concatenate(right))
 
 
 def classes_of(table: DataFrame, id_col: str, column: str) -> tuple[DataFrame, DataFrame, int]:

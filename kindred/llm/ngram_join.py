@@ -3,7 +3,8 @@
 Each shingle flips one bit of a sketch, so two sketches differ in at most as many bits as their sets have elements not
 shared. Sets with a Jaccard similarity of at least t have at most d = (1 - t) / (1 + t) * (|A| + |B|) of those; with
 sketches cut into d + 1 blocks, such a pair agrees on a whole block. Sets are dealt to bands of similar size, since d
-grows with size; a set near the top of its band is entered into the next one as well.
+grows with size; a set near the top of its band is entered into the next one as well. At thresholds from 0.9 the join
+is exact; below, see BLOCK_ELEMENTS and MISS.
 
 1. Equal sets are one class. Each class enters its blocks as bucket keys; buckets of one class go.
 2. In a bucket, pairs whose short sketches (again a lower bound) differ in more than d bits go; what is left connects
@@ -18,6 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -33,8 +35,12 @@ WORDS = 3
 STAGE_THRESHOLD, STAGE_WORDS = Fraction(80, 100), 5
 BAND = 1.2
 WORD_BITS = 128
-SHORT_BITS = 1024
-BLOCK = 1024
+#: Sets of at least WIDE_FROM elements have a second, wider sketch, as the short one is full of ones and zeros then.
+SHORT_BITS, WIDE_BITS, WIDE_FROM = 1024, 8192, 1000
+#: Blocks of few elements agree by chance. Below EXACT_FROM, where d + 1 blocks would have less than BLOCK_ELEMENTS each,
+#: blocks are made larger as far as a pair at the threshold still agrees on one with probability 1 - MISS.
+EXACT_FROM, BLOCK_ELEMENTS, MISS = Fraction(90, 100), 9.0, 1e-5
+BLOCK = 512
 
 
 def most_apart(total, t: Fraction = THRESHOLD):
@@ -55,8 +61,14 @@ def band_edge(band: int) -> int:
     return n
 
 
+@lru_cache(maxsize=None)
 def blocks_in(band: int, t: Fraction) -> int:
-    return most_apart(2 * (band_edge(band + 1) - 1), t) + 1
+    """d + 1 for the largest sets of the band; fewer under BLOCK_ELEMENTS and MISS."""
+    apart = most_apart(2 * (band_edge(band + 1) - 1), t)
+    m, least = apart + 1, band_edge(band)
+    while t < EXACT_FROM and m > 1 and least / m < BLOCK_ELEMENTS and (1 - math.exp(-apart / (m - 1))) ** (m - 1) <= MISS:
+        m -= 1
+    return m
 
 
 def bands_for(n: int, t: Fraction) -> list[int]:
@@ -79,9 +91,13 @@ def block_keys(h: np.ndarray, band: int, t: Fraction) -> np.ndarray:
     return key
 
 
-def short_sketch(h: np.ndarray) -> bytes:
-    odd = np.bincount(((h >> np.uint64(16)) % np.uint64(SHORT_BITS)).astype(np.int64), minlength=SHORT_BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
+def sketch(h: np.ndarray) -> bytes:
+    """The short sketch, and the wide one of a large set."""
+    out = b""
+    for bits in (SHORT_BITS, WIDE_BITS)[: 1 + (len(h) >= WIDE_FROM)]:
+        odd = np.bincount(((h >> np.uint64(16)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+        out += np.packbits(odd.astype(np.uint8)).tobytes()
+    return out
 
 
 def fingerprint(h: np.ndarray) -> tuple[int, int]:
@@ -126,7 +142,7 @@ def sketch_all(docs: DataFrame, t: Fraction, words: int) -> DataFrame:
                 keys.append(np.concatenate(own) if own else np.empty(0, np.uint64))
                 sizes.append(len(h))
                 prints.append(fingerprint(h))
-                sketches.append(short_sketch(h))
+                sketches.append(sketch(h))
             ends = np.cumsum([0] + [len(k) for k in keys]).astype(np.int32)
             flat = np.concatenate([np.empty(0, np.uint64), *keys]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -145,29 +161,30 @@ def sketch_all(docs: DataFrame, t: Fraction, words: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
-def _bits(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint64).reshape(-1, SHORT_BITS // 64)
-
-
-def _near(x: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray, t: Fraction) -> tuple[np.ndarray, np.ndarray]:
-    """Which of the pairs (i, j) the sizes and short sketches allow, and in how many bits sketches differ."""
-    apart = np.bitwise_count(x[i] ^ x[j]).sum(1, dtype=np.int64)
-    lo, hi = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-    return (apart <= most_apart(n[i] + n[j], t)) & (lo * t.denominator >= hi * t.numerator), apart
-
-
-def _connect(size: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Labels of the components of edges (i, j) over size nodes: the least node of each."""
-    label = np.arange(size)
-    while True:
-        new = label.copy()
-        low = np.minimum(label[i], label[j])
-        for at in (label[i], label[j], i, j):
-            np.minimum.at(new, at, low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
+class Sketches:
+    """The sketches of a group of sets, and which pairs they and the sizes allow."""
+
+    def __init__(self, column, n: np.ndarray):
+        rows, self.n = list(column), n
+        short = SHORT_BITS // 8
+        self.short = np.frombuffer(b"".join(r[:short] for r in rows), np.uint64).reshape(len(rows), -1)
+        wide = np.flatnonzero(n >= WIDE_FROM)
+        self.at = np.full(len(rows), -1)
+        self.at[wide] = np.arange(len(wide))
+        self.wide = np.frombuffer(b"".join(rows[i][short:] for i in wide), np.uint64).reshape(len(wide), WIDE_BITS // 64)
+
+    def near(self, i: np.ndarray, j: np.ndarray, t: Fraction) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each of the pairs (i, j) may be similar, and in how many bits its sketches differ."""
+        n = self.n
+        apart = np.bitwise_count(self.short[i] ^ self.short[j]).sum(1, dtype=np.int64)
+        lo, hi, most = np.minimum(n[i], n[j]), np.maximum(n[i], n[j]), most_apart(n[i] + n[j], t)
+        ok = (apart <= most) & (lo * t.denominator >= hi * t.numerator)
+        both = np.flatnonzero(ok & (self.at[i] >= 0) & (self.at[j] >= 0))
+        if len(both):
+            a, b = self.at[i[both]], self.at[j[both]]
+            apart[both] = np.bitwise_count(self.wide[a] ^ self.wide[b]).sum(1, dtype=np.int64)
+            ok[both] = apart[both] <= most[both]
+        return ok, apart
 
 
 def provisional_edges(classes: DataFrame, t: Fraction) -> DataFrame:
@@ -193,16 +210,16 @@ def provisional_edges(classes: DataFrame, t: Fraction) -> DataFrame:
     def link(group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates(["bucket", "rep"]).sort_values(["bucket", "rep"], ignore_index=True)
         bucket, rep, n = group["bucket"].to_numpy(), group["rep"].to_numpy(), group["n"].to_numpy()
-        x, left, right = _bits(group["sketch"]), [], []
+        sketches, left, right = Sketches(group["sketch"], n), [], []
         for o in range(1, len(group)):
             i = np.flatnonzero(bucket[:-o] == bucket[o:])
             if not len(i):
                 break
-            ok, _ = _near(x, n, i, i + o, t)
+            ok, _ = sketches.near(i, i + o, t)
             left.append(i[ok])
             right.append(i[ok] + o)
         empty = np.empty(0, np.int64)
-        label = _connect(len(group), np.concatenate([empty, *left]), np.concatenate([empty, *right]))
+        label = components.least_labels(len(group), np.concatenate([empty, *left]), np.concatenate([empty, *right]))
         other = label != np.arange(len(group))
         return pd.DataFrame({"u": rep[other], "v": rep[label[other]]}).drop_duplicates()
 
@@ -216,7 +233,7 @@ def verified_edges(docs: DataFrame, classes: DataFrame, labels: DataFrame, t: Fr
     members = common.materialize(members, "members")
     sizes = members.groupBy("component").agg(F.count("*").alias("m"))
     sizes = sizes.select("component", F.expr(f"(m + {BLOCK - 1}) div {BLOCK}").cast("int").alias("blocks"))
-    bins = max(1, -(-members.count() // 256))
+    bins = max(1, -(-members.count() // 64))
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
     rows = members.join(texts, "rep")
 
@@ -246,14 +263,14 @@ def verified_edges(docs: DataFrame, classes: DataFrame, labels: DataFrame, t: Fr
         u, v = [], []
         for _, c in group.groupby("component", sort=True):
             c = c.drop_duplicates("rep").sort_values("rep", ignore_index=True)
-            x, n, own, rep = _bits(c["sketch"]), c["n"].to_numpy(), c["own"].to_numpy(), c["rep"].to_numpy()
+            sketches, own, rep = Sketches(c["sketch"], c["n"].to_numpy()), c["own"].to_numpy(), c["rep"].to_numpy()
             lo, hi = int(c["lo"].iloc[0]), int(c["hi"].iloc[0])
             pairs = []
             for i in range(len(c) - 1):
                 j = np.arange(i + 1, len(c))
                 if lo != hi:
                     j = j[own[j] != own[i]]
-                ok, apart = _near(x, n, np.full(len(j), i), j, t)
+                ok, apart = sketches.near(np.full(len(j), i), j, t)
                 pairs.append((np.full(ok.sum(), i), j[ok], apart[ok]))
             if not pairs:
                 continue
