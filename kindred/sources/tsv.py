@@ -60,7 +60,7 @@ def read_lists(spark: SparkSession, path: str, value: str = "matched", optional:
     if optional and not _exists(spark, path):
         return spark.createDataFrame([], f"s1_id string, {value} array<string>")
     rows = _reader(spark).schema("s1_id string, ids string").csv(path)
-    ids = F.transform(F.split(F.coalesce("ids", F.lit("")), ","), F.trim)
+    ids = F.transform(F.split(F.coalesce("ids", F.lit("")), ","), lambda x: F.trim(x))
     return rows.select(F.trim("s1_id").alias("s1_id"), F.array_distinct(F.filter(ids, lambda x: x != "")).alias(value))
 
 
