@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import ann, common, embed_dedup, langid, mixing, ngram_join, packing, toxicity, urls, warc, wavelet
+from kindred.llm import ann, common, embed_dedup, langid, mixing, ngram_join, oracle, packing, toxicity, urls, warc, wavelet
 
 TOKENIZER = "byte_bpe_50k.json"
 URL_RULES = [
@@ -105,4 +105,11 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_token_ids": op10_token_ids,
 }
-ORACLE_SQL: dict[str, str] = {}
+#: The others are trained models, token ids, or (op7) an approximate search; tests hold them against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op2_embedding_near_dups": oracle.OP2,
+    "op3_warc": oracle.OP3,
+    "op4_mix_sources": oracle.OP4,
+    "op6_ngram_jaccard": oracle.OP6,
+    "op8_url_filter": oracle.op8(URL_RULES),
+}
