@@ -27,6 +27,8 @@ SAMPLE = 1500
 MAX_LANGS = 250
 UNKNOWN = "und"
 SHIFT = 21
+#: Stands for the border of a word; no letter has this code point, and not being 0 it tells n-grams of all lengths apart.
+BORDER = 1
 
 
 @lru_cache(maxsize=1)
@@ -50,16 +52,17 @@ def symbols_of(text: str) -> np.ndarray:
 
 
 def grams_of(text: str | None) -> np.ndarray:
-    """Codes of all n-grams of a text, one an occurrence: up to three code points of SHIFT bits, 0 the border."""
+    """Codes of all n-grams of a text, one an occurrence: up to three code points of SHIFT bits."""
     if not text:
         return np.empty(0, np.uint64)
     s = symbols_of(text)
     if not has_letter(s):
         return np.empty(0, np.uint64)
-    inner = s[1:-1]
+    letter = s[1:-1] != 0
+    s[s == 0] = BORDER
     k = np.uint64(SHIFT)
     pairs = s[:-1] << k | s[1:]
-    return np.concatenate([inner[inner != 0], pairs, (pairs[:-1] << k | s[2:])[inner != 0]])
+    return np.concatenate([s[1:-1][letter], pairs, (pairs[:-1] << k | s[2:])[letter]])
 
 
 def top_grams(grams: np.ndarray, n: int) -> np.ndarray:
