@@ -16,7 +16,7 @@ from kindred.functions import features as FV
 from kindred.functions import similarity as S
 from kindred.functions import text as T
 from kindred.functions import vocab
-from kindred.operators import blocking, fusion, graph, keys, knn, learning, metrics, ranking, sampling, validate
+from kindred.operators import blocking, failures, fusion, graph, keys, knn, learning, metrics, multilingual, ranking, sampling, validate
 from kindred.plans import entities as E
 from kindred.plans import oracle as O
 from kindred.plans import presets
@@ -669,3 +669,81 @@ def name_embedding_knn(spark, d):
     s1, targets = E.sides(spark, d)
     rows = [learning.embed(x.select("entity_id", "country", T.encoder_text("name", "address").alias("t")), "t") for x in (s1, targets)]
     return knn.similar_pairs(*rows, "country", k=3, least=0.5, id_col="entity_id")
+
+
+# -- across scripts, failures ----------------------------------------------------------------------------------------
+
+_ML_NAME = O.clean_name("name", vocab.SUFFIXES_MULTILINGUAL)
+
+
+@query(
+    "multilingual_exact",
+    rf"""WITH {O.RECORDS}, m AS (SELECT entity_id, source, ord, lower(country) || '|' || {_ML_NAME} AS key, {_ML_NAME} AS cn, {_TOKENS} AS ws,
+  list_distinct(regexp_extract_all(address, '\b\d+\b')) AS ns FROM rec),
+p AS (SELECT s.entity_id AS s1_id, t.entity_id AS target_id, t.source, t.ord, 2 * len(list_intersect(s.ws, t.ws)) + 3 * len(list_intersect(s.ns, t.ns)) AS score
+  FROM m s JOIN m t USING (key) WHERE s.source = 'S1' AND t.source <> 'S1' AND s.cn <> ''),
+r AS (SELECT *, row_number() OVER (PARTITION BY s1_id, source ORDER BY score DESC, ord, target_id) AS rn FROM p)
+SELECT s1_id, target_id FROM r WHERE rn = 1""",
+)
+def multilingual_exact(spark, d):
+    return multilingual.exact_tier(*E.sides(spark, d))
+
+
+@query("multilingual_semantic")
+def multilingual_semantic(spark, d):
+    s1, targets = E.sides(spark, d)
+    pool = multilingual.pool(s1, targets)
+    text = lambda df, key: learning.embed(df.select(F.col("entity_id").alias(key), T.encoder_text("name", "address").alias("t")), "t").drop("t")
+    a, b = text(s1, "s1_id").withColumnRenamed("embedding", "e1"), text(targets, "target_id").withColumnRenamed("embedding", "e2")
+    pairs = pool.join(a, "s1_id").join(b, "target_id").select("s1_id", "target_id", S.cosine(F.col("e1"), F.col("e2")).alias("similarity"))
+    return multilingual.semantic_tier(pairs, s1, targets)
+
+
+@query("dense_first_acceptable")
+def dense_first_acceptable(spark, d):
+    s1, targets = E.sides(spark, d)
+    three = targets.filter("source = 'S3'")
+    rows = [learning.embed(x.select("entity_id", "country", "name"), "name") for x in (s1, three)]
+    ranked = knn.similar_pairs(*rows, "country", k=15, id_col="entity_id")
+    ranked = ranked.select(F.col("query_id").alias("s1_id"), F.col("id").alias("target_id"), "similarity", "rank")
+    return multilingual.first_acceptable(ranked, s1, three)
+
+
+@query("canonical_recovery")
+def canonical_recovery(spark, d):
+    return multilingual.canonical_recovery(*[E.landed(x) for x in E.sides(spark, d)])
+
+
+_FALLBACK = f"""WITH {O.RECORDS}, {O.PARTS}, {O.key_table(("a", "d"))}, {O.postings({"d": CAPS["d"]})},
+p AS (SELECT DISTINCT key_type, s.entity_id AS s1_id, q.entity_id AS target_id FROM keyed s JOIN posted q USING (key_type, key) WHERE s.source = 'S1'),
+n AS (SELECT s1_id FROM p WHERE key_type = 'a' GROUP BY 1 HAVING count(*) >= 5)
+SELECT s1_id, target_id FROM p WHERE key_type = 'a' UNION SELECT s1_id, target_id FROM p WHERE key_type = 'd' AND s1_id NOT IN (SELECT s1_id FROM n)"""
+
+
+@query("conditional_fallback", _FALLBACK)
+def conditional_fallback(spark, d):
+    sides = E.sides(spark, d)
+    return multilingual.with_fallback(blocking.key_join(*sides, "a"), blocking.key_join(*sides, "d", CAPS["d"]))
+
+
+@query("failure_categories")
+def failure_categories(spark, d):
+    return failures.histogram(_pairs(spark, d))
+
+
+@query(
+    "missed_patterns",
+    f"""{_PAIRS_SQL}, t AS (SELECT *, {O.tokens("n1")} AS w1, list_intersect({O.tokens("n1")}, {O.tokens("n2")}) AS sh,
+  list_filter({O.tokens(O.clean("address1"))}, lambda t: {O.DIGITS}) AS d1, list_filter({O.tokens(O.clean("address2"))}, lambda t: {O.DIGITS}) AS d2 FROM pairs),
+g AS (SELECT unnest(list_filter([
+  CASE WHEN len(sh) > 0 THEN 'has_token_overlap' END, CASE WHEN len(sh) = 1 AND sh[1] = w1[1] THEN 'first_token_matches' END,
+  CASE WHEN len(sh) = 0 THEN 'zero_name_token_overlap' END,
+  CASE WHEN length(n1) >= 5 AND length(n2) >= 5 AND left(n1, 5) = left(n2, 5) THEN 'prefix_5_matches' END,
+  CASE WHEN len(d1) = 0 OR len(d2) = 0 THEN 'missing_address_digits' END,
+  CASE WHEN len(d1) > 0 AND len(d2) > 0 AND len(list_intersect(d1, d2)) > 0 THEN 'address_digits_overlap_but_name_failed' END,
+  CASE WHEN len(d1) > 0 AND len(d2) > 0 AND len(list_intersect(d1, d2)) = 0 THEN 'address_digits_mismatch' END,
+  CASE WHEN list_filter(d1, lambda t: length(t) IN (5, 6))[1] = list_filter(d2, lambda t: length(t) IN (5, 6))[1] THEN 'postal_code_matches' END],
+  lambda x: x IS NOT NULL)) AS pattern FROM t) SELECT pattern, count(*) AS pairs FROM g GROUP BY 1""",
+)
+def missed_patterns(spark, d):
+    return failures.patterns(_pairs(spark, d)).filter("pattern <> 'non_latin_or_script_mismatch'")
