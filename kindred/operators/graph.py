@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,23 +22,62 @@ def _checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """node, component (the least node reachable), by large-star and small-star rounds. [GR1]"""
-    pairs = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+#: Edges that one task contracts at once.
+TASK_EDGES = 1_000_000
+
+
+def _contracted(pairs: DataFrame, tasks: int) -> DataFrame:
+    """Within each task every node is linked to the least node connected with it, and to nothing else."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        frames = [b for b in batches if len(b)]
+        if not frames:
+            return
+        df = pd.concat(frames)
+        nodes, at = np.unique(np.concatenate([df["u"].to_numpy(), df["v"].to_numpy()]), return_inverse=True)
+        i, j, label = at[: len(df)], at[len(df) :], np.arange(len(nodes))
+        while True:
+            new, low = label.copy(), np.minimum(label[i], label[j])
+            for ends in (label[i], label[j], i, j):
+                np.minimum.at(new, ends, low)
+            new = new[new]
+            if (new == label).all():
+                break
+            label = new
+        other = label != np.arange(len(nodes))
+        yield pd.DataFrame({"u": nodes[other], "v": nodes[label[other]]})
+
+    kind = dict(pairs.dtypes)["u"]
+    return pairs.coalesce(tasks).mapInPandas(run, f"u {kind}, v {kind}")
+
+
+def components(edges: DataFrame, rounds: int = 60, task_edges: int = TASK_EDGES) -> DataFrame:
+    """node, component (the least node reachable). [GR1]
+
+    A graph of at most task_edges edges is contracted by one task; beyond, each round contracts within tasks and takes a
+    large-star and a small-star step between them.
+    """
+    pairs = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     pairs, before = _checkpointed(pairs), None
     for _ in range(rounds):
-        now = tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v") / 2.0**40), F.max("u")).first())
-        if now == before or not now[0]:
+        tasks = -(-pairs.count() // task_edges)
+        if not tasks:
+            break
+        pairs = _checkpointed(_contracted(pairs, tasks))
+        if tasks == 1:
             break
-        before = now
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u <> v").distinct()
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
-        pairs = _checkpointed(small)
+        pairs = _checkpointed(small.union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
+        now = tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v") / 2.0**40), F.max("u")).first())
+        if now == before:
+            break
+        before = now
+    else:
+        raise RuntimeError(f"components did not settle in {rounds} rounds")
     heads = pairs.select("v", F.col("v").alias("c")).distinct()
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(heads)
 

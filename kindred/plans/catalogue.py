@@ -212,7 +212,21 @@ def tiered_cascade_v2(spark, d):
     return blocking.cascade(*_tiered(spark, d), blocking.TIGHT_TWO, 8)
 
 
-@query("sliced_union")
+_POSTAL = r"""CASE land WHEN 'india' THEN regexp_extract_all(address, '\b[1-9][0-9]{5}\b')[-1] WHEN 'france' THEN regexp_extract_all(address, '\b(?:0[1-9]|[1-8][0-9]|9[0-8])[0-9]{3}\b')[-1]
+  WHEN 'us' THEN left(regexp_extract_all(address, '\b[0-9]{5}(?:-[0-9]{4})?\b')[-1], 5) END"""
+_SLICED = " UNION ALL ".join(
+    f"SELECT {i} AS tier, {n} AS lim, entity_id, source, ord, land || '|' || {' || chr(124) || '.join(parts)} AS key FROM tq WHERE "
+    + " AND ".join(f"{p} <> ''" for p in parts)
+    for i, (parts, n) in enumerate(presets.TITAN_SLICES.items())
+)
+
+
+@query(
+    "sliced_union",
+    f"""WITH {O.RECORDS}, {O.tier_parts(vocab.SUFFIXES_TIGHT)}, tq AS (SELECT *, {_POSTAL} AS postal FROM tp), k AS ({_SLICED}),
+r AS (SELECT *, row_number() OVER (PARTITION BY tier, key ORDER BY ord, entity_id) AS rn FROM k WHERE source <> 'S1')
+SELECT DISTINCT s.entity_id AS s1_id, r.entity_id AS target_id FROM k s JOIN r USING (tier, key) WHERE s.source = 'S1' AND rn <= r.lim""",
+)
 def sliced_union(spark, d):
     return blocking.sliced_union(*_tiered(spark, d), presets.TITAN_SLICES)
 
@@ -283,6 +297,26 @@ def address_jaccard(spark, d):
     return _pairs(spark, d).select("s1_id", "target_id", S.overlap(a, b).alias("shared"), F.round(S.jaccard_percent(a, b), 6).alias("jaccard"))
 
 
+_NATIVE = ["length_diff", "word_diff", "address_overlap", "address_jaccard", "condensed_match", "first_word_match", "number_match", "number_conflict"]
+
+
+@query(
+    "features_native",
+    rf"""{_PAIRS_SQL}, t AS (SELECT *, {_ft("address1")} AS a, {_ft("address2")} AS b,
+  list_filter(regexp_extract_all(address1, '\b\d+\b'), lambda x: length(x) <= 5)[1] AS d1, list_filter(regexp_extract_all(address2, '\b\d+\b'), lambda x: length(x) <= 5)[1] AS d2 FROM pairs),
+o AS (SELECT *, len(list_intersect(a, b)) AS shared FROM t)
+SELECT s1_id, target_id, abs(length(name1) - length(name2))::DOUBLE AS length_diff, abs(len({O.tokens("name1")}) - len({O.tokens("name2")}))::DOUBLE AS word_diff,
+  shared::DOUBLE AS address_overlap, CASE WHEN len(a) + len(b) - shared = 0 THEN 0.0 ELSE round(100.0 * shared / (len(a) + len(b) - shared), 6) END::DOUBLE AS address_jaccard,
+  (name1 <> '' AND replace(name1, ' ', '') = replace(name2, ' ', ''))::INT::DOUBLE AS condensed_match,
+  (name1 <> '' AND split_part(name1, ' ', 1) = split_part(name2, ' ', 1))::INT::DOUBLE AS first_word_match,
+  coalesce(d1 = d2, FALSE)::INT::DOUBLE AS number_match, coalesce(d1 <> d2, FALSE)::INT::DOUBLE AS number_conflict FROM o""",
+)
+def features_native(spark, d):
+    """What of the eighteen features SQL can say."""
+    rows = FV.pair_features(_pairs(spark, d)).withColumn("address_jaccard", F.round("address_jaccard", 6))
+    return rows.select("s1_id", "target_id", *_NATIVE)
+
+
 def _feature_query(name: str, which: list[str]) -> None:
     query(name)(lambda spark, d: FV.pair_features(_pairs(spark, d), which).select("s1_id", "target_id", *which))
 
@@ -451,7 +485,18 @@ def truncation_loss(spark, d):
     return metrics.truncation_loss(E.truth(spark, d), every, 3)
 
 
-@query("config_recall")
+def _config_sql() -> str:
+    def recovered(name: str, weights: dict[str, float], bonus: float) -> str:
+        score = " + ".join(f"has_{f}::INT * {w}::DOUBLE" for f, w in weights.items()) + f" + greatest(evidence_count - 1, 0) * {bonus}::DOUBLE"
+        return f"""SELECT '{name}' AS config, count(*) AS recovered FROM (SELECT s1_id, target_id, row_number() OVER (PARTITION BY s1_id ORDER BY {score} DESC, evidence_count DESC, target_id) AS rn FROM ev)
+  JOIN truth USING (s1_id, target_id) WHERE rn <= 3"""
+
+    base = {"a": 3.0, "b": 2.0, "c": 1.5}
+    rows = " UNION ALL ".join([recovered("base", base, 0.0), recovered("bonus", base, 0.5), recovered("production", R33.weights, R33.bonus)])
+    return f"{_EV}, {O.TRUTH}, c AS ({rows}) SELECT config, recovered, recovered - (SELECT recovered FROM c WHERE config = 'base') AS gain FROM c"
+
+
+@query("config_recall", _config_sql())
 def config_recall(spark, d):
     configs = {
         "base": ranking.RankingConfig(most=3),

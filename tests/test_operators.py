@@ -124,6 +124,25 @@ def test_greedy_by_component_is_greedy_over_all(spark):
     assert graph.assembled(out).filter("size(matched) = 0").count() == 0
 
 
+def test_components_in_one_task_and_in_many(spark):
+    rng = random.Random(6)
+    edges = [(f"n{rng.randrange(80):02}", f"n{rng.randrange(80):02}") for _ in range(60)] + [(f"p{i:03}", f"p{i + 1:03}") for i in range(60)]
+    up = {x: x for e in edges for x in e}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        a, b = sorted((find(a), find(b)))
+        up[b] = a
+    df = spark.createDataFrame(edges, "u string, v string").repartition(7)
+    for most in (1_000_000, 15):
+        found = {r["node"]: r["component"] for r in graph.components(df, task_edges=most).collect()}
+        assert found == {n: find(n) for n in up if any(n in e and e[0] != e[1] for e in edges)}
+
+
 def test_bridges_in_either_order():
     for edges in ([("S1-1", "S2-1", 0.9), ("S2-1", "S3-1", 0.8)], [("S2-1", "S3-1", 0.95), ("S1-1", "S2-1", 0.9)]):
         assert graph.greedy(edges) == {"S1-1": {"S2": "S2-1", "S3": "S3-1"}}
