@@ -37,10 +37,6 @@ def letter_table() -> np.ndarray:
     return np.fromiter((unicodedata.category(chr(i))[0] in "LM" for i in range(sys.maxunicode + 1)), bool)
 
 
-def has_letter(symbols: np.ndarray) -> bool:
-    return len(symbols) > 1
-
-
 def symbols_of(text: str) -> np.ndarray:
     """Code points of the lower-cased letters, each run of others as one 0, with a 0 at either end."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
@@ -56,7 +52,7 @@ def grams_of(text: str | None) -> np.ndarray:
     if not text:
         return np.empty(0, np.uint64)
     s = symbols_of(text)
-    if not has_letter(s):
+    if len(s) < 2:
         return np.empty(0, np.uint64)
     letter = s[1:-1] != 0
     s[s == 0] = BORDER
@@ -92,7 +88,7 @@ class Profiles:
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and score: 1 - mean distance of an n-gram to the nearest profile / PROFILE."""
         grams = grams_of(text)
-        if not len(grams) or not self.langs:
+        if not len(grams) or not self.langs or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         top = top_grams(grams, self.size)
         at = np.searchsorted(self.vocab, top)

@@ -27,7 +27,7 @@ def test_profiles_tell_languages(spark, docs, awkward, empty):
         for n in (3, 60, 3000):
             found, score = profiles.predict(made(rng, lang, n).upper())
             assert found == lang and 0 < score <= 1
-    for blank in (None, "", " 12 -- 3 !"):
+    for blank in (None, "", " 12 -- 3 !", "\u0301 1"):
         assert profiles.predict(blank) == ("und", 0.0)
     out = langid.predict(awkward, profiles)
     assert out.columns == [*awkward.columns, "lang_pred", "lang_score"] and out.count() == awkward.count()
