@@ -120,7 +120,12 @@ def is_digits(t: Column) -> Column:
 
 def significant_tokens(name: Column | str) -> Column:
     """Alphabetic words of at least four letters of a normalized name that are no generic business words. [ST15]"""
-    words = without(tokens(normalize_name(name)), vocab.NAME_STOP_WORDS)
+    return significant_of(normalize_name(name))
+
+
+def significant_of(normalized: Column | str) -> Column:
+    """The same of a name that is normalized already."""
+    words = without(tokens(normalized), vocab.NAME_STOP_WORDS)
     return F.filter(words, lambda t: (F.length(t) >= 4) & is_alpha(t))
 
 

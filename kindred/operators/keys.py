@@ -36,7 +36,7 @@ def pair_at(words: Column, i: int) -> Column:
 
 @dataclass(frozen=True)
 class KeySpec:
-    """A key, the evidence flag it sets (null: it finds candidates only), and its cap on postings."""
+    """A key over staged records, the evidence flag it sets (null: it finds candidates only), and its cap on postings."""
 
     name: str
     build: Callable[[], Column]
@@ -48,38 +48,50 @@ def _two(words: Column) -> tuple[Column, Column]:
     return pair_at(words, 1), pair_at(words, 2)
 
 
+def staged(records: DataFrame) -> DataFrame:
+    """records with what several keys are made of, each computed once: country, normalized name, its significant words,
+    address numbers."""
+    rows = records.withColumns(
+        {"_land": country_of(), "_norm": T.normalize_name("name"), "_numbers": A.address_numbers("address")}
+    )
+    return rows.withColumn("_sig", T.significant_of("_norm"))
+
+
+def _key(*parts: Column | str) -> Column:
+    return key_of(*[T.col(p) for p in ("_land", *parts)])
+
+
 def key_a() -> Column:
-    return key_of(country_of(), T.normalize_name("name"))
+    return _key("_norm")
 
 
 def key_b(n: int = 4) -> Column:
-    return key_of(country_of(), T.prefix(T.normalize_name("name"), n), A.address_numbers("address"))
+    return _key(T.prefix("_norm", n), "_numbers")
 
 
 def key_c() -> Column:
-    return key_of(country_of(), A.address_anchor("address"))
+    return _key(A.address_anchor("address"))
 
 
 def key_d(longest: bool = False) -> Column:
-    pick = T.longest_token if longest else T.first_token
-    return key_of(country_of(), pick(T.significant_tokens("name")))
+    return _key((T.longest_token if longest else T.first_token)(F.col("_sig")))
 
 
 def key_f() -> Column:
-    return key_of(country_of(), *_two(A.street_tokens("address")))
+    return _key(*_two(A.street_tokens("address")))
 
 
 def key_g() -> Column:
-    first = F.slice(T.significant_tokens("name"), 1, 2)
-    return key_of(country_of(), *_two(F.when(F.size(first) == 2, F.array_sort(first))))
+    first = F.slice("_sig", 1, 2)
+    return _key(*_two(F.when(F.size(first) == 2, F.array_sort(first))))
 
 
 def key_h() -> Column:
-    return key_of(country_of(), pair_at(T.significant_tokens("name"), 2))
+    return _key(pair_at(F.col("_sig"), 2))
 
 
 def key_i() -> Column:
-    return key_of(country_of(), *_two(A.address_pair("address")))
+    return _key(*_two(A.address_pair("address")))
 
 
 KEYS = {
@@ -103,7 +115,7 @@ PRODUCTION = ("a", "b", "c", "d", "f", "g", "i")
 def key_table(records: DataFrame, names: tuple[str, ...] = PRODUCTION) -> DataFrame:
     """Long form: key_type, key, entity_id, ord; one row for each key that a record has."""
     made = F.array(*[F.struct(F.lit(n).alias("key_type"), KEYS[n].build().alias("key")) for n in names])
-    rows = records.select("entity_id", "ord", F.explode(made).alias("k"))
+    rows = staged(records).select("entity_id", "ord", F.explode(made).alias("k"))
     return rows.select("k.key_type", "k.key", "entity_id", "ord").filter(F.col("key").isNotNull())
 
 
