@@ -37,7 +37,7 @@ THRESHOLD = 0.7
 SCALE = 30.0
 #: Stripped from the ends of a word.
 MARKS = string.punctuation + "«»“”„‘’‚…–—¿¡"
-CACHE_WORDS, CACHE_TRAINING = 600_000, 100_000
+CACHE_WORDS, CACHE_TRAINING = 400_000, 100_000
 
 
 def subwords(word: str) -> list[int]:
