@@ -125,8 +125,12 @@ def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, rate
     bags = [features(t, known) for t in texts]
     texts.clear()
     known.clear()
-    frequent = np.bincount(np.concatenate([ids for ids, _ in bags]), minlength=BUCKETS) >= LEAST_DOCS
-    bags = [(ids[frequent[ids]], w[frequent[ids]]) for ids, w in bags]
+    seen_in = np.zeros(BUCKETS, np.int32)
+    for ids, _ in bags:
+        seen_in[ids] += 1
+    frequent = seen_in >= LEAST_DOCS
+    for i, (ids, w) in enumerate(bags):
+        bags[i] = ids[frequent[ids]], w[frequent[ids]]
     embedding[~frequent] = 0
     weight = [len(labels) / (2 * (len(labels) - positive)), len(labels) / (2 * positive)]
     for _ in range(epochs):
