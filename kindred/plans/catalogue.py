@@ -217,7 +217,7 @@ _POSTAL = r"""CASE land WHEN 'india' THEN regexp_extract_all(address, '\b[1-9][0
 _SLICED = " UNION ALL ".join(
     f"SELECT {i} AS tier, {n} AS lim, entity_id, source, ord, land || '|' || {' || chr(124) || '.join(parts)} AS key FROM tq WHERE "
     + " AND ".join(f"{p} <> ''" for p in parts)
-    for i, (parts, n) in enumerate(presets.TITAN_SLICES.items())
+    for i, (parts, n) in enumerate(presets.ANCHORED_SLICES.items())
 )
 
 
@@ -228,7 +228,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY tier, key ORDER BY ord, entity_i
 SELECT DISTINCT s.entity_id AS s1_id, r.entity_id AS target_id FROM k s JOIN r USING (tier, key) WHERE s.source = 'S1' AND rn <= r.lim""",
 )
 def sliced_union(spark, d):
-    return blocking.sliced_union(*_tiered(spark, d), presets.TITAN_SLICES)
+    return blocking.sliced_union(*_tiered(spark, d), presets.ANCHORED_SLICES)
 
 
 _TOKENS = rf"""list_distinct(list_filter(regexp_extract_all(lower(address), '[\p{{L}}\p{{N}}_]+'), lambda t: length(t) >= 2 AND NOT list_contains({O.words(vocab.ADDRESS_TOKEN_STOPS)}, t)))"""

@@ -250,7 +250,7 @@ def test_tsv_round_trip(spark, tmp_path, records):
 
 def test_presets_match(spark, records):
     s1, targets = sides(records.withColumn("country", F.when(F.col("country") == "FR", "france").otherwise("us")))
-    for name in ("heavy", "titan", "v2"):
+    for name in ("tight_bridged", "anchored", "many_keys"):
         p = presets.PRESETS[name]
         a, b = presets.prepared(s1, p), presets.prepared(targets, p)
         rows = presets.featured(presets.candidates(a, b, p), a, b, p).withColumn("label", (F.col("ratio") > 90).cast("int"))
