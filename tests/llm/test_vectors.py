@@ -100,6 +100,37 @@ def test_neighbours_against_brute_force(spark, monkeypatch, scale):
     assert hit >= 0.9 * total
 
 
+def neighbour_recall(spark, x, every, k=20):
+    """Share of the true k nearest that are found, and the fewest rows of a query."""
+    df = frame(spark, x)
+    found = {q: set() for q in range(0, len(x), every)}
+    for r in ann.nearest(df, df.filter(f"vec_id % {every} = 0"), k=k).collect():
+        found[r["query_id"]].add(r["vec_id"])
+    g = x.astype(float) @ x.astype(float).T
+    np.fill_diagonal(g, -np.inf)
+    m = min(k, len(x) - 1)
+    hit = sum(len(found[q] & set(np.argsort(-g[q], kind="stable")[:m].tolist())) for q in found)
+    return hit / (m * len(found)), min(map(len, found.values()))
+
+
+@pytest.mark.parametrize("norms", ["equal", "lognormal", "one long"])
+def test_neighbours_among_vectors_of_any_length(spark, norms):
+    rng = np.random.default_rng(6)
+    x = vectors.unit(rng.standard_normal((2000, 64)))
+    if norms == "lognormal":
+        x *= np.exp(0.5 * rng.standard_normal((len(x), 1)))
+    elif norms == "one long":
+        x[17] *= 1000
+    recall, fewest = neighbour_recall(spark, x.astype(np.float32), 20)
+    assert recall >= 0.985 and fewest == 20
+
+
+def test_probes_needed_fall_with_the_cosine():
+    hashes = ann.CrossPolytope(64)
+    needed = hashes.needed()
+    assert (np.diff(needed) <= 0).all() and needed[0] == 2 * hashes.size and needed[-1] == 1
+
+
 def test_fewer_candidates_than_asked(spark):
     df = frame(spark, clusters()[:4])
     assert {(r["query_id"], r["rank"]) for r in ann.nearest(df, df, k=20).collect()} == {(q, k) for q in range(4) for k in (1, 2, 3)}
