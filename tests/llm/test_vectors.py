@@ -125,6 +125,12 @@ def test_neighbours_among_vectors_of_any_length(spark, norms):
     assert recall >= 0.985 and fewest == 20
 
 
+@pytest.mark.parametrize("n", [15, 21])
+def test_tables_of_about_as_many_vectors_as_asked(spark, n):
+    x = np.random.default_rng(7).standard_normal((n, 64)).astype(np.float32)
+    assert neighbour_recall(spark, x, 1) == (1.0, n - 1)
+
+
 def test_probes_needed_fall_with_the_cosine():
     hashes = ann.CrossPolytope(64)
     needed = hashes.needed()
