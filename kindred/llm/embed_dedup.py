@@ -2,7 +2,11 @@
 
 Each pass orders all vectors lexicographically by concatenated random hashes (signs of projections) and compares each
 with its WINDOW next ones; pairs at or above the threshold are united across passes. The number of passes follows from
-the number of vectors, so that a pair right at the threshold meets in some window with probability RECALL.
+the number of vectors, so that a pair right at the threshold meets in some window with probability RECALL where each
+hash halves the vectors. Where vectors are dense it doesn't: so each pass also measures for each vector how many
+leading hashes leave no more than a window. Vectors whose passes don't add up to RECALL are open. As a pair is sure to be
+covered if one of its vectors is, only open vectors are compared further with each other: in more rounds of passes, as
+long as a round closes half of them, then by pairs of blocks, all with all.
 
 Windows are bounded, classes of near copies are not. So equal vectors are one class beforehand, windows give only what
 connects, and links within each component are then counted exactly, block by block, without writing out pairs.
@@ -10,6 +14,7 @@ connects, and links within each component are then counted exactly, block by blo
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -26,7 +31,7 @@ THRESHOLD = 0.95
 WINDOW = 32
 RECALL = 0.999
 BITS = 48
-SORT_BLOCK, COUNT_BLOCK = 4096, 256
+SORT_BLOCK, COUNT_BLOCK, PAIR_BLOCK = 4096, 256, 2048
 
 
 def passes_for(n: int, threshold: float = THRESHOLD, window: int = WINDOW, recall: float = RECALL) -> int:
@@ -50,6 +55,32 @@ def window_links(x: np.ndarray, group: np.ndarray, threshold: float, window: int
     return components.least_labels(n, np.concatenate(left), np.concatenate(right))
 
 
+def separating(keys: np.ndarray, group: np.ndarray, window: int) -> np.ndarray:
+    """For each of rows sorted by (group, key) the least number of leading hashes that no more than window + 1 rows of
+    its group share with it; BITS + 1 if there is none."""
+    n, o = len(keys), window + 1
+    out = np.zeros(n, np.int64)
+    if n <= o:
+        return out
+    shared = BITS - np.frexp((keys[:-o] ^ keys[o:]).astype(np.float64))[1]
+    shared = np.where(group[:-o] == group[o:], shared, -1)
+    for i in range(o + 1):
+        np.maximum(out[i : n - o + i], shared + 1, out=out[i : n - o + i])
+    return out
+
+
+def coverage(needed: np.ndarray, z: np.ndarray, threshold: float) -> np.ndarray:
+    """-log of the probability that a pass misses a pair at the threshold, by the hashes on which it must agree and a
+    vector's projections z: a partner is on the same side as z with probability Phi(|z| t / sqrt(1 - t^2)). Planes that
+    cut a dense region separate its vectors and its pairs alike, so the mean over all planes would promise too much."""
+    grid = np.linspace(-8, 8, 1601)
+    same = np.log([max(0.5 * math.erfc(-g / math.sqrt(2)), 1e-300) for g in grid])
+    sides = np.interp(np.abs(z) * (threshold / math.sqrt(max(1 - threshold**2, 1e-12))), grid, same)
+    agree = np.hstack([np.zeros((len(z), 1)), np.cumsum(sides, axis=1), np.full((len(z), 1), -np.inf)])
+    meets = np.exp(agree[np.arange(len(z)), needed])
+    return -np.log1p(-np.minimum(meets, 1 - 1e-9))
+
+
 def classes_of(table: DataFrame, id_col: str, column: str) -> tuple[DataFrame, DataFrame, int]:
     """Members (id_col, key) and classes of equal vectors (key, rep: least id, mult: members, vec), and the dimension."""
     rows, d = vectors.packed(table, id_col, column)
@@ -58,11 +89,15 @@ def classes_of(table: DataFrame, id_col: str, column: str) -> tuple[DataFrame, D
     return rows.select(id_col, "key"), common.materialize(found, "classes"), d
 
 
-def connecting_edges(classes: DataFrame, d: int, threshold: float, window: int, passes: int, seed: int) -> DataFrame:
-    """Edges (u, v) between class representatives that connect whatever some window has found linked."""
+def window_round(classes: DataFrame, d: int, threshold: float, window: int, passes: int, seed: int) -> DataFrame:
+    """Edges (u, v) between class representatives that connect whatever some window has found linked, and for each
+    vector and pass a row (u: rep, v: null, gain: see coverage)."""
+
+    def drawn() -> np.ndarray:
+        return np.random.default_rng(seed).standard_normal((d, passes * BITS))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes = np.random.default_rng(seed).standard_normal((d, passes * BITS))
+        planes = drawn()
         weights = 1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)
         for batch in batches:
             if not batch.num_rows:
@@ -86,25 +121,77 @@ def connecting_edges(classes: DataFrame, d: int, threshold: float, window: int,
     # Ranks are taken of narrow rows; vectors travel once, to the blocks where they are compared.
     keyed = classes.select("rep", "vec").mapInArrow(hashed, "pass int, hash long, rep long")
     order = ("pass", "hash", "rep")
-    ordered = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("pass", "rep")
-    ordered = common.materialize(ordered.mapInArrow(numbered, "part int, i long, pass int, rep long"), "sorted")
+    ordered = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered = common.materialize(ordered.mapInArrow(numbered, "part int, i long, pass int, hash long, rep long"), "sorted")
     sizes = ordered.groupBy("part").agg(F.count("*").alias("n"))
     base = common.prefix_offsets(sizes, "part", "n", "base").select("part", "base")
     ranked = ordered.join(base, "part").withColumn("rank", F.col("base") + F.col("i"))
     block = F.expr(f"rank div {SORT_BLOCK}")
-    with_next = F.when((F.col("rank") % SORT_BLOCK < window) & (block > 0), F.array(block, block - 1)).otherwise(F.array(block))
-    dealt = ranked.select("rank", "pass", "rep", F.explode(with_next).alias("block"))
-    dealt = dealt.join(classes.select("rep", "vec"), "rep").select("block", "rank", "pass", "rep", "vec")
+    # A block has the rows within reach of its own, on both sides.
+    reach, at = window + 1, F.col("rank") % SORT_BLOCK
+    near = F.array(block, F.when(at < reach, block - 1), F.when(at >= SORT_BLOCK - reach, block + 1))
+    dealt = ranked.select("rank", "pass", "hash", "rep", F.explode(F.array_compact(near)).alias("block"))
+    dealt = dealt.join(classes.select("rep", "vec"), "rep").select("block", "rank", "pass", "hash", "rep", "vec")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("rank")
-        reps = group["rep"].to_numpy()
+        reps, passes_ = group["rep"].to_numpy(), group["pass"].to_numpy()
+        x = vectors.unit(vectors.matrix(group["vec"], d))
+        label = window_links(x, passes_, threshold, window)
+        other = label != np.arange(len(label))
+        needed, gain, planes = separating(group["hash"].to_numpy(), passes_, window), np.zeros(len(x)), drawn()
+        for p in np.unique(passes_):
+            of = passes_ == p
+            gain[of] = coverage(needed[of], x[of] @ planes[:, p * BITS : (p + 1) * BITS], threshold)
+        own = group["rank"].to_numpy() // SORT_BLOCK == group["block"].to_numpy()
+        edges = pd.DataFrame({"u": reps[other], "v": pd.array(reps[label[other]], "Int64"), "gain": 0.0})
+        none = pd.array([None] * int(own.sum()), "Int64")
+        return pd.concat([edges, pd.DataFrame({"u": reps[own], "v": none, "gain": gain[own]})], ignore_index=True)
+
+    return common.materialize(dealt.groupBy("block").applyInPandas(compare, "u long, v long, gain double"), "windows")
+
+
+def all_links(classes: DataFrame, n: int, d: int, threshold: float) -> DataFrame:
+    """Edges (u, v) that connect all that is linked among n classes: pairs of blocks compared in separate tasks."""
+    blocks = -(-n // PAIR_BLOCK)
+    own = F.pmod(F.xxhash64(F.lit(4), "rep"), F.lit(blocks)).cast("int")
+    rows = classes.select("rep", "vec", own.alias("own"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other"))
+    rows = rows.select(F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "rep", "vec")
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.drop_duplicates("rep").sort_values("rep")
+        reps, own_block = group["rep"].to_numpy(), group["own"].to_numpy()
         x = vectors.unit(vectors.matrix(group["vec"], d))
-        label = window_links(x, group["pass"].to_numpy(), threshold, window)
+        a, b = (np.flatnonzero(own_block == group[c].iloc[0]) for c in ("lo", "hi"))
+        label = np.arange(len(reps))
+        for i in range(0, len(a), 256):
+            left, right = np.nonzero(x[a[i : i + 256]] @ x[b].T >= threshold)
+            if len(left):
+                rows_ = np.arange(len(reps))
+                left, right = np.concatenate([rows_, a[left + i]]), np.concatenate([label, b[right]])
+                label = components.least_labels(len(reps), left, right)
         other = label != np.arange(len(label))
         return pd.DataFrame({"u": reps[other], "v": reps[label[other]]})
 
-    return dealt.groupBy("block").applyInPandas(compare, "u long, v long").distinct()
+    return rows.groupBy("lo", "hi").applyInPandas(compare, "u long, v long")
+
+
+def connecting_edges(classes: DataFrame, d: int, threshold: float, window: int, seed: int) -> DataFrame:
+    """Edges (u, v) between class representatives that connect whatever is linked, a pair at the threshold with
+    probability RECALL."""
+    rows, n, edges, enough = classes.select("rep", "vec", F.lit(0.0).alias("had")), classes.count(), None, -math.log(1 - RECALL)
+    for i in itertools.count():
+        found = window_round(rows, d, threshold, window, passes_for(n, threshold, window), seed + 1000 * i)
+        linked = found.filter("v is not null").select("u", "v")
+        edges = edges.union(linked) if edges else linked
+        gains = found.filter("v is null").groupBy("u").agg(F.sum("gain").alias("gain")).withColumnRenamed("u", "rep")
+        rows = rows.join(gains, "rep").withColumn("had", F.col("had") + F.col("gain")).drop("gain")
+        rows = common.materialize(rows.filter(F.col("had") < enough), "open")
+        before, n = n, rows.count()
+        if n < 2:
+            return edges.distinct()
+        if n <= PAIR_BLOCK or 2 * n > before:
+            return edges.union(all_links(rows, n, d, threshold)).distinct()
 
 
 def link_counts(classes: DataFrame, labels: DataFrame, d: int, threshold: float) -> DataFrame:
@@ -172,7 +259,7 @@ def dedup(
     a null component.
     """
     members, classes, d = classes_of(table, id_col, column)
-    edges = connecting_edges(classes, d, threshold, window, passes_for(classes.count(), threshold, window), seed)
+    edges = connecting_edges(classes, d, threshold, window, seed)
     labels = common.materialize(components.connected_components(edges), "labels")
     counts = link_counts(classes, labels, d, threshold)
     found = classes.join(labels, classes["rep"] == labels["node"], "left").join(counts, "rep", "left")

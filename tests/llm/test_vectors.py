@@ -58,6 +58,28 @@ def test_near_duplicates_against_all_pairs(spark, monkeypatch, block):
         assert (rows[i]["n_links"], rows[i]["component_id"], rows[i]["kept"]) == (0, i, True)
 
 
+def test_near_duplicates_in_a_dense_cone(spark):
+    rng = np.random.default_rng(9)
+    x = vectors.unit(np.sqrt(0.88) * np.eye(64)[:1] + np.sqrt(0.12) * vectors.unit(rng.standard_normal((3000, 64))))
+    aside = rng.standard_normal((150, 64))
+    aside = vectors.unit(aside - (aside * x[:150]).sum(1, keepdims=True) * x[:150])
+    x = np.vstack([x, 0.952 * x[:150] + np.sqrt(1 - 0.952**2) * aside]).astype(np.float32)
+    links, label = brute_links(x, 0.95)
+    rows = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embed_dedup.dedup(frame(spark, x)).collect()}
+    assert sum(rows[i] != (links[i], label[i]) for i in range(len(x))) <= 2
+
+
+@pytest.mark.parametrize("window", [1, 3, 40])
+def test_hashes_that_separate(window):
+    rng = np.random.default_rng(4)
+    keys, group = rng.integers(0, 1 << embed_dedup.BITS, 60) >> 40 << 40, np.repeat([0, 1], 30)
+    keys = np.concatenate([np.sort(keys[:30]), np.sort(keys[30:])])
+    found = embed_dedup.separating(keys, group, window)
+    for i in range(60):
+        size = lambda bits: ((keys >> (embed_dedup.BITS - bits) == keys[i] >> (embed_dedup.BITS - bits)) & (group == group[i])).sum()
+        assert found[i] == next((b for b in range(embed_dedup.BITS + 1) if size(b) <= window + 1), embed_dedup.BITS + 1)
+
+
 def test_no_vectors(spark):
     none = spark.createDataFrame([], VECS)
     assert embed_dedup.dedup(none).count() == 0
