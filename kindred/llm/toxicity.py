@@ -38,20 +38,50 @@ SCALE = 30.0
 #: Stripped from the ends of a word.
 MARKS = string.punctuation + "«»“”„‘’‚…–—¿¡"
 CACHE_WORDS, CACHE_TRAINING = 400_000, 100_000
+#: Characters above which a word's n-grams are counted rather than listed, and those counted at a time.
+LONG_WORD, RUN_CHUNK = 1000, 1 << 16
+
+
+def grams_of(marked: str, first: int, end: int) -> list[int]:
+    """Buckets of the n-grams of 3 to 5 characters that begin at first and before end."""
+    part = marked if first == 0 and end >= len(marked) else marked[first : end + 4]
+    n = len(part)
+    own = min(end - first, n)
+    if part.isascii():
+        raw = part.encode()
+        grams = [raw[i : i + k] for k in (3, 4, 5) for i in range(min(own, n - k + 1))]
+    else:
+        grams = [part[i : i + k].encode("utf-8", "surrogatepass") for k in (3, 4, 5) for i in range(min(own, n - k + 1))]
+    return [zlib.crc32(g) % BUCKETS for g in grams]
+
+
+def core_of(word: str) -> str:
+    return word.lower().strip(MARKS) or word
+
+
+def whole(core: str) -> int:
+    """Bucket of a word itself."""
+    return zlib.crc32(f"<<{core}>>".encode("utf-8", "surrogatepass")) % BUCKETS
 
 
 def subwords(word: str) -> list[int]:
     """Buckets of a word: itself and its n-grams of 3 to 5 characters, its ends marked."""
-    core = word.lower().strip(MARKS) or word
-    marked = f"<{core[:64]}>"
-    n = len(marked)
-    if marked.isascii():
-        raw = marked.encode()
-        grams = [raw[i : i + k] for k in (3, 4, 5) for i in range(n - k + 1)]
-    else:
-        grams = [marked[i : i + k].encode("utf-8", "surrogatepass") for k in (3, 4, 5) for i in range(n - k + 1)]
-    grams.append(f"<<{core}>>".encode("utf-8", "surrogatepass"))
-    return [zlib.crc32(g) % BUCKETS for g in grams]
+    core = core_of(word)
+    ids = grams_of(f"<{core}>", 0, len(core) + 2)
+    ids.append(whole(core))
+    return ids
+
+
+def counted(word: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets of subwords(word) and how often each is in it; for long runs without white space, whose n-grams
+    are never held at once."""
+    core = core_of(word)
+    marked, counts = f"<{core}>", np.zeros(BUCKETS, np.int64)
+    for i in range(0, len(marked), RUN_CHUNK):
+        counts += np.bincount(np.array(grams_of(marked, i, i + RUN_CHUNK), np.int64), minlength=BUCKETS)
+    counts[whole(core)] += 1
+    at = np.flatnonzero(counts)
+    return at, counts[at]
 
 
 class Subwords(dict):
@@ -70,6 +100,11 @@ def features(text: str | None, known: Subwords) -> tuple[np.ndarray, np.ndarray]
     n = sum(counts.values())
     ids, weights = [], []
     for word, c in counts.items():
+        if len(word) > LONG_WORD:
+            own, times = counted(word)
+            ids += own.tolist()
+            weights += (c / n * times / times.sum()).tolist()
+            continue
         own = known[word]
         ids += own
         weights += [c / (n * len(own))] * len(own)
@@ -93,9 +128,13 @@ class Scorer(dict):
 
     def __init__(self, model: Model):
         super().__init__()
-        self.numbers, self.bias = model.numbers.tolist(), model.bias
+        self.array, self.numbers, self.bias = model.numbers.astype(np.float64), model.numbers.tolist(), model.bias
 
     def __missing__(self, word: str) -> float:
+        if len(word) > LONG_WORD:
+            # Not remembered: such runs are large and seldom come again.
+            ids, times = counted(word)
+            return float(self.array[ids] @ times / times.sum())
         ids = subwords(word)
         if len(self) >= CACHE_WORDS:
             self.clear()

@@ -90,6 +90,26 @@ def test_a_small_cache_changes_no_score(monkeypatch):
     assert model.scorer().score(text) == pytest.approx(whole)
 
 
+def test_long_runs_are_read_to_their_end(monkeypatch):
+    rng = random.Random(5)
+    rows = toxic_docs(rng, 900, ["vormulik", "zuxtrapo", "kwynzzle"])
+    model = toxicity.train([t for _, t, _ in rows], [y for *_, y in rows])
+    for sep in ("_", "", "-"):
+        clean = sep.join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(30))
+        hidden = clean[:100] + sep + "vormulik" + sep + clean[100:]
+        assert model.scorer().score(hidden) > model.scorer().score(clean) + 0.01
+        learned = lambda text: dict(zip(*(a.tolist() for a in toxicity.features(text, toxicity.Subwords())), strict=True))
+        assert set(learned(hidden)) >= set(toxicity.grams_of("vormulik", 0, 8))
+        # Counting by chunks gives what listing gives.
+        for text in (hidden, "漢字仮名" * 40 + hidden, hidden * 3 + " ab " + clean):
+            score, bag = model.scorer().score(text), learned(text)
+            with monkeypatch.context() as m:
+                m.setattr(toxicity, "LONG_WORD", 1)
+                m.setattr(toxicity, "RUN_CHUNK", 7)
+                assert model.scorer().score(text) == pytest.approx(score, rel=1e-6)
+                assert learned(text) == pytest.approx(bag, rel=1e-5)
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     docs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
