@@ -131,8 +131,8 @@ class Union:
 
 
 def sketch_all(docs: DataFrame, t: Fraction, words: int) -> DataFrame:
-    """doc_id, n, s1, s2 (fingerprint), keys and sketch of every row; a set without elements has no keys."""
-    names = ["doc_id", "n", "s1", "s2", "keys", "sketch"]
+    """doc_id, text_hash, n, s1, s2 (fingerprint), keys and sketch of every row; a set without elements has no keys."""
+    names = ["doc_id", "text_hash", "n", "s1", "s2", "keys", "sketch"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,6 +148,7 @@ def sketch_all(docs: DataFrame, t: Fraction, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array(sizes, pa.int64()),
                     pa.array([p for p, _ in prints], pa.int64()),
                     pa.array([p for _, p in prints], pa.int64()),
@@ -157,8 +158,8 @@ def sketch_all(docs: DataFrame, t: Fraction, words: int) -> DataFrame:
                 names=names,
             )
 
-    schema = "doc_id long, n long, s1 long, s2 long, keys array<long>, sketch binary"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    schema = "doc_id long, text_hash long, n long, s1 long, s2 long, keys array<long>, sketch binary"
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(run, schema)
 
 
 class Sketches:
@@ -296,6 +297,11 @@ def join_documents(docs: DataFrame, t: Fraction = THRESHOLD, words: int = WORDS)
     similarity of at least t. Null or empty texts, and texts of white space, have empty sets and link with nothing.
     Rows that repeat an id share its links; a null id has a null component unless its set is that of another document.
     """
+    return joined_rows(docs, t, words).drop("text_hash")
+
+
+def joined_rows(docs: DataFrame, t: Fraction, words: int) -> DataFrame:
+    """join_documents with the hash of each row's text."""
     sketched = common.materialize(sketch_all(docs, t, words), "sketches")
     classes = sketched.filter("n > 0 and doc_id is not null").groupBy("n", "s1", "s2").agg(
         F.min("doc_id").alias("rep"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")
@@ -307,23 +313,23 @@ def join_documents(docs: DataFrame, t: Fraction = THRESHOLD, words: int = WORDS)
     same = classes.select("n", "s1", "s2", "rep").join(labels, F.col("rep") == F.col("node"), "left")
     same = same.select("n", "s1", "s2", F.coalesce("component", "rep").alias("component_id"))
     # Two classes may share a representative's id; a row's own id is below neither.
-    found = sketched.select("doc_id", "n", "s1", "s2").join(same, ["n", "s1", "s2"], "left")
+    found = sketched.select("doc_id", "text_hash", "n", "s1", "s2").join(same, ["n", "s1", "s2"], "left")
     return found.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
 def keep_one(docs: DataFrame, t: Fraction = THRESHOLD, words: int = WORDS) -> DataFrame:
     """docs with one row of each component: of the rows whose doc_id is the component_id, one with the least text hash.
+    An id's rows whose own component another id heads are not among them.
 
     Rows whose sets are empty are linked with nothing and stay, as do rows with a null id, whose components no id names.
     """
-    joined = join_documents(docs, t, words).filter("n_shingles > 0 and doc_id = component_id")
-    heads = joined.select(F.col("doc_id").alias("_head")).distinct()
+    joined = joined_rows(docs, t, words).filter("n_shingles > 0 and doc_id = component_id")
+    heads = joined.groupBy(F.col("doc_id").alias("_head")).agg(F.min("text_hash").alias("_least"), F.count("*").alias("_rows"))
     named = F.col("doc_id").cast("long")
-    least = docs.groupBy(named.alias("_id")).agg(F.min(F.xxhash64("text")).alias("_least"), F.count("*").alias("_rows"))
     none = ~F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
-    rows = docs.join(heads, named == F.col("_head"), "left").join(least, named == F.col("_id"), "left")
+    rows = docs.join(heads, named == F.col("_head"), "left")
     chosen = F.col("_head").isNotNull() & (F.xxhash64("text") == F.col("_least"))
     kept = rows.filter(named.isNull() | none | chosen)
     single = kept.filter(named.isNull() | none | (F.col("_rows") == 1)).select(*docs.columns)

@@ -103,3 +103,11 @@ def test_awkward_rows(spark, awkward, empty):
     assert kept.columns == awkward.columns
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == [(False, i) for i in range(1, 8)] + [(True, 0)]
     assert ngram_join.join_documents(empty).count() == ngram_join.keep_one(empty).count() == 0
+
+
+def test_repeated_ids_keep_a_row_of_their_own_component(spark):
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+    for shared, own in ((a, b), (b, a)):
+        rows = spark.createDataFrame([(3, shared), (5, shared), (5, own), (5, None), (7, None), (7, own + " x y")], "doc_id long, text string")
+        kept = sorted(((r["doc_id"], r["text"] or "") for r in ngram_join.keep_one(rows).collect()))
+        assert kept == sorted([(3, shared), (5, own), (5, ""), (7, ""), (7, own + " x y")])
