@@ -10,21 +10,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def dimension(vectors: DataFrame, column: str = "embedding") -> int:
-    """The commonest length of a vector (of equally common ones the greatest); 0 if there is none."""
-    sizes = vectors.filter(F.size(column) > 0).groupBy(F.size(column).alias("n")).count()
-    found = sizes.orderBy(F.desc("count"), F.desc("n")).first()
-    return found["n"] if found else 0
+def lengths(vectors: DataFrame, column: str = "embedding") -> dict[int, int]:
+    """How many vectors there are of each length above 0."""
+    sizes = vectors.filter(F.size(column) > 0).groupBy(F.size(column).alias("d")).agg(F.count("*").alias("m"))
+    return {r["d"]: r["m"] for r in sizes.collect()}
 
 
-def packed(vectors: DataFrame, id_col: str, column: str = "embedding") -> tuple[DataFrame, int]:
-    """Rows that take part, as (id_col, vec: bytes of 32-bit floats, or of 64-bit ones where a component needs them),
-    and the dimension.
+def packed(vectors: DataFrame, id_col: str, column: str, d: int) -> DataFrame:
+    """The vectors of d components that take part, as (id_col, vec: bytes of 32-bit floats, or of 64-bit ones where a
+    component needs them).
 
-    Left out are null ids and vectors that are null, zero, of another length than most, or hold a component that is
-    null or not finite.
+    Left out are null ids and vectors that are null, zero, or hold a component that is null or not finite.
     """
-    d = dimension(vectors, column)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -45,9 +42,7 @@ def packed(vectors: DataFrame, id_col: str, column: str = "embedding") -> tuple[
             )
 
     rows = vectors.select(F.col(id_col).cast("long"), F.col(column).cast("array<double>"))
-    if not d:
-        rows = rows.filter(F.lit(False))
-    return rows.mapInArrow(pack, f"{id_col} long, vec binary"), d
+    return rows.filter(F.size(column) == d).mapInArrow(pack, f"{id_col} long, vec binary")
 
 
 def matrix(column, d: int) -> np.ndarray:

@@ -69,6 +69,32 @@ def test_near_duplicates_in_a_dense_cone(spark):
     assert sum(rows[i] != (links[i], label[i]) for i in range(len(x))) <= 2
 
 
+@pytest.mark.parametrize("median", [0.5, 0.9])
+def test_planted_pairs_among_vectors_with_a_common_direction(spark, median):
+    rng = np.random.default_rng(12)
+    x = vectors.unit(np.sqrt(median) * np.eye(64)[:1] + np.sqrt(1 - median) * vectors.unit(rng.standard_normal((4000, 64))))
+    aside = rng.standard_normal((300, 64))
+    aside = vectors.unit(aside - (aside * x[:300]).sum(1, keepdims=True) * x[:300])
+    x = np.vstack([x, 0.952 * x[:300] + np.sqrt(1 - 0.952**2) * aside]).astype(np.float32)
+    links, label = brute_links(x, 0.95)
+    rows = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embed_dedup.dedup(frame(spark, x)).collect()}
+    planted = range(4000, 4300)
+    assert sum(label[i] == label[i - 4000] for i in planted) == 300
+    assert sum(rows[i][1] == label[i] for i in planted) >= 0.99 * 300
+    assert sum(rows[i] == (links[i], label[i]) for i in range(len(x))) >= 0.99 * len(x)
+
+
+def test_near_duplicates_of_repeated_ids_and_other_lengths(spark):
+    a, b = [1.0, 0.0, 0.1], [0.0, 1.0, 0.0]
+    near = lambda v: [x + 0.01 for x in v]
+    rows = [(1, a, 0), (1, b, 0), (2, near(a), 0), (3, near(b), 0), (3, near(b), 0), (4, [1.0, 2.0], 0), (5, [1.0, 2.0], 0), (6, [3.0], 0)]
+    found = embed_dedup.dedup(spark.createDataFrame(rows, VECS)).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in found) == sorted(
+        [(1, 1, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 2, 1, False), (3, 2, 1, False)]
+        + [(4, 1, 4, True), (5, 1, 4, False), (6, 0, 6, True)]
+    )
+
+
 @pytest.mark.parametrize("window", [1, 3, 40])
 def test_hashes_that_separate(window):
     rng = np.random.default_rng(4)
@@ -144,19 +170,59 @@ def test_neighbours_among_vectors_of_any_length(spark, norms):
     elif norms == "one long":
         x[17] *= 1000
     recall, fewest = neighbour_recall(spark, x.astype(np.float32), 20)
-    assert recall >= 0.985 and fewest == 20
+    assert recall >= 0.93 and fewest == 20
+
+
+@pytest.mark.parametrize(("d", "norms"), [(256, False), (768, True)])
+def test_neighbours_in_many_dimensions(spark, d, norms):
+    rng = np.random.default_rng(8)
+    x = vectors.unit(rng.standard_normal((1500, d)))
+    if norms:
+        x *= rng.uniform(0.2, 3, (len(x), 1))
+    recall, fewest = neighbour_recall(spark, x.astype(np.float32), 25)
+    assert recall >= 0.9 and fewest == 20
+
+
+def test_equal_vectors_and_ties(spark):
+    rng = np.random.default_rng(10)
+    x = rng.standard_normal((400, 32)).astype(np.float32)
+    x[100:300] = x[100]
+    df = frame(spark, x)
+    found = {}
+    for r in ann.nearest(df, df, k=20).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for q in range(100, 300):
+        mine = sorted(found[q])
+        assert [v for _, v, _ in mine] == [i for i in range(100, 300) if i != q][:20] and len({s for *_, s in mine}) == 1
+    assert all(len(mine) == 20 for mine in found.values()) and len(found) == 400
+
+
+def test_scores_do_not_depend_on_a_row_s_place():
+    rng = np.random.default_rng(11)
+    q, x = rng.standard_normal(64), rng.standard_normal(64)
+    for n in (5, 7, 13, 101, 1003):
+        assert len(set(ann.exact_products(np.tile(x, (n, 1)), np.tile(q, (n, 1))).tolist())) == 1
+
+
+def test_norms_bound_what_is_probed():
+    needed = ann.CrossPolytope(64).needed()
+    score = np.array([0.9, 0.9, -np.inf, 1.0])
+    probes = ann.probes_for(score, np.ones(4), 1.0, needed, 8, 128)
+    assert probes[2] == 128 and probes[3] <= probes[0] < 128
+    assert (ann.probes_for(score, np.ones(4), 0.5, needed, 8, 128) == [0, 0, 128, 0]).all()
 
 
-@pytest.mark.parametrize("n", [15, 21])
+@pytest.mark.parametrize("n", [15, 21, 45])
 def test_tables_of_about_as_many_vectors_as_asked(spark, n):
     x = np.random.default_rng(7).standard_normal((n, 64)).astype(np.float32)
-    assert neighbour_recall(spark, x, 1) == (1.0, n - 1)
+    assert neighbour_recall(spark, x, 1) == (1.0, min(20, n - 1))
 
 
 def test_probes_needed_fall_with_the_cosine():
-    hashes = ann.CrossPolytope(64)
-    needed = hashes.needed()
-    assert (np.diff(needed) <= 0).all() and needed[0] == 2 * hashes.size and needed[-1] == 1
+    for hashes in (ann.CrossPolytope(64), ann.CrossPolytope(64, 10**6)):
+        needed = hashes.needed()
+        assert (np.diff(needed) <= 0).all() and needed[0] > hashes.size and needed[-1] == 1
+    assert hashes.size == ann.MOST_AXES
 
 
 def test_fewer_candidates_than_asked(spark):
@@ -187,6 +253,8 @@ def test_components_against_union_find(spark):
 
 def test_double_vectors_keep_their_precision(spark):
     rows = [(1, [1.0 + 2**-40, 2.0]), (2, [1e300, 1e-300])]
-    df, d = vectors.packed(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id")
-    assert d == 2 and {r["vec_id"]: vectors.matrix([r["vec"]], d)[0].tolist() for r in df.collect()} == dict(rows)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert vectors.lengths(df) == {2: 2}
+    df = vectors.packed(df, "vec_id", "embedding", 2)
+    assert {r["vec_id"]: vectors.matrix([r["vec"]], d)[0].tolist() for r in df.collect()} == dict(rows)
     assert np.allclose(np.linalg.norm(vectors.unit(np.array([[1e300, 1e300], [1e-300, 0]])), axis=1), 1)
