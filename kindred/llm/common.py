@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -20,12 +21,14 @@ ARROW_ROWS = 1000
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir, which driver and executors share.
 
-    Only where the session names none (tests, a laptop), a folder of this machine takes its place.
+    Only where the session names none and runs on this machine alone (tests, a laptop), a folder of it takes its place.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         found = spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="kindred-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -42,6 +45,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete all scratch tables of this package below the shared folder, for when no result is read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/kindred")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
@@ -73,6 +82,12 @@ def prefix_offsets(counts: DataFrame, order: str, n: str, out: str) -> DataFrame
     return counts.withColumn(out, F.coalesce(F.sum(n).over(w), F.lit(0)).cast("long"))
 
 
+def one_of_each(rows: DataFrame, *by: str) -> DataFrame:
+    """One row of each value of `by`, the one with the least hash; tasks leave out others before they exchange rows."""
+    w = Window.partitionBy(*by).orderBy(F.xxhash64(*[c for c, t in rows.dtypes if "map<" not in t]))
+    return rows.withColumn("_copy", F.row_number().over(w)).filter("_copy = 1").drop("_copy")
+
+
 def append_columns(
     df: DataFrame, text: str, make: Callable[[], Callable[[list], list[pa.Array]]], added: list[tuple[str, str]]
 ) -> DataFrame:

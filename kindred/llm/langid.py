@@ -23,8 +23,8 @@ from kindred.llm import common
 
 PROFILE = 300
 SAMPLE = 1500
-#: Of languages by number of documents; a column of free text in place of language codes can't flood the driver.
-MAX_LANGS = 250
+#: More languages than this are an error: a column of free text in place of language codes would flood the driver.
+MOST_LANGS = 10_000
 UNKNOWN = "und"
 SHIFT = 21
 #: Stands for the border of a word; no letter has this code point, and not being 0 it tells n-grams of all lengths apart.
@@ -104,11 +104,13 @@ class Profiles:
 def fit(docs: DataFrame, size: int = PROFILE, sample: int = SAMPLE, seed: int = 1) -> Profiles:
     """Profiles of the languages named in docs (doc_id, text, lang); rows whose lang is null are left out.
 
-    No rows: no languages, and every prediction is `und`. Documents that repeat an id count each.
+    Every value of lang has a profile; more than MOST_LANGS of them are an error. No rows: no languages, and every
+    prediction is `und`. Documents that repeat an id count each.
     """
     known = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull())
-    most = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).select("lang")
-    bars = common.hash_sample(known.join(F.broadcast(most), "lang", "left_semi"), "doc_id", "lang", sample, seed)
+    if (n := known.select("lang").distinct().count()) > MOST_LANGS:
+        raise ValueError(f"{n} values of lang; at most {MOST_LANGS} are learned")
+    bars = common.hash_sample(known, "doc_id", "lang", sample, seed)
     chosen = known.join(F.broadcast(bars), "lang").filter(common.sample_hash("doc_id", seed) <= F.col("_bar"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

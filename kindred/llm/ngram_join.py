@@ -2,16 +2,21 @@
 
 Each shingle flips one bit of a sketch, so two sketches differ in at most as many bits as their sets have elements not
 shared. Sets with a Jaccard similarity of at least t have at most d = (1 - t) / (1 + t) * (|A| + |B|) of those; with
-sketches cut into d + 1 blocks, such a pair agrees on a whole block. Sets are dealt to bands of similar size, since d
-grows with size; a set near the top of its band is entered into the next one as well. At thresholds from 0.9 the join
-is exact; below, see BLOCK_ELEMENTS and MISS.
+sketches cut into more than d blocks, such a pair agrees on a whole block. Sets are dealt to bands of similar size, since
+d grows with size; a set near the top of its band is entered into the next one as well. The join is exact at every
+threshold.
 
-1. Equal sets are one class. Each class enters its blocks as bucket keys; buckets of one class go.
+1. Equal sets are one class, with a number of its own. Each class enters its blocks as bucket keys; a block's key is the
+   XOR of the hashes of its shingles, the fingerprint of a sketch as wide as there are hashes. Sketches have a few blocks
+   more than d + 1, so that up to as many empty ones, on which many sets agree, need not be entered. Buckets of one class go.
 2. In a bucket, pairs whose short sketches (again a lower bound) differ in more than d bits go; what is left connects
    classes to provisional components. No pair above the threshold is lost by either bound.
 3. Within a provisional component, pairs are verified on the sets themselves, nearest sketches first and only while
-   they would connect something new. Components of more than BLOCK classes are dealt to blocks, compared by pairs of
-   blocks in separate tasks; tasks give spanning edges, never all pairs.
+   they would connect something new.
+
+Buckets and components, however large, are compared in shares of bounded size, see spanning(): most of a group of near
+copies connects within shares, and only what is then still apart from its largest part is compared with all of it. No
+step writes out all pairs; links() does, between classes, for those who ask for them.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.llm import common, components, shingles
@@ -34,13 +39,12 @@ WORDS = 3
 #: Of near-duplicate stages: five words, four fifths.
 STAGE_THRESHOLD, STAGE_WORDS = Fraction(80, 100), 5
 BAND = 1.2
-WORD_BITS = 128
 #: Sets of at least WIDE_FROM elements have a second, wider sketch, as the short one is full of ones and zeros then.
 SHORT_BITS, WIDE_BITS, WIDE_FROM = 1024, 8192, 1000
-#: Blocks of few elements agree by chance. Below EXACT_FROM, where d + 1 blocks would have less than BLOCK_ELEMENTS each,
-#: blocks are made larger as far as a pair at the threshold still agrees on one with probability 1 - MISS.
-EXACT_FROM, BLOCK_ELEMENTS, MISS = Fraction(90, 100), 9.0, 1e-5
-BLOCK = 512
+#: Rows of a share of a bucket and of a component, and rows that a task compares at least.
+BUCKET_SHARE, SET_SHARE, TASK_ROWS = 512, 128, 4096
+#: Fingerprints that a task remembers, to leave out copies.
+HAD_SETS = 200_000
 
 
 def most_apart(total, t: Fraction = THRESHOLD):
@@ -62,13 +66,16 @@ def band_edge(band: int) -> int:
 
 
 @lru_cache(maxsize=None)
-def blocks_in(band: int, t: Fraction) -> int:
-    """d + 1 for the largest sets of the band; fewer under BLOCK_ELEMENTS and MISS."""
-    apart = most_apart(2 * (band_edge(band + 1) - 1), t)
-    m, least = apart + 1, band_edge(band)
-    while t < EXACT_FROM and m > 1 and least / m < BLOCK_ELEMENTS and (1 - math.exp(-apart / (m - 1))) ** (m - 1) <= MISS:
-        m -= 1
-    return m
+def blocks_in(band: int, t: Fraction) -> tuple[int, int]:
+    """Blocks of the sets of a band, and how many of them may be left out: with d elements not shared by the largest
+    sets, d + 1 blocks and as many more as the smallest set is likely to leave empty."""
+    apart, least = most_apart(2 * (band_edge(band + 1) - 1), t), band_edge(band)
+    m = apart + 1
+    if m < 8 or least < 3 * m:
+        return m, 0
+    empty = m * math.exp(-least / m)
+    spare = math.ceil(1.2 * empty + 2 * math.sqrt(empty))
+    return m + spare, spare
 
 
 def bands_for(n: int, t: Fraction) -> list[int]:
@@ -78,17 +85,16 @@ def bands_for(n: int, t: Fraction) -> list[int]:
 
 
 def block_keys(h: np.ndarray, band: int, t: Fraction) -> np.ndarray:
-    """Bucket keys of a set in a band: a hash of each block's parities, with block and band."""
-    m = blocks_in(band, t)
+    """Bucket keys of a set in a band: the XOR of each block's hashes, with block and band. As similar sets agree on more
+    blocks than may be left out, empty ones are, if they are not more."""
+    m, spare = blocks_in(band, t)
     block = (h >> np.uint64(32)) % np.uint64(m)
-    bit = h & np.uint64(WORD_BITS - 1)
-    odd = np.bincount((block * np.uint64(WORD_BITS) + bit).astype(np.int64), minlength=m * WORD_BITS) & 1
-    words = np.packbits(odd.astype(np.uint8)).view(np.uint64).reshape(m, -1)
+    words = np.zeros(m, np.uint64)
+    np.bitwise_xor.at(words, block.astype(np.int64), shingles.mix(h ^ shingles.PLACES[11]))
     places = np.arange(m, dtype=np.uint64) * np.uint64(1 << 16) + np.uint64(band)
-    key = shingles.mix(places + shingles.PLACES[12])
-    for j in range(words.shape[1]):
-        key = shingles.mix(key ^ (words[:, j] * shingles.PLACES[j]))
-    return key
+    if (words == 0).sum() <= spare:
+        words, places = words[words != 0], places[words != 0]
+    return shingles.mix(shingles.mix(places + shingles.PLACES[12]) ^ (words * shingles.PLACES[0]))
 
 
 def sketch(h: np.ndarray) -> bytes:
@@ -130,21 +136,18 @@ class Union:
         return i != j
 
 
-def sketch_all(docs: DataFrame, t: Fraction, words: int) -> DataFrame:
-    """doc_id, text_hash, n, s1, s2 (fingerprint), keys and sketch of every row; a set without elements has no keys."""
-    names = ["doc_id", "text_hash", "n", "s1", "s2", "keys", "sketch"]
+def sketch_all(docs: DataFrame, words: int) -> DataFrame:
+    """row (its number), doc_id, text_key (a hash of id and text), n, s1, s2 (fingerprint) and sketch of every row, written
+    to the shared folder."""
+    names = ["doc_id", "text_key", "n", "s1", "s2", "sketch"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, prints, keys, sketches = [], [], [], []
+            sizes, prints, sketches = [], [], []
             for h in shingles.shingle_sets(batch.column(1).to_pylist(), words):
-                own = [block_keys(h, band, t) for band in bands_for(len(h), t)] if len(h) else []
-                keys.append(np.concatenate(own) if own else np.empty(0, np.uint64))
                 sizes.append(len(h))
                 prints.append(fingerprint(h))
                 sketches.append(sketch(h))
-            ends = np.cumsum([0] + [len(k) for k in keys]).astype(np.int32)
-            flat = np.concatenate([np.empty(0, np.uint64), *keys]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -152,14 +155,28 @@ def sketch_all(docs: DataFrame, t: Fraction, words: int) -> DataFrame:
                     pa.array(sizes, pa.int64()),
                     pa.array([p for p, _ in prints], pa.int64()),
                     pa.array([p for _, p in prints], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                     pa.array(sketches, pa.binary()),
                 ],
                 names=names,
             )
 
-    schema = "doc_id long, text_hash long, n long, s1 long, s2 long, keys array<long>, sketch binary"
-    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(run, schema)
+    schema = "doc_id long, text_key long, n long, s1 long, s2 long, sketch binary"
+    rows = docs.select(F.col("doc_id").cast("long"), "text", text_key()).mapInArrow(run, schema)
+    return common.materialize(rows.withColumn("row", F.monotonically_increasing_id()), "sketches")
+
+
+def text_key() -> Column:
+    return F.xxhash64(F.col("doc_id").cast("long"), "text", F.col("doc_id").isNull()).alias("text_key")
+
+
+def first_rows(rows: DataFrame, *by: str) -> DataFrame:
+    """For each value of `by` its least doc_id (null last), of its rows the text_key of one and how many rows have this id
+    and text, and as node the number of one of its rows. Copies are counted before they meet in one task."""
+    counted = rows.groupBy(*by, "doc_id", "text_key").agg(F.min("row").alias("row"), F.count("*").alias("rows"))
+    head = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "rows")).alias("head")
+    return counted.groupBy(*by).agg(head, F.min("row").alias("node")).select(
+        *by, "node", F.col("head.doc_id").alias("least"), F.col("head.text_key").alias("text_key"), F.col("head.rows").alias("rows")
+    )
 
 
 class Sketches:
@@ -188,150 +205,236 @@ class Sketches:
         return ok, apart
 
 
-def provisional_edges(classes: DataFrame, t: Fraction) -> DataFrame:
-    """Edges (u, v) that connect classes which share a bucket and whose short sketches are near enough."""
-    from pyspark.sql import Window
-
-    keys = classes.select("rep", F.explode("keys").alias("bucket"))
-    shared = keys.withColumn("m", F.count("*").over(Window.partitionBy("bucket"))).filter("m > 1")
-    blocks = F.expr(f"(m + {BLOCK - 1}) div {BLOCK}").cast("int")
-    rows = shared.withColumn("blocks", blocks).join(classes.select("rep", "n", "sketch"), "rep")
-    own = F.pmod(F.xxhash64(F.lit(6), "rep"), F.col("blocks")).cast("int")
-    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    # Buckets of one block share tasks; larger ones have a task for each pair of blocks.
-    bins = 4 * common.parts(classes.sparkSession)
-    rows = rows.withColumns(
-        {
-            "bin": F.when(F.col("blocks") > 1, F.col("bucket")).otherwise(F.pmod(F.xxhash64("bucket"), F.lit(bins))),
-            "lo": F.least("own", "other"),
-            "hi": F.greatest("own", "other"),
-        }
-    )
+def compare(group: pd.DataFrame, unit: list[str], t: Fraction, every: bool) -> pd.DataFrame:
+    """Links (u, v) between the rows of each unit (node, n, sketch, and set, label, rest where they matter).
 
-    def link(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates(["bucket", "rep"]).sort_values(["bucket", "rep"], ignore_index=True)
-        bucket, rep, n = group["bucket"].to_numpy(), group["rep"].to_numpy(), group["n"].to_numpy()
-        sketches, left, right = Sketches(group["sketch"], n), [], []
-        for o in range(1, len(group)):
-            i = np.flatnonzero(bucket[:-o] == bucket[o:])
-            if not len(i):
-                break
-            ok, _ = sketches.near(i, i + o, t)
+    Without sets the pairs that may be similar, with sets those that are; pairs with one label, and pairs of which neither
+    is in the rest, are left out. With every all links, else as many as connect the same.
+    """
+    group = group.drop_duplicates([*unit, "node"]).sort_values([*unit, "node"], ignore_index=True)
+    code = group.groupby(unit, sort=False).ngroup().to_numpy()
+    node, sketches = group["node"].to_numpy(), Sketches(group["sketch"], group["n"].to_numpy())
+    label = group["label"].to_numpy() if "label" in group else None
+    rest = group["rest"].to_numpy() if "rest" in group else None
+    left, right, apart = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for o in range(1, len(group)):
+        same = code[:-o] == code[o:]
+        if not same.any():
+            break
+        if label is not None:
+            same &= label[:-o] != label[o:]
+        if rest is not None:
+            same &= rest[:-o] | rest[o:]
+        i = np.flatnonzero(same)
+        if len(i):
+            ok, differ = sketches.near(i, i + o, t)
             left.append(i[ok])
             right.append(i[ok] + o)
-        empty = np.empty(0, np.int64)
-        label = components.least_labels(len(group), np.concatenate([empty, *left]), np.concatenate([empty, *right]))
-        other = label != np.arange(len(group))
-        return pd.DataFrame({"u": rep[other], "v": rep[label[other]]}).drop_duplicates()
-
-    dealt = rows.select("bin", "lo", "hi", "bucket", "rep", "n", "sketch")
-    return dealt.groupBy("bin", "lo", "hi").applyInPandas(link, "u long, v long").distinct()
-
+            apart.append(differ[ok])
+    left, right, apart = np.concatenate(left), np.concatenate(right), np.concatenate(apart)
+    if "set" not in group:
+        if every:
+            return pd.DataFrame({"u": node[left], "v": node[right]})
+        known = components.least_labels(len(group), left, right)
+        other = known != np.arange(len(group))
+        return pd.DataFrame({"u": node[other], "v": node[known[other]]}).drop_duplicates()
+    order = np.argsort(apart, kind="stable")
+    sets = [np.frombuffer(x, np.uint64) for x in group["set"]]
+    union, u, v = Union(len(group)), [], []
+    for i, j in zip(left[order].tolist(), right[order].tolist(), strict=True):
+        if (every or union.find(i) != union.find(j)) and similar(sets[i], sets[j], t):
+            union.join(i, j)
+            u.append(node[i])
+            v.append(node[j])
+    return pd.DataFrame({"u": np.array(u, np.int64), "v": np.array(v, np.int64)})
+
+
+LINKS = "u long, v long"
+
+
+def within_shares(rows: DataFrame, share: int, salt: int, t: Fraction) -> DataFrame:
+    """Links that connect what is linked within shares: each group (group, m: its rows) is dealt by salt to shares of about
+    `share` rows, tasks hold about TASK_ROWS rows of shares of small and large groups."""
+    own = F.pmod(F.xxhash64(F.lit(salt), "node"), F.expr(f"(m + {share - 1}) div {share}"))
+    bins = max(1, -(-rows.count() // TASK_ROWS))
+    dealt = rows.withColumn("share", own).withColumn("bin", F.pmod(F.xxhash64("group", "share"), F.lit(bins)))
+    return dealt.drop("m").groupBy("bin").applyInPandas(lambda g: compare(g, ["group", "share"], t, False), LINKS)
+
+
+def across_shares(rows: DataFrame, share: int, t: Fraction, every: bool) -> DataFrame:
+    """Links between the rows of each group of which `rest` is true (label, rest) and all its others, by pairs of shares
+    in separate tasks."""
+    sizes = rows.groupBy("group").agg(F.count("*").alias("m"), F.count_if("rest").alias("k"))
+    sizes = sizes.filter("k > 0").select(
+        "group", F.expr(f"(m + {share - 1}) div {share}").alias("shares"), F.expr(f"(k + {share - 1}) div {share}").alias("parts")
+    )
+    dealt = rows.drop("m").join(sizes, "group").withColumn("share", F.pmod(F.xxhash64(F.lit(11), "node"), F.col("shares")))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64(F.lit(12), "node"), F.col("parts")))
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    all_ = dealt.withColumn("part", upto("parts"))
+    some = dealt.filter("rest").withColumn("share", upto("shares"))
+    unit = ["group", "share", "part"]
+    both = all_.unionByName(some).drop("shares", "parts")
+    return both.groupBy(*unit).applyInPandas(lambda g: compare(g, unit, t, every), LINKS)
+
+
+def spanning(rows: DataFrame, share: int, t: Fraction) -> DataFrame:
+    """Links (u, v) that connect whatever is linked within the groups of rows (group, m: its rows, node, n, sketch, set).
+
+    Groups of one share are compared at once. Larger ones are dealt to shares twice, by different hashes: of a group of
+    copies that connects nearly all. What is then not connected with the group's largest part is compared with all of
+    it, so no link is lost, and the work grows with the square of what is left only.
+    """
+    links = common.materialize(within_shares(rows, share, 21, t).distinct(), "links")
+    large = rows.filter(F.col("m") > share)
+    if large.isEmpty():
+        return links
+    links = common.materialize(links.union(within_shares(large, share, 22, t)).distinct(), "links")
+    labels = common.materialize(components.connected_components(links), "labels")
+    named = large.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+    parts = named.groupBy("group", "label").agg(F.count("*").alias("k"))
+    core = parts.groupBy("group").agg(F.max_by("label", F.struct("k", "label")).alias("core"))
+    apart = parts.join(core, "group").filter("label <> core").select("group", "core").distinct()
+    rest = named.join(apart, "group").withColumn("rest", F.col("label") != F.col("core")).drop("core")
+    return links.union(across_shares(rest, share, t, False)).distinct()
+
+
+def bucket_rows(docs: DataFrame, t: Fraction, words: int) -> DataFrame:
+    """group (a bucket key) and s1 (half a fingerprint) for each key of each row's set; a task leaves out sets that it has
+    had. Keys are made from the texts a second time: they are several times as large as all else, and so only travel
+    to where buckets are formed."""
 
-def verified_edges(docs: DataFrame, classes: DataFrame, labels: DataFrame, t: Fraction, words: int) -> DataFrame:
-    """Edges (u, v) between similar sets that connect all that is connected within each provisional component."""
-    members = classes.join(labels, classes["rep"] == labels["node"]).select("rep", "n", "s1", "s2", "sketch", "component")
-    members = common.materialize(members, "members")
-    sizes = members.groupBy("component").agg(F.count("*").alias("m"))
-    sizes = sizes.select("component", F.expr(f"(m + {BLOCK - 1}) div {BLOCK}").cast("int").alias("blocks"))
-    bins = max(1, -(-members.count() // 64))
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    rows = members.join(texts, "rep")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        had: set[tuple[int, int]] = set()
+        for batch in batches:
+            keys, prints, size = [], [], 0
+            for h in shingles.shingle_sets(batch.column(0).to_pylist(), words):
+                own = fingerprint(h)
+                if not len(h) or own in had:
+                    continue
+                if len(had) >= HAD_SETS:
+                    had.clear()
+                had.add(own)
+                for band in bands_for(len(h), t):
+                    found = block_keys(h, band, t)
+                    keys.append(found)
+                    prints.append(np.full(len(found), own[0], np.int64))
+                    size += len(found)
+                if size >= 1 << 17:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(prints))], names=["group", "s1"])
+                    keys, prints, size = [], [], 0
+            if size:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(prints))], names=["group", "s1"])
+
+    return docs.select("text").mapInArrow(run, "group long, s1 long")
+
+
+def provisional_links(docs: DataFrame, classes: DataFrame, sketched: DataFrame, t: Fraction, words: int) -> DataFrame:
+    """Links that connect classes which share a bucket and whose sketches are near enough."""
+    w = Window.partitionBy("group")
+    rows = bucket_rows(docs, t, words).withColumns({"lo": F.min("s1").over(w), "hi": F.max("s1").over(w)})
+    # Two classes whose s1 is equal by chance only share more buckets than they should.
+    shared = common.materialize(rows.filter("lo <> hi").select("group", "s1").distinct(), "buckets")
+    shared = shared.join(classes.select("s1", "node", "n"), "s1").withColumn("m", F.count("*").over(w)).drop("s1")
+    rows = shared.join(sketched.select(F.col("row").alias("node"), "sketch"), "node")
+    return spanning(common.materialize(rows, "near"), BUCKET_SHARE, t)
+
+
+def with_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
+    """members (node, group, m, n, s1, s2, sketch, text_key, rows) with the set of each, read off a text of its class."""
+    texts = docs.select(text_key(), "text")
+    single = texts.join(members.filter("rows = 1"), "text_key")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text, s1, s2 = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("text", "s1", "s2"))
             found = list(shingles.shingle_sets(text, words))
-            # Of rows that repeat an id, those with the class's set.
+            # Texts of other sets whose keys are equal by chance go.
             at = pa.array([i for i, h in enumerate(found) if fingerprint(h) == (s1[i], s2[i])], pa.int64())
-            kept = batch.select(["rep", "n", "sketch", "component"]).take(at)
+            kept = batch.select(["group", "m", "node", "n", "sketch"]).take(at)
             hashes = pa.array([found[i].tobytes() for i in at.to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*kept.columns, hashes], names=[*kept.schema.names, "set"])
 
-    rows = rows.mapInArrow(sets, "rep long, n long, sketch binary, component long, set binary").join(sizes, "component")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64(F.lit(7), "rep"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    small = -1 - F.pmod(F.xxhash64(F.lit(8), "component"), F.lit(bins))
-    rows = rows.withColumns(
-        {
-            "bin": F.when(F.col("blocks") > 1, F.col("component")).otherwise(small),
-            "lo": F.least("own", "other"),
-            "hi": F.greatest("own", "other"),
-        }
-    )
+    repeated = common.one_of_each(texts.join(members.filter("rows > 1"), "text_key"), "node")
+    found = single.unionByName(repeated.select(single.columns))
+    return found.mapInArrow(sets, "group long, m long, node long, n long, sketch binary, set binary")
+
+
+def sketched_classes(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
+    """Every row (see sketch_all) and the classes of equal sets (see first_rows)."""
+    sketched = sketch_all(docs, words)
+    return sketched, common.materialize(first_rows(sketched.filter("n > 0"), "n", "s1", "s2"), "classes")
 
-    def verify(group: pd.DataFrame) -> pd.DataFrame:
-        u, v = [], []
-        for _, c in group.groupby("component", sort=True):
-            c = c.drop_duplicates("rep").sort_values("rep", ignore_index=True)
-            sketches, own, rep = Sketches(c["sketch"], c["n"].to_numpy()), c["own"].to_numpy(), c["rep"].to_numpy()
-            lo, hi = int(c["lo"].iloc[0]), int(c["hi"].iloc[0])
-            pairs = []
-            for i in range(len(c) - 1):
-                j = np.arange(i + 1, len(c))
-                if lo != hi:
-                    j = j[own[j] != own[i]]
-                ok, apart = sketches.near(np.full(len(j), i), j, t)
-                pairs.append((np.full(ok.sum(), i), j[ok], apart[ok]))
-            if not pairs:
-                continue
-            left, right, apart = (np.concatenate(p) for p in zip(*pairs, strict=True))
-            order = np.argsort(apart, kind="stable")
-            known = [np.frombuffer(s, np.uint64) for s in c["set"]]
-            union = Union(len(c))
-            for i, j in zip(left[order].tolist(), right[order].tolist(), strict=True):
-                if union.find(i) != union.find(j) and similar(known[i], known[j], t):
-                    union.join(i, j)
-                    u.append(rep[i])
-                    v.append(rep[j])
-        return pd.DataFrame({"u": np.array(u, np.int64), "v": np.array(v, np.int64)})
-
-    dealt = rows.select("bin", "lo", "hi", "component", "rep", "n", "own", "sketch", "set")
-    return dealt.groupBy("bin", "lo", "hi").applyInPandas(verify, "u long, v long")
+
+def candidates(docs: DataFrame, sketched: DataFrame, classes: DataFrame, t: Fraction, words: int) -> DataFrame:
+    """Classes in provisional components of several: all of first_rows, sketch, group (the component) and m (its size)."""
+    near = components.connected_components(provisional_links(docs, classes, sketched, t, words))
+    near = common.materialize(near, "near")
+    sizes = near.groupBy(F.col("component").alias("group")).agg(F.count("*").alias("m"))
+    members = classes.join(near.withColumnRenamed("component", "group"), "node").join(sizes, "group")
+    members = members.join(sketched.select(F.col("row").alias("node"), "sketch"), "node")
+    return common.materialize(members, "members")
+
+
+def joined_rows(docs: DataFrame, t: Fraction, words: int) -> DataFrame:
+    """row, doc_id, text_key, n_shingles, component (null for empty sets) and component_id of each row."""
+    sketched, classes = sketched_classes(docs, words)
+    members = candidates(docs, sketched, classes, t, words)
+    small = with_sets(docs, members.filter(F.col("m") <= SET_SHARE), words)
+    links = spanning(small, SET_SHARE, t)
+    if not (large := members.filter(F.col("m") > SET_SHARE)).isEmpty():
+        links = links.union(spanning(common.materialize(with_sets(docs, large, words), "sets"), SET_SHARE, t))
+    labels = components.connected_components(links)
+    same = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = same.groupBy("component").agg(F.min("least").alias("component_id"))
+    same = same.join(named, "component").select("n", "s1", "s2", "component", "component_id")
+    # Numbers of classes are in no order of ids: a component is named by the least id of its classes.
+    found = sketched.select("row", "doc_id", "text_key", "n", "s1", "s2").join(same, ["n", "s1", "s2"], "left")
+    name = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return found.select("row", "doc_id", "text_key", F.col("n").alias("n_shingles"), "component", name.alias("component_id"))
 
 
 def join_documents(docs: DataFrame, t: Fraction = THRESHOLD, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of docs (doc_id, text; other columns are ignored).
 
-    component_id is the least doc_id reachable by links, where documents link whose sets of shingles have a Jaccard
-    similarity of at least t. Null or empty texts, and texts of white space, have empty sets and link with nothing.
-    Rows that repeat an id share its links; a null id has a null component unless its set is that of another document.
+    component_id is the least doc_id reachable by links, where rows link whose sets of shingles have a Jaccard
+    similarity of at least t. Null or empty texts, and texts of white space, have empty sets and link with nothing. Rows
+    that repeat an id are documents of their own, each with the links of its text; a null id has a null component_id
+    unless it is linked with a document that has an id.
     """
-    return joined_rows(docs, t, words).drop("text_hash")
+    return joined_rows(docs, t, words).select("doc_id", "n_shingles", "component_id")
 
 
-def joined_rows(docs: DataFrame, t: Fraction, words: int) -> DataFrame:
-    """join_documents with the hash of each row's text."""
-    sketched = common.materialize(sketch_all(docs, t, words), "sketches")
-    classes = sketched.filter("n > 0 and doc_id is not null").groupBy("n", "s1", "s2").agg(
-        F.min("doc_id").alias("rep"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")
-    )
-    classes = common.materialize(classes, "classes")
-    near = components.connected_components(provisional_edges(classes, t))
-    edges = verified_edges(docs, classes, common.materialize(near, "near"), t, words)
-    labels = components.connected_components(edges)
-    same = classes.select("n", "s1", "s2", "rep").join(labels, F.col("rep") == F.col("node"), "left")
-    same = same.select("n", "s1", "s2", F.coalesce("component", "rep").alias("component_id"))
-    # Two classes may share a representative's id; a row's own id is below neither.
-    found = sketched.select("doc_id", "text_hash", "n", "s1", "s2").join(same, ["n", "s1", "s2"], "left")
-    return found.select(
-        "doc_id", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+def links(docs: DataFrame, t: Fraction = THRESHOLD, words: int = WORDS) -> DataFrame:
+    """All links between different sets: id_a, id_b (the least ids of two classes of equal sets, null where all its ids
+    are) and rows_a, rows_b (their documents). Equal documents are linked without being listed.
+
+    This compares all pairs of a provisional component whose sketches allow it, in shares; join_documents doesn't.
+    """
+    sketched, classes = sketched_classes(docs, words)
+    members = candidates(docs, sketched, classes, t, words)
+    rows = common.materialize(with_sets(docs, members, words), "sets")
+    rows = rows.withColumns({"label": F.col("node"), "rest": F.lit(True)})
+    found = across_shares(rows, SET_SHARE, t, True).distinct()
+    sizes = sketched.groupBy("n", "s1", "s2").agg(F.count("*").alias("rows"))
+    known = classes.drop("rows").join(sizes, ["n", "s1", "s2"]).select("node", "least", "rows")
+    for end, side in (("u", "a"), ("v", "b")):
+        own = known.select(F.col("node").alias(end), F.col("least").alias(f"id_{side}"), F.col("rows").alias(f"rows_{side}"))
+        found = found.join(own, end)
+    return found.select("id_a", "id_b", "rows_a", "rows_b")
 
 
 def keep_one(docs: DataFrame, t: Fraction = THRESHOLD, words: int = WORDS) -> DataFrame:
-    """docs with one row of each component: of the rows whose doc_id is the component_id, one with the least text hash.
-    An id's rows whose own component another id heads are not among them.
+    """docs with one row of each component: one with its least doc_id (null last), of these one with the least hash of its
+    text, of equal ones one by a hash of the row.
 
-    Rows whose sets are empty are linked with nothing and stay, as do rows with a null id, whose components no id names.
+    Rows whose sets are empty are linked with nothing and stay.
     """
-    joined = joined_rows(docs, t, words).filter("n_shingles > 0 and doc_id = component_id")
-    heads = joined.groupBy(F.col("doc_id").alias("_head")).agg(F.min("text_hash").alias("_least"), F.count("*").alias("_rows"))
-    named = F.col("doc_id").cast("long")
+    heads = first_rows(joined_rows(docs, t, words).filter("component IS NOT NULL"), "component")
+    heads = heads.select("text_key", "rows").distinct()
     none = ~F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
-    rows = docs.join(heads, named == F.col("_head"), "left")
-    chosen = F.col("_head").isNotNull() & (F.xxhash64("text") == F.col("_least"))
-    kept = rows.filter(named.isNull() | none | chosen)
-    single = kept.filter(named.isNull() | none | (F.col("_rows") == 1)).select(*docs.columns)
-    repeated = kept.filter(named.isNotNull() & ~none & (F.col("_rows") > 1)).select(*docs.columns)
-    return single.union(repeated.dropDuplicates(["doc_id"]))
+    named = heads.select(F.col("text_key").alias("_kindred_key"), F.col("rows").alias("_kindred_rows"))
+    kept = docs.filter(~none).withColumn("_kindred_key", text_key()).join(named, "_kindred_key")
+    single = kept.filter("_kindred_rows = 1").select(*docs.columns)
+    repeated = common.one_of_each(kept.filter("_kindred_rows > 1"), "_kindred_key").select(*docs.columns)
+    return docs.filter(none).union(single).union(repeated)

@@ -39,7 +39,7 @@ def op2_embedding_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = warc.archive_pages(common.read_table(spark, sf_dir, "pages")).filter("record_type <> 'gap'")
+    records = warc.archive_pages(common.read_table(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

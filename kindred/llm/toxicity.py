@@ -5,7 +5,8 @@ linear softmax over both classes reads it; embeddings and softmax are trained jo
 training has not met shares most n-grams with its word. As all is linear, a trained model gives each word one number,
 and a text's log odds are the mean of its words' numbers plus a bias: scoring reads each word once.
 
-It is fitted on at most `sample` labelled documents a class, those with the least hashes of their ids.
+It is fitted on at most `sample` toxic documents and three times as many clean ones, those with the least hashes of
+their ids. Their bags are made in tasks; of these only buckets that several documents have come to the driver.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import string
 import zlib
 from array import array
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,6 +39,8 @@ THRESHOLD = 0.7
 SCALE = 30.0
 #: Stripped from the ends of a word.
 MARKS = string.punctuation + "«»“”„‘’‚…–—¿¡"
+#: Documents of a training step.
+BATCH = 4
 CACHE_WORDS, CACHE_TRAINING = 400_000, 100_000
 #: Characters above which a word's n-grams are counted rather than listed, and those counted at a time.
 LONG_WORD, RUN_CHUNK = 1000, 1 << 16
@@ -147,71 +151,105 @@ class Scorer(dict):
         return 1 / (1 + math.exp(-logit)) if logit > -700 else 0.0
 
 
-def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, rate: float = 0.2, seed: int = 9) -> Model:
-    """Joint training, one document a step; with no labels of one class the model is the share of the other.
-
-    texts is emptied on the way, to hold them and what is made of them only once.
-    """
+def train(
+    bags: list[tuple[np.ndarray, np.ndarray]], labels: list[int], epochs: int = EPOCHS, rate: float = 0.2, seed: int = 9
+) -> Model:
+    """Joint training on bags (buckets, weights), BATCH documents a step; with no labels of one class the model is the
+    share of the other."""
     positive = sum(labels)
     if not 0 < positive < len(labels):
         share = min(max(positive / len(labels), 0.01), 0.99) if labels else 0.5
         return Model(np.zeros(BUCKETS, np.float32), math.log(share / (1 - share)))
     rng = np.random.default_rng(seed)
-    embedding = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
+    # Buckets that occur are numbered anew, so that what training touches lies together.
+    used = np.unique(np.concatenate([ids for ids, _ in bags])) if bags else np.empty(0, np.int64)
+    bags = [(np.searchsorted(used, ids), w) for ids, w in bags]
+    embedding = rng.uniform(-1 / DIM, 1 / DIM, (len(used), DIM)).astype(np.float32)
     softmax, bias = rng.normal(0, 0.3, (2, DIM)).astype(np.float32), np.zeros(2, np.float32)
-    seen, seen_softmax, seen_bias = np.full(BUCKETS, 1e-6, np.float32), np.full((2, DIM), 1e-6), np.full(2, 1e-6)
-    known = Subwords()
-    bags = [features(t, known) for t in texts]
-    texts.clear()
-    known.clear()
-    seen_in = np.zeros(BUCKETS, np.int32)
-    for ids, _ in bags:
-        seen_in[ids] += 1
-    frequent = seen_in >= LEAST_DOCS
-    for i, (ids, w) in enumerate(bags):
-        bags[i] = ids[frequent[ids]], w[frequent[ids]]
-    embedding[~frequent] = 0
-    weight = [len(labels) / (2 * (len(labels) - positive)), len(labels) / (2 * positive)]
+    seen, seen_softmax, seen_bias = np.full(len(used), 1e-6, np.float32), np.full((2, DIM), 1e-6), np.full(2, 1e-6)
+    marks = np.array(labels)
+    weight = np.array([len(labels) / (2 * (len(labels) - positive)), len(labels) / (2 * positive)])
     for _ in range(epochs):
-        for i in rng.permutation(len(bags)).tolist():
-            ids, w = bags[i]
-            rows = embedding[ids]
-            hidden = SCALE * (w @ rows) if len(ids) else np.zeros(DIM, np.float32)
-            z = softmax @ hidden + bias
-            p = np.exp(z - z.max())
-            error = p / p.sum()
-            error[labels[i]] -= 1
-            error *= weight[labels[i]]
+        order = rng.permutation(len(bags))
+        for lo in range(0, len(order), BATCH):
+            chosen = order[lo : lo + BATCH]
+            ids = np.concatenate([bags[i][0] for i in chosen])
+            w = np.concatenate([bags[i][1] for i in chosen])
+            doc = np.repeat(np.arange(len(chosen)), [len(bags[i][0]) for i in chosen])
+            hidden = np.stack([SCALE * (bags[i][1] @ embedding[bags[i][0]]) for i in chosen])
+            z = hidden @ softmax.T + bias
+            p = np.exp(z - z.max(1, keepdims=True))
+            error = p / p.sum(1, keepdims=True)
+            error[np.arange(len(chosen)), marks[chosen]] -= 1
+            error *= weight[marks[chosen]][:, None]
             back = error @ softmax
-            step = np.outer(error, hidden)
-            seen_softmax += step**2
+            step = error.T @ hidden
+            seen_softmax += (error**2).T @ hidden**2
             softmax -= (0.1 * rate * step / np.sqrt(seen_softmax)).astype(np.float32)
-            seen_bias += error**2
-            bias -= (0.1 * rate * error / np.sqrt(seen_bias)).astype(np.float32)
+            seen_bias += (error**2).sum(0)
+            bias -= (0.1 * rate * error.sum(0) / np.sqrt(seen_bias)).astype(np.float32)
             if len(ids):
-                g = SCALE * w * float(np.sqrt((back**2).mean()))
-                seen[ids] += g**2
-                embedding[ids] = rows * (1 - DECAY) - np.outer(rate * SCALE * w / np.sqrt(seen[ids]), back)
+                g = SCALE * w * np.sqrt((back**2).mean(1)).astype(np.float32)[doc]
+                np.add.at(seen, ids, g**2)
+                pull = (rate * SCALE * w / np.sqrt(seen[ids])).astype(np.float32)
+                touched, at = np.unique(ids, return_inverse=True)
+                moved = np.stack([np.bincount(at, pull * b, len(touched)) for b in back.astype(np.float32).T[:, doc]], axis=1)
+                embedding[touched] = embedding[touched] * (1 - DECAY) - moved.astype(np.float32)
     direction = softmax[1] - softmax[0]
-    return Model((SCALE * embedding @ direction).astype(np.float32), float(bias[1] - bias[0]))
+    numbers = np.zeros(BUCKETS, np.float32)
+    numbers[used] = SCALE * embedding @ direction
+    return Model(numbers, float(bias[1] - bias[0]))
+
+
+def bags_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """doc_id, toxic, ids (32-bit) and weights (32-bit floats) of one text of each chosen document, without buckets that
+    fewer than LEAST_DOCS of them have."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Subwords()
+        for batch in batches:
+            for i, text in enumerate(batch.column(2).to_pylist()):
+                ids, w = features(text, known)
+                lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x)) for x in (ids, w)]
+                yield pa.RecordBatch.from_arrays([*batch.slice(i, 1).columns[:2], *lists], names=["doc_id", "toxic", "ids", "w"])
+
+    rows = common.one_of_each(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "doc_id")
+    bags = rows.select("doc_id", "toxic", "text").mapInArrow(make, "doc_id long, toxic int, ids array<int>, w array<float>")
+    bags = common.materialize(bags, "bags")
+    counts = bags.select(F.explode("ids").alias("id")).groupBy("id").agg(F.count("*").alias("n"))
+    frequent = np.zeros(BUCKETS, bool)
+    frequent[[r["id"] for r in counts.filter(F.col("n") >= LEAST_DOCS).collect()]] = True
+
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+            arrays = [(np.array(ids, np.int32), np.array(w, np.float32)) for ids, w in pairs]
+            kept = [(ids[at], w[at]) for ids, w in arrays for at in [frequent[ids]]]
+            packed = [pa.array([x[k].tobytes() for x in kept], pa.binary()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *packed], names=["doc_id", "toxic", "ids", "w"])
+
+    return bags.mapInArrow(narrow, "doc_id long, toxic int, ids binary, w binary")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 9) -> Model:
     """Train on labelled documents: docs (doc_id, text), labels (doc_id, toxic).
 
-    Null ids and labels are left out; a document labelled both ways is toxic. At most `sample` documents a class, the
-    clean ones three times as many, come to the driver.
+    Null ids and labels are left out; a document labelled both ways is toxic, and of rows that repeat an id one is read.
+    At most `sample` documents a class, the clean ones three times as many, are read, and come to the driver as bags of
+    at most BUCKETS numbers.
     """
     marked = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
-    marked = marked.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
+    marked = marked.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     hashed = marked.withColumn("_h", common.sample_hash("doc_id", seed))
     chosen = hashed.filter("toxic = 1").orderBy("_h").limit(sample)
     chosen = chosen.union(hashed.filter("toxic = 0").orderBy("_h").limit(3 * sample)).select("doc_id", "toxic")
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").toPandas()
-    rows = rows.sort_values(["doc_id", "text"], kind="stable")
-    texts, marks = rows["text"].tolist(), rows["toxic"].astype(int).tolist()
-    del rows
-    model = train(texts, marks, seed=seed)
+    rows = bags_of(docs.withColumn("doc_id", F.col("doc_id").cast("long")), chosen)
+    bags, marks = [], []
+    for r in rows.orderBy("doc_id").toLocalIterator(prefetchPartitions=False):
+        bags.append((np.frombuffer(r["ids"], np.int32), np.frombuffer(r["w"], np.float32)))
+        marks.append(r["toxic"])
+    model = train(bags, marks, seed=seed)
+    del bags
     common.release_memory()
     return model
 

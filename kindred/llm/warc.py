@@ -14,6 +14,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from datetime import UTC, datetime
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -72,21 +73,39 @@ def _clean(value: str) -> str:
     return re.sub(r"[\r\n]+", " ", value)
 
 
-def page_record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
-    """A response record, or with refers_to a revisit record that holds no payload."""
+def record_id(name: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
+
+
+def page_name(page_id: int | None, digest: str) -> str:
+    return f"page:{page_id}:{digest}"
+
+
+def page_record(
+    page_id: int | None, url: str | None, payload: bytes, digest: str, name: str, date: str,
+    refers_to: int | None = None, refers_url: str | None = None, refers_known: bool = False,
+) -> bytes:
+    """A response record, or with refers_to a revisit record that holds no payload. name is unlike that of any other
+    record; with refers_known the response is the one named page_name(refers_to, digest)."""
     revisit = refers_to is not None
     headers = [
         ("WARC-Type", "revisit" if revisit else "response"),
-        ("WARC-Record-ID", f"<urn:page:{'null' if page_id is None else page_id}>"),
+        ("WARC-Record-ID", record_id(name)),
+        ("WARC-Date", date),
         ("WARC-Target-URI", _clean(url or "")),
         ("WARC-Payload-Digest", f"sha256:{digest}"),
         ("X-Payload-Length", str(len(payload))),
         ("Content-Type", "application/http; msgtype=response"),
     ]
+    if page_id is not None:
+        headers.append(("X-Page-ID", str(page_id)))
     if revisit:
         headers += [
             ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-            ("WARC-Refers-To", f"<urn:page:{refers_to}>"),
+            *([("WARC-Refers-To", record_id(page_name(refers_to, digest)))] if refers_known else []),
+            ("WARC-Refers-To-Target-URI", _clean(refers_url or "")),
+            ("WARC-Refers-To-Date", date),
+            ("X-Refers-To-Page", str(refers_to)),
         ]
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     return compress_member(format_record(headers, http if revisit else http + payload))
@@ -156,7 +175,8 @@ MANIFEST = "archive int, uri string, n_records long, n_bytes long"
 
 
 def plan_records(pages: DataFrame) -> DataFrame:
-    """Adds payload_digest, payload_bytes and refers_to (null for responses) to pages (page_id, url, html).
+    """Adds payload_digest, payload_bytes, refers_to and refers_url (null for responses) and alone to pages (page_id, url,
+    html): whether one row only has the id and payload of the response among equal payloads.
 
     Of the rows with equal payloads of at least LEAST_REVISIT bytes the smallest page_id is the response; rows that
     repeat that id are responses too, and payloads whose ids are all null stay responses.
@@ -164,20 +184,34 @@ def plan_records(pages: DataFrame) -> DataFrame:
     rows = pages.select(
         F.col("page_id").cast("long"), "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload")
     ).withColumns({"payload_digest": F.sha2("payload", 256), "payload_bytes": F.octet_length("payload").cast("long")})
-    first = (
-        rows.filter(F.col("payload_bytes") >= LEAST_REVISIT)
-        .groupBy("payload_digest")
-        .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
-        .filter("n > 1")
-        .drop("n")
+    counted = rows.filter(F.col("payload_bytes") >= LEAST_REVISIT).groupBy("payload_digest", "page_id")
+    counted = counted.agg(F.min(F.struct(F.col("url").isNull(), "url"))["url"].alias("url"), F.count("*").alias("n"))
+    first = counted.groupBy("payload_digest").agg(
+        F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url", "n"))).alias("first"), F.sum("n").alias("all")
     )
+    first = first.filter("all > 1").select("payload_digest", "first.*")
+    first = first.toDF("payload_digest", "first_id", "first_url", "copies")
     joined = rows.join(first, "payload_digest", "left")
     again = F.col("page_id").isNull() | (F.col("page_id") != F.col("first_id"))
-    return joined.withColumn("refers_to", F.when(again, F.col("first_id"))).drop("first_id")
+    joined = joined.withColumns(
+        {
+            "refers_to": F.when(again, F.col("first_id")),
+            "refers_url": F.when(again, F.col("first_url")),
+            "alone": F.coalesce(F.col("copies") == 1, F.lit(False)),
+        }
+    )
+    return joined.drop("first_id", "first_url", "copies")
 
 
-def write_archives(planned: DataFrame, folder: str) -> DataFrame:
-    """One record for each row; the manifest (written to the shared folder) names the archives of successful attempts."""
+def write_date() -> str:
+    return datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+
+
+def write_archives(planned: DataFrame, folder: str, date: str | None = None) -> DataFrame:
+    """One record for each row, of this date (now); the manifest (written to the shared folder) names the archives of
+    successful attempts. Each record has an id of its own: that of a page where revisits refer to it, else one by the
+    place where it is written."""
+    date = date or write_date()
     names = ["archive", "uri", "n_records", "n_bytes"]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +228,9 @@ def write_archives(planned: DataFrame, folder: str) -> DataFrame:
                 if out is None:
                     uri, n, size = f"{folder}/part-{part:05d}-{uuid.uuid4().hex}.warc.gz", 0, 0
                     out = storage.open_write(uri)
-                data = page_record(*row)
+                page_id, url, payload, digest, refers_to, refers_url, alone = row
+                name = page_name(page_id, digest) if alone and refers_to is None else f"{uri}#{n}"
+                data = page_record(page_id, url, payload, digest, name, date, refers_to, refers_url, alone)
                 out.write(data)
                 n, size = n + 1, size + len(data)
                 if size >= ARCHIVE_BYTES:
@@ -203,20 +239,21 @@ def write_archives(planned: DataFrame, folder: str) -> DataFrame:
         if out is not None:
             yield done()
 
-    rows = planned.select("page_id", "url", "payload", "payload_digest", "refers_to")
+    rows = planned.select("page_id", "url", "payload", "payload_digest", "refers_to", "refers_url", "alone")
     return common.materialize(rows.mapInArrow(write, MANIFEST), "archives")
 
 
-def _page(name: str) -> int | None:
-    found = re.fullmatch(r"<urn:page:(-?\d+)>", name)
-    return int(found[1]) if found else None
+def _number(headers: dict[str, str], name: str) -> int | None:
+    found = re.fullmatch(r"-?\d{1,19}", headers.get(name, ""))
+    return int(found[0]) if found else None
 
 
 RECORDS = "uri string, at long, page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary, gap_end long, why string"
 
 
-def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
-    """A row for each record that holds and each gap (record_type 'gap': bytes [at, gap_end) and why).
+def read_archives(manifest: DataFrame, payloads: bool = True, whole: bool = False) -> DataFrame:
+    """A row for each record that holds and each gap (record_type 'gap': bytes [at, gap_end) and why) of the archives of a
+    manifest; with whole an archive that does not hold all n_records of its row is an error.
 
     payload_digest and payload_bytes of a response are taken anew from its payload; those of a revisit from its header.
     """
@@ -232,32 +269,41 @@ def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
             return pa.RecordBatch.from_arrays(cols, schema=schema)
 
         for batch in batches:
-            for uri in batch.column(0).to_pylist():
-                rows, size, salvage = [], 0, Salvage()
+            for uri, expected in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                rows, size, salvage, held = [], 0, Salvage(), 0
                 for r in read_archive(storage.read_bytes(uri), salvage):
-                    h, body = r.headers, r.payload
+                    h, body, held = r.headers, r.payload, held + 1
                     if r.kind == "revisit":
-                        digest, n = h.get("warc-payload-digest", "").removeprefix("sha256:"), h.get("x-payload-length")
+                        digest, n = h.get("warc-payload-digest", "").removeprefix("sha256:"), _number(h, "x-payload-length")
                     else:
                         digest, n = hashlib.sha256(body).hexdigest(), len(body)
-                    ids = _page(h.get("warc-record-id", "")), _page(h.get("warc-refers-to", ""))
+                    ids = _number(h, "x-page-id"), _number(h, "x-refers-to-page")
                     rows.append(
-                        (uri, r.at, ids[0], h.get("warc-target-uri"), r.kind, ids[1], int(n) if n is not None else None)
+                        (uri, r.at, ids[0], h.get("warc-target-uri"), r.kind, ids[1], n)
                         + (digest, body if payloads and r.kind != "revisit" else None, None, None)
                     )
                     size += len(body) if payloads else 200
                     if size >= 4 << 20:
                         yield flush(rows)
                         rows, size = [], 0
+                if whole and (held != expected or salvage.gaps):
+                    raise ValueError(f"{uri}: {held} of {expected} records, gaps {salvage.gaps}")
                 rows += [(uri, lo, None, None, "gap", None, None, None, None, hi, w) for lo, hi, w in salvage.gaps]
                 if rows:
                     yield flush(rows)
 
     spark = manifest.sparkSession
-    return manifest.select("uri").repartition(common.parts(spark)).mapInArrow(read, RECORDS)
+    return manifest.select("uri", "n_records").repartition(common.parts(spark)).mapInArrow(read, RECORDS)
+
+
+def salvage_archives(manifest: DataFrame, name: str = "salvage") -> tuple[DataFrame, DataFrame]:
+    """The records that hold and the quarantined gaps (uri, at, gap_end, why) of archives that may be damaged, both written
+    to the shared folder. n_records of the manifest may be null, as for archives of other writers."""
+    read = common.materialize(read_archives(manifest), name)
+    return read.filter("record_type <> 'gap'").drop("gap_end", "why"), read.filter("record_type = 'gap'").select("uri", "at", "gap_end", "why")
 
 
 def archive_pages(pages: DataFrame) -> DataFrame:
-    """Write a record for each row of pages and read the archives back."""
-    spark = pages.sparkSession
-    return read_archives(write_archives(plan_records(pages), common.scratch_path(spark, "warc")), payloads=False)
+    """Write a record for each row of pages and read the archives back; a record lost on the way is an error."""
+    manifest = write_archives(plan_records(pages), common.scratch_path(pages.sparkSession, "warc"))
+    return read_archives(manifest, payloads=False, whole=True)

@@ -65,9 +65,13 @@ def corpus(seed=1):
     return docs
 
 
-@pytest.mark.parametrize(("t", "words", "block"), [(Fraction(90, 100), 3, 512), (Fraction(90, 100), 3, 7), (Fraction(80, 100), 5, 512)])
-def test_components_against_all_pairs(spark, monkeypatch, t, words, block):
-    monkeypatch.setattr(ngram_join, "BLOCK", block)
+@pytest.mark.parametrize(
+    ("t", "words", "share"),
+    [(Fraction(90, 100), 3, 128), (Fraction(90, 100), 3, 7), (Fraction(80, 100), 5, 5), (Fraction(60, 100), 2, 128)],
+)
+def test_components_against_all_pairs(spark, monkeypatch, t, words, share):
+    for name, value in {"BUCKET_SHARE": share, "SET_SHARE": share, "TASK_ROWS": 64, "HAD_SETS": 20}.items():
+        monkeypatch.setattr(ngram_join, name, value)
     docs = corpus()
     df = spark.createDataFrame(docs, "doc_id long, text string")
     rows = {r["doc_id"]: r for r in ngram_join.join_documents(df, t, words).collect()}
@@ -76,9 +80,45 @@ def test_components_against_all_pairs(spark, monkeypatch, t, words, block):
     assert all(rows[i]["n_shingles"] == len(plain_set(text, words)) for i, text in docs)
 
 
-def test_bounds_hold_for_every_pair():
+def test_a_chain_that_shares_do_not_connect(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "SET_SHARE", 4)
+    monkeypatch.setattr(ngram_join, "BUCKET_SHARE", 4)
+    words = [f"w{i}" for i in range(200)]
+    docs = [(i, " ".join(words[i : i + 100])) for i in range(0, 60, 2)]  # each is similar to its neighbours only
+    rows = ngram_join.join_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["component_id"] for r in rows} == {0}
+
+
+def test_links_between_classes(spark):
+    docs = corpus(3)
+    docs += [(1000 + i, text) for i, text in docs[:20]]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    classes = {}
+    for i, text in docs:
+        classes.setdefault(plain_set(text), []).append(i)
+    classes.pop(frozenset(), None)
+    expected = {
+        frozenset([min(classes[a]), min(classes[b])])
+        for a in classes for b in classes if a != b and Fraction(len(a & b), len(a | b)) >= Fraction(9, 10)
+    }
+    size = {min(ids): len(ids) for ids in classes.values()}
+    found = ngram_join.links(df).collect()
+    assert len(found) == len(expected) and {frozenset([r["id_a"], r["id_b"]]) for r in found} == expected
+    assert all((r["rows_a"], r["rows_b"]) == (size[r["id_a"]], size[r["id_b"]]) for r in found)
+
+
+def test_rows_that_repeat_an_id_with_another_text(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(100)) for c in "ab")
+    rows = spark.createDataFrame([(1, a), (1, b), (2, a + " z"), (3, b + " z"), (None, a), (None, a), (None, "null only here")], "doc_id long, text string")
+    found = sorted((r["doc_id"] or 0, r["component_id"] or 0, r["n_shingles"]) for r in ngram_join.join_documents(rows).collect())
+    assert found == [(0, 0, 1), (0, 1, 98), (0, 1, 98), (1, 1, 98), (1, 1, 98), (2, 1, 99), (3, 1, 99)]
+    kept = {(r["doc_id"], r["text"]) for r in ngram_join.keep_one(rows).collect()}
+    assert kept == {(1, a), (1, b), (None, "null only here")}
+
+
+@pytest.mark.parametrize("t", [Fraction(90, 100), Fraction(80, 100), Fraction(50, 100)])
+def test_bounds_hold_for_every_pair(t):
     rng = np.random.default_rng(2)
-    t = ngram_join.THRESHOLD
     for _ in range(60):
         n = int(rng.integers(1, 600))
         base = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
@@ -101,7 +141,7 @@ def test_awkward_rows(spark, awkward, empty):
     assert [(r["n_shingles"], r["component_id"]) for r in rows if r["doc_id"] is None] == [(3, 1)]
     kept = ngram_join.keep_one(awkward)
     assert kept.columns == awkward.columns
-    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == [(False, i) for i in range(1, 8)] + [(True, 0)]
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == [(False, i) for i in range(1, 8)]
     assert ngram_join.join_documents(empty).count() == ngram_join.keep_one(empty).count() == 0
 
 

@@ -118,11 +118,16 @@ def test_more_passes_for_more_vectors():
     assert embed_dedup.passes_for(100) <= embed_dedup.passes_for(10**6) <= embed_dedup.passes_for(10**9)
 
 
-def test_hadamard_keeps_lengths_and_is_its_own_inverse():
+def test_hadamard_transform():
     x = np.random.default_rng(0).standard_normal((5, 16))
     y = ann.hadamard(x)
-    assert np.allclose(np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)) and np.allclose(ann.hadamard(y), x)
-    assert np.allclose(ann.hadamard(np.eye(2)), np.array([[1, 1], [1, -1]]) / np.sqrt(2))
+    assert np.allclose(np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)) and np.allclose(ann.hadamard(y), x, atol=1e-6)
+    two = np.array([[1, 1], [1, -1]]) / np.sqrt(2)
+    for n in (2, 4, 8, 32):
+        plain = two
+        while len(plain) < n:
+            plain = np.kron(two, plain)
+        assert np.allclose(ann.hadamard(np.eye(n)), plain, atol=1e-6)
 
 
 @pytest.mark.parametrize("scale", [False, True])

@@ -2,13 +2,16 @@ import hashlib
 import random
 from collections import Counter
 
-from kindred.llm import queries, warc
+import pytest
 
+from kindred.llm import common, queries, storage, warc
+
+DATE = "2026-01-02T03:04:05Z"
 PAGES = "page_id long, url string, html string"
 
 
 def archive(payloads):
-    return [warc.page_record(i, f"http://x/{i}", p, hashlib.sha256(p).hexdigest(), None) for i, p in enumerate(payloads)]
+    return [warc.page_record(i, f"http://x/{i}", p, hashlib.sha256(p).hexdigest(), f"n{i}", DATE) for i, p in enumerate(payloads)]
 
 
 def test_round_trip_of_records():
@@ -28,7 +31,7 @@ def test_damage_loses_only_what_it_hits():
         data[starts[i] + len(members[i]) // 2] ^= 0xFF
     salvage = warc.Salvage()
     read = list(warc.read_archive(bytes(data), salvage))
-    assert [r.headers["warc-record-id"] for r in read] == [f"<urn:page:{i}>" for i in (0, 1, 4, 5, 7)]
+    assert [r.headers["x-page-id"] for r in read] == [str(i) for i in (0, 1, 4, 5, 7)]
     assert [(lo, hi) for lo, hi, _ in salvage.gaps] == [(starts[2], starts[4]), (starts[6], starts[7])]
     read = list(warc.read_archive(b"junk before " + bytes(data[: starts[5] - 3]), salvage := warc.Salvage()))
     assert len(read) == 2 and salvage.gaps[0][:2] == (0, 12) and salvage.gaps[-1][1] == 12 + starts[5] - 3
@@ -43,8 +46,9 @@ def test_archives_that_are_not_compressed():
 
 
 def test_header_values_stay_on_one_line():
-    (record,) = warc.read_archive(warc.page_record(None, "http://x/\r\nEvil: 1", b"p", hashlib.sha256(b"p").hexdigest(), None))
-    assert "evil" not in record.headers
+    (record,) = warc.read_archive(warc.page_record(None, "http://x/\r\nEvil: 1", b"p", hashlib.sha256(b"p").hexdigest(), "n", DATE))
+    assert "evil" not in record.headers and "x-page-id" not in record.headers
+    assert record.headers["warc-date"] == DATE
 
 
 def test_pages_with_copies_nulls_and_ties(spark):
@@ -67,6 +71,42 @@ def test_pages_with_copies_nulls_and_ties(spark):
     assert warc.archive_pages(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_records_have_ids_of_their_own_and_revisits_name_theirs(spark):
+    big = "y" * 300
+    rows = [(1, "a", big), (2, "b", big), (2, "b", big), (3, "c", "z" * 150), (3, "c", "z" * 150), (4, None, "z" * 150)]
+    rows += [(7, "l", "long " * 400_000), (7, "l", "x"), (None, None, None)]
+    folder = common.scratch_path(spark, "warc")
+    manifest = warc.write_archives(warc.plan_records(spark.createDataFrame(rows, PAGES)), folder, DATE)
+    read = [r for m in manifest.collect() for r in warc.read_archive(storage.read_bytes(m["uri"]))]
+    ids = [r.headers["warc-record-id"] for r in read]
+    assert len(set(ids)) == len(rows) and all(r.headers["warc-date"] == DATE for r in read)
+    by_page = {r.headers.get("x-page-id"): r for r in read}
+    revisits = [r for r in read if r.kind == "revisit"]
+    assert sorted(r.headers["x-page-id"] for r in revisits) == ["2", "2", "4"]
+    for r in revisits:
+        named = r.headers.get("warc-refers-to")
+        assert named == (by_page["1"].headers["warc-record-id"] if r.headers["x-page-id"] == "2" else None)
+        assert r.headers["warc-refers-to-target-uri"] == ("a" if r.headers["x-page-id"] == "2" else "c")
+
+
+def test_damaged_archives_on_disk(spark):
+    rows = [(i, f"u{i}", f"{i} " * 200) for i in range(40)]
+    planned = warc.plan_records(spark.createDataFrame(rows, PAGES).coalesce(1))
+    manifest = warc.write_archives(planned.coalesce(1), common.scratch_path(spark, "warc"))
+    (m,) = manifest.collect()
+    data = bytearray(storage.read_bytes(m["uri"]))
+    at = [r.at for r in warc.read_archive(bytes(data))]
+    for i in (3, 20):
+        data[at[i] + 40] ^= 0xFF
+    storage.write_bytes(m["uri"], bytes(data[: at[39] + 30]))
+    records, gaps = warc.salvage_archives(manifest)
+    assert records.count() == 37
+    found = sorted((g["at"], g["gap_end"]) for g in gaps.collect())
+    assert found == [(at[3], at[4]), (at[20], at[21]), (at[39], at[39] + 30)]
+    with pytest.raises(Exception, match="37 of 40 records"):
+        warc.read_archives(manifest, whole=True).collect()
+
+
 def test_query_covers_every_page(spark):
     sf = "/root/testdata/sf0.001"
     pages = {r["page_id"]: (r["html"] or "").encode() for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
