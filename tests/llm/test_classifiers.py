@@ -1,4 +1,6 @@
+import math
 import random
+from collections import Counter
 
 import pytest
 
@@ -82,8 +84,58 @@ def test_toxicity_learns_words_and_their_misspellings(spark, awkward, empty):
     assert (again.numbers == model.numbers).all() and again.bias == model.bias
 
 
+def trained(texts, labels):
+    """A model of bags without rare buckets, as fit makes it."""
+    bags = [toxicity.features(t, toxicity.Subwords()) for t in texts]
+    docs = Counter(i for ids, _ in bags for i in ids.tolist())
+    kept = [[docs[i] >= toxicity.LEAST_DOCS for i in ids.tolist()] for ids, _ in bags]
+    return toxicity.train([(ids[k], w[k]) for (ids, w), k in zip(bags, kept, strict=True)], labels)
+
+
+def test_scores_are_a_softmax_of_the_mean_of_words():
+    model = trained(["good text here and there", "bad vile words, badly put"] * 8, [0, 1] * 8)
+    scorer = model.scorer()
+    for text in ("bad", "Good vile text!", "unseen wörds _x_ here " + "z" * 3000, "漢字 " * 5 + "bad", None, "", "  \n"):
+        words = (text or "").split()
+        bags = [toxicity.subwords(w) for w in words]
+        means = [sum(float(model.numbers[i]) for i in b) / len(b) for b in bags]
+        logit = model.bias + (sum(means) / len(means) if means else 0)
+        exp = [math.exp(0), math.exp(logit)]
+        assert scorer.score(text) == pytest.approx(exp[1] / sum(exp), rel=1e-6)
+
+
+def test_a_fit_reads_one_row_of_a_repeated_id(spark):
+    rng = random.Random(6)
+    rows = toxic_docs(rng, 300, ["vormulik", "zuxtrapo", "kwynzzle"])
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    plain = toxicity.fit(docs, labels)
+    more = toxicity.fit(docs.union(docs.filter("doc_id = 3")).union(docs.filter("doc_id < 3")), labels.union(labels))
+    assert (plain.numbers == more.numbers).all()
+
+
+def test_profiles_against_plain_counts(spark, docs):
+    profiles = langid.fit(docs, sample=10_000)
+    counts = {}
+    for r in docs.collect():
+        if r["lang"]:
+            counts.setdefault(r["lang"], Counter()).update(langid.grams_of(r["text"]).tolist())
+    for j, lang in enumerate(profiles.langs):
+        ranked = sorted(counts[lang], key=lambda g: (-counts[lang][g], g))[: langid.PROFILE]
+        places = {int(g): int(r) for g, r in zip(profiles.vocab, profiles.ranks[:-1, j], strict=True) if r < profiles.size}
+        assert places == {g: i for i, g in enumerate(ranked)}
+
+
+def test_as_many_languages_as_there_are(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, f"text {chr(97 + i % 26)}{chr(97 + i // 26)}", f"l{i:03}") for i in range(300)], "doc_id long, text string, lang string")
+    assert len(langid.fit(rows).langs) == 300
+    monkeypatch.setattr(langid, "MOST_LANGS", 299)
+    with pytest.raises(ValueError, match="300 values"):
+        langid.fit(rows)
+
+
 def test_a_small_cache_changes_no_score(monkeypatch):
-    model = toxicity.train(["good text here", "bad vile words"] * 6, [0, 1] * 6)
+    model = trained(["good text here", "bad vile words"] * 6, [0, 1] * 6)
     text = "bad words here and vile text"
     whole = model.scorer().score(text)
     monkeypatch.setattr(toxicity, "CACHE_WORDS", 2)
@@ -93,7 +145,7 @@ def test_a_small_cache_changes_no_score(monkeypatch):
 def test_long_runs_are_read_to_their_end(monkeypatch):
     rng = random.Random(5)
     rows = toxic_docs(rng, 900, ["vormulik", "zuxtrapo", "kwynzzle"])
-    model = toxicity.train([t for _, t, _ in rows], [y for *_, y in rows])
+    model = trained([t for _, t, _ in rows], [y for *_, y in rows])
     for sep in ("_", "", "-"):
         clean = sep.join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(30))
         hidden = clean[:100] + sep + "vormulik" + sep + clean[100:]
