@@ -155,46 +155,48 @@ def train(
     bags: list[tuple[np.ndarray, np.ndarray]], labels: list[int], epochs: int = EPOCHS, rate: float = 0.2, seed: int = 9
 ) -> Model:
     """Joint training on bags (buckets, weights), BATCH documents a step; with no labels of one class the model is the
-    share of the other."""
+    share of the other. bags is emptied on the way, to hold them only once."""
     positive = sum(labels)
     if not 0 < positive < len(labels):
         share = min(max(positive / len(labels), 0.01), 0.99) if labels else 0.5
         return Model(np.zeros(BUCKETS, np.float32), math.log(share / (1 - share)))
     rng = np.random.default_rng(seed)
     # Buckets that occur are numbered anew, so that what training touches lies together.
-    used = np.unique(np.concatenate([ids for ids, _ in bags])) if bags else np.empty(0, np.int64)
-    bags = [(np.searchsorted(used, ids), w) for ids, w in bags]
+    used = np.unique(np.concatenate([ids for ids, _ in bags]))
+    marks, batches = np.array(labels), []
+    order = rng.permutation(len(bags))
+    for lo in range(0, len(order), BATCH):
+        chosen = order[lo : lo + BATCH]
+        ids = np.concatenate([bags[i][0] for i in chosen])
+        touched, at = np.unique(np.searchsorted(used, ids).astype(np.int32), return_inverse=True)
+        doc = np.repeat(np.arange(len(chosen), dtype=np.uint8), [len(bags[i][0]) for i in chosen])
+        batches.append((marks[chosen], touched, at.astype(np.int32), doc, np.concatenate([bags[i][1] for i in chosen])))
+    bags.clear()
     embedding = rng.uniform(-1 / DIM, 1 / DIM, (len(used), DIM)).astype(np.float32)
     softmax, bias = rng.normal(0, 0.3, (2, DIM)).astype(np.float32), np.zeros(2, np.float32)
     seen, seen_softmax, seen_bias = np.full(len(used), 1e-6, np.float32), np.full((2, DIM), 1e-6), np.full(2, 1e-6)
-    marks = np.array(labels)
     weight = np.array([len(labels) / (2 * (len(labels) - positive)), len(labels) / (2 * positive)])
     for _ in range(epochs):
-        order = rng.permutation(len(bags))
-        for lo in range(0, len(order), BATCH):
-            chosen = order[lo : lo + BATCH]
-            ids = np.concatenate([bags[i][0] for i in chosen])
-            w = np.concatenate([bags[i][1] for i in chosen])
-            doc = np.repeat(np.arange(len(chosen)), [len(bags[i][0]) for i in chosen])
-            hidden = np.stack([SCALE * (bags[i][1] @ embedding[bags[i][0]]) for i in chosen])
+        for i in rng.permutation(len(batches)).tolist():
+            classes, touched, at, doc, w = batches[i]
+            mean = np.zeros((len(classes), len(touched)), np.float32)
+            mean[doc, at] = SCALE * w
+            rows = embedding[touched]
+            hidden = mean @ rows
             z = hidden @ softmax.T + bias
             p = np.exp(z - z.max(1, keepdims=True))
             error = p / p.sum(1, keepdims=True)
-            error[np.arange(len(chosen)), marks[chosen]] -= 1
-            error *= weight[marks[chosen]][:, None]
-            back = error @ softmax
+            error[np.arange(len(classes)), classes] -= 1
+            error *= weight[classes][:, None]
+            back = (error @ softmax).astype(np.float32)
             step = error.T @ hidden
             seen_softmax += (error**2).T @ hidden**2
             softmax -= (0.1 * rate * step / np.sqrt(seen_softmax)).astype(np.float32)
             seen_bias += (error**2).sum(0)
             bias -= (0.1 * rate * error.sum(0) / np.sqrt(seen_bias)).astype(np.float32)
-            if len(ids):
-                g = SCALE * w * np.sqrt((back**2).mean(1)).astype(np.float32)[doc]
-                np.add.at(seen, ids, g**2)
-                pull = (rate * SCALE * w / np.sqrt(seen[ids])).astype(np.float32)
-                touched, at = np.unique(ids, return_inverse=True)
-                moved = np.stack([np.bincount(at, pull * b, len(touched)) for b in back.astype(np.float32).T[:, doc]], axis=1)
-                embedding[touched] = embedding[touched] * (1 - DECAY) - moved.astype(np.float32)
+            seen[touched] += (back**2).mean(1) @ mean**2
+            pull = rate / np.sqrt(seen[touched])
+            embedding[touched] = rows * (1 - DECAY) - pull[:, None] * (mean.T @ back)
     direction = softmax[1] - softmax[0]
     numbers = np.zeros(BUCKETS, np.float32)
     numbers[used] = SCALE * embedding @ direction
@@ -213,9 +215,9 @@ def bags_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
                 lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x)) for x in (ids, w)]
                 yield pa.RecordBatch.from_arrays([*batch.slice(i, 1).columns[:2], *lists], names=["doc_id", "toxic", "ids", "w"])
 
-    rows = common.one_of_each(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "doc_id")
-    bags = rows.select("doc_id", "toxic", "text").mapInArrow(make, "doc_id long, toxic int, ids array<int>, w array<float>")
-    bags = common.materialize(bags, "bags")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")
+    bags = rows.mapInArrow(make, "doc_id long, toxic int, ids array<int>, w array<float>")
+    bags = common.materialize(common.one_of_each(bags, "doc_id"), "bags")
     counts = bags.select(F.explode("ids").alias("id")).groupBy("id").agg(F.count("*").alias("n"))
     frequent = np.zeros(BUCKETS, bool)
     frequent[[r["id"] for r in counts.filter(F.col("n") >= LEAST_DOCS).collect()]] = True
