@@ -21,8 +21,9 @@ step writes out all pairs; links() does, between classes, for those who ask for
 
 from __future__ import annotations
 
+import functools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from fractions import Fraction
 from functools import lru_cache
 
@@ -252,11 +253,11 @@ def compare(group: pd.DataFrame, unit: list[str], t: Fraction, every: bool) -> p
 LINKS = "u long, v long"
 
 
-def within_shares(rows: DataFrame, share: int, salt: int, t: Fraction) -> DataFrame:
+def within_shares(rows: DataFrame, total: int, share: int, salt: int, t: Fraction) -> DataFrame:
     """Links that connect what is linked within shares: each group (group, m: its rows) is dealt by salt to shares of about
-    `share` rows, tasks hold about TASK_ROWS rows of shares of small and large groups."""
+    `share` rows, tasks hold about TASK_ROWS rows, of `total`, of shares of small and large groups."""
     own = F.pmod(F.xxhash64(F.lit(salt), "node"), F.expr(f"(m + {share - 1}) div {share}"))
-    bins = max(1, -(-rows.count() // TASK_ROWS))
+    bins = max(1, -(-total // TASK_ROWS))
     dealt = rows.withColumn("share", own).withColumn("bin", F.pmod(F.xxhash64("group", "share"), F.lit(bins)))
     return dealt.drop("m").groupBy("bin").applyInPandas(lambda g: compare(g, ["group", "share"], t, False), LINKS)
 
@@ -278,25 +279,27 @@ def across_shares(rows: DataFrame, share: int, t: Fraction, every: bool) -> Data
     return both.groupBy(*unit).applyInPandas(lambda g: compare(g, unit, t, every), LINKS)
 
 
-def spanning(rows: DataFrame, share: int, t: Fraction) -> DataFrame:
-    """Links (u, v) that connect whatever is linked within the groups of rows (group, m: its rows, node, n, sketch, set).
+def spanning(rows: DataFrame, share: int, t: Fraction, attach: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Links (u, v) that connect whatever is linked within the groups of a written table rows (group, m: its rows, node, n);
+    attach adds sketches, and sets if links are to be verified, to some of them.
 
     Groups of one share are compared at once. Larger ones are dealt to shares twice, by different hashes: of a group of
     copies that connects nearly all. What is then not connected with the group's largest part is compared with all of
     it, so no link is lost, and the work grows with the square of what is left only.
     """
-    links = common.materialize(within_shares(rows, share, 21, t).distinct(), "links")
+    links = common.materialize(within_shares(attach(rows), rows.count(), share, 21, t).distinct(), "links")
     large = rows.filter(F.col("m") > share)
-    if large.isEmpty():
+    if not (total := large.count()):
         return links
-    links = common.materialize(links.union(within_shares(large, share, 22, t)).distinct(), "links")
+    links = common.materialize(links.union(within_shares(attach(large), total, share, 22, t)).distinct(), "links")
     labels = common.materialize(components.connected_components(links), "labels")
     named = large.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
     parts = named.groupBy("group", "label").agg(F.count("*").alias("k"))
     core = parts.groupBy("group").agg(F.max_by("label", F.struct("k", "label")).alias("core"))
     apart = parts.join(core, "group").filter("label <> core").select("group", "core").distinct()
     rest = named.join(apart, "group").withColumn("rest", F.col("label") != F.col("core")).drop("core")
-    return links.union(across_shares(rest, share, t, False)).distinct()
+    rest = common.materialize(rest, "rest")
+    return links if rest.isEmpty() else links.union(across_shares(attach(rest), share, t, False)).distinct()
 
 
 def bucket_rows(docs: DataFrame, t: Fraction, words: int) -> DataFrame:
@@ -336,8 +339,8 @@ def provisional_links(docs: DataFrame, classes: DataFrame, sketched: DataFrame,
     # Two classes whose s1 is equal by chance only share more buckets than they should.
     shared = common.materialize(rows.filter("lo <> hi").select("group", "s1").distinct(), "buckets")
     shared = shared.join(classes.select("s1", "node", "n"), "s1").withColumn("m", F.count("*").over(w)).drop("s1")
-    rows = shared.join(sketched.select(F.col("row").alias("node"), "sketch"), "node")
-    return spanning(common.materialize(rows, "near"), BUCKET_SHARE, t)
+    sketches = sketched.select(F.col("row").alias("node"), "sketch")
+    return spanning(common.materialize(shared, "shared"), BUCKET_SHARE, t, lambda rows: rows.join(sketches, "node"))
 
 
 def with_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
@@ -380,10 +383,12 @@ def joined_rows(docs: DataFrame, t: Fraction, words: int) -> DataFrame:
     """row, doc_id, text_key, n_shingles, component (null for empty sets) and component_id of each row."""
     sketched, classes = sketched_classes(docs, words)
     members = candidates(docs, sketched, classes, t, words)
-    small = with_sets(docs, members.filter(F.col("m") <= SET_SHARE), words)
-    links = spanning(small, SET_SHARE, t)
-    if not (large := members.filter(F.col("m") > SET_SHARE)).isEmpty():
-        links = links.union(spanning(common.materialize(with_sets(docs, large, words), "sets"), SET_SHARE, t))
+    small, large = (members.filter(F.col("m") <= SET_SHARE), members.filter(F.col("m") > SET_SHARE))
+    found = [within_shares(with_sets(docs, small, words), small.count(), SET_SHARE, 21, t)]
+    if not large.isEmpty():
+        sets = common.materialize(with_sets(docs, large, words), "sets").select("node", "sketch", "set")
+        found.append(spanning(large.select("group", "m", "node", "n"), SET_SHARE, t, lambda rows: rows.join(sets, "node")))
+    links = functools.reduce(DataFrame.union, found)
     labels = components.connected_components(links)
     same = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = same.groupBy("component").agg(F.min("least").alias("component_id"))
