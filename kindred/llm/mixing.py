@@ -58,7 +58,7 @@ def source_targets(sizes: DataFrame, weights: list[float], share: float, epochs:
     target = F.when(F.col("_at").isNull(), F.col("_cap")).otherwise(
         F.least(F.col("_cap"), F.col("_w") * F.col("_at._level"))
     )
-    return rows.select("source", "source_size", "n_docs", target.alias("target"))
+    return rows.select(*sizes.columns, target.alias("target"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -86,15 +86,20 @@ def _mixed(
     u = common.hash_uniform(F.col("doc_id"), seed=seed)
     keyed = base.withColumn("_key", -F.log(u) / weight).withColumn("_tie", F.xxhash64("text"))
     keyed = common.materialize(keyed.select("doc_id", "source", "size", "_key", "_tie"), "mix")
-    sizes = keyed.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
+    sizes = keyed.groupBy("source").agg(
+        F.sum("size").alias("source_size"),
+        F.count("*").alias("n_docs"),
+        # In whole millionths, so that the sum does not depend on its order.
+        (F.sum((1e6 * F.col("_key")).cast("long")) / F.count("*") / 1e6 + 1e-6).alias("_mean_key"),
+    )
     goals = source_targets(sizes, list(weights), share, epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     goals = goals.withColumn("_epochs", whole.cast("long")).withColumn(
         "_rest", F.round(F.col("target") - F.col("_epochs") * F.col("source_size")).cast("long")
     )
-    # 1 - exp(-key) rises with the key and spreads over (0, 1), evenly where weights are 1.
+    # 1 - exp(-key / mean) rises with the key and spreads over (0, 1), evenly where weights are equal.
     buckets = F.greatest(F.lit(1), F.ceil(F.col("n_docs") / BUCKET))
-    bucket = F.least(F.floor((1 - F.exp(-F.col("_key"))) * buckets), buckets - 1).cast("long")
+    bucket = F.least(F.floor((1 - F.exp(-F.col("_key") / F.col("_mean_key"))) * buckets), buckets - 1).cast("long")
     rows = keyed.join(goals, keyed["source"].eqNullSafe(goals["source"])).drop(goals["source"])
     rows = rows.withColumn("_bucket", bucket)
     sums = rows.groupBy("source", "_bucket").agg(F.sum("size").alias("_sum"))
@@ -114,7 +119,7 @@ def apply_mix(docs: DataFrame, **options) -> DataFrame:
     """docs as often as the mix takes them, same columns: a row taken 1.4 times is there whole, and cut to 0.4.
 
     A cut text keeps its first words, parted by single spaces, and n_chars (if there is one) follows it. A row of which
-    nothing is taken goes. Rows that repeat id, source and text are written as copies of one of them.
+    nothing is taken goes. Rows that repeat id, source and text are written as copies of the one with the least hash.
     """
     key = ["doc_id", "source", "_tie"]
     totals = _mixed(docs, **options).groupBy(*key).agg(
@@ -126,7 +131,7 @@ def apply_mix(docs: DataFrame, **options) -> DataFrame:
     for c in key:
         same = same & F.col(c).eqNullSafe(F.col(f"{c}_"))
     rows = rows.join(totals, same)
-    rows = rows.filter("_rows = 1").union(rows.filter("_rows > 1").dropDuplicates(key))
+    rows = rows.filter("_rows = 1").union(common.one_of_each(rows.filter("_rows > 1"), *key))
     whole, rest = F.expr("_taken div _size"), F.col("_taken") % F.col("_size")
     rows = rows.withColumn("_rest", rest).withColumn("_whole", whole)
     rows = rows.withColumn("_copy", F.explode(F.expr("sequence(1L, _whole + if(_rest > 0, 1L, 0L))")))

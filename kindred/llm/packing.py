@@ -1,9 +1,9 @@
 """Operator 5, packing: best-fit decreasing over token pieces.
 
 Documents longer than a window are first cut into full windows. What is left of each document goes, longest first,
-into the tightest open window that still has room; a segment tree over remaining capacities finds it. Documents are
-dealt by hash to shards of about SHARD pieces that pack on their own, so no task grows with the input and one shard
-leaves at most a few loose windows.
+into the tightest open window that still has room; a segment tree over remaining capacities finds it. Pieces are dealt
+by hash to shards of about SHARD that pack on their own, so no task grows with the input and one shard leaves at most a
+few loose windows.
 """
 
 from __future__ import annotations
@@ -119,7 +119,8 @@ def assign(pieces: DataFrame, window: int = WINDOW, shard_rows: int = SHARD) ->
     """
     spark = pieces.sparkSession
     shards = max(1, -(-pieces.count() // shard_rows))
-    dealt = pieces.withColumn("_shard", F.pmod(F.xxhash64("doc_id", "start", F.lit(5)), F.lit(shards)).cast("int"))
+    # By place in the written table, as one id, or none, may be that of most rows.
+    dealt = pieces.withColumn("_shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).cast("int"))
     out = f"{', '.join(f'`{n}` {t}' for n, t in dealt.dtypes)}, _local long, offset long, _windows long"
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:

@@ -33,6 +33,7 @@ def read_bytes(uri: str) -> bytes:
         return f.read()
 
 
-def open_read(uri: str) -> BinaryIO:
+def open_seekable(uri: str) -> BinaryIO:
+    """For reading parts of a file, wherever they lie."""
     fs, path = _resolve(uri)
-    return fs.open_input_stream(path)
+    return fs.open_input_file(path)

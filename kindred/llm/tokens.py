@@ -3,11 +3,12 @@
 A byte-level BPE never merges across the borders that its pre-tokenizer draws, so the ids of a text are the ids of
 its pieces in a row. Natural text repeats pieces; only pieces that a worker has not met go through the library.
 Texts with characters whose class may depend on a Unicode version, or with the text of an added token, go through
-the library whole.
+the library whole, as do all texts where a file's pre-tokenizer, normalizer or model is of another kind.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 from collections.abc import Iterable
@@ -56,6 +57,13 @@ class PieceTokenizer(dict):
         self.unusual = re.compile(f"[^{''.join(map(re.escape, USUAL))}]")
         self.limit = cache
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        spec = json.loads(self.tokenizer.to_str())
+        before = spec.get("pre_tokenizer") or {}
+        usual = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+        model = spec.get("model") or {}
+        plain = not any(model.get(k) for k in ("dropout", "byte_fallback", "ignore_merges", "continuing_subword_prefix", "end_of_word_suffix"))
+        #: Whether pieces by piece_pattern() are tokenized as the whole text is.
+        self.by_pieces = usual and not spec.get("normalizer") and model.get("type") == "BPE" and plain
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
 
     def __missing__(self, piece: str) -> bytes:
@@ -72,7 +80,7 @@ class PieceTokenizer(dict):
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if self.unusual.search(text) or (self.added and self.added.search(text)):
+        if not self.by_pieces or self.unusual.search(text) or (self.added and self.added.search(text)):
             return self.whole(text)
         return b"".join(map(self.__getitem__, self.pattern.findall(text)))
 

@@ -1,16 +1,20 @@
 """Operator 8, URL filters: a sort-merge range join of hosts with nested prefix rules, in DataFrame functions only.
 
 A host becomes a canonical key, its labels reversed and each ended by a dot (`a.example.org` -> `org.example.a.`), so
-the hosts below a rule's host are one interval of keys and such intervals nest or lie apart. Rules and urls are sorted
-together by key; the last rule host met on the way down carries the stack of rule hosts it is nested in, and the rules
-of the stack that still hold at the url's key and whose path begins the url's path apply; the longest wins.
-
-Urls are salted over all partitions, each of which sweeps all rules: a host with a third of all pages is no hot key.
-Rules come from the driver as a list; MAX_RULES bounds it, and so what is repeated for each partition.
+the hosts below a rule's host are one interval of keys and such intervals nest or lie apart. Rule hosts and urls are sorted
+together by key; the last rule host met on the way down carries the stack of rule hosts it is nested in, and those that
+still hold at the url's key are the url's. The same goes on with paths among the rules of each such host: they are
+intervals of paths, nested or apart; the last one met carries the stack of those it is nested in, and the longest that
+still holds is the host's rule. Of a url's hosts the longest rule wins.
+
+Distinct pairs of host and path are swept, salted over all partitions, each of which sweeps all rules: a host with a
+third of all pages is no hot key. A stack is as deep as labels or characters nest, so rules take room in proportion to
+their length; they come from the driver as a list and are repeated for each partition.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,7 +22,6 @@ from pyspark.sql import functions as F
 
 from kindred.llm import common
 
-MAX_RULES = 100_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -52,58 +55,77 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return F.coalesce(host, F.lit("")), F.coalesce(path, F.lit(""))
 
 
-def rule_stacks(rules: list[Rule]) -> list[tuple[str, list[tuple[str, str, str, str]]]]:
-    """For each rule host its key and the rules (key, path, text, verdict) of it and of the hosts it is nested in.
-
-    The longest rule comes first; of rules with the same text the first given stands.
-    """
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; at most {MAX_RULES} are swept by each partition")
-    own: dict[str, dict[str, tuple[str, str, str, str]]] = {}
-    for r in rules:
-        key = host_key(r.host)
-        own.setdefault(key, {}).setdefault(r.text, (key, r.path, r.text, r.verdict))
-    out, stack = [], []
-    for key in sorted(own, key=str.encode):
+def nested(keys: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
+    """In the order in which Spark sorts them each of keys and the lengths of those of keys that it begins with, itself last."""
+    stack: list[str] = []
+    for key in sorted(keys, key=str.encode):
         while stack and not key.startswith(stack[-1]):
             stack.pop()
         stack.append(key)
-        nested = [rule for k in stack for rule in own[k].values()]
-        out.append((key, sorted(nested, key=lambda x: (-len(x[2]), x[2]))))
-    return out
+        yield key, [len(k) for k in stack]
+
+
+def host_stacks(rules: list[Rule]) -> list[tuple[str, list[int]]]:
+    """Each rule host's key and the lengths of the keys of the rule hosts that it is nested in, with its own."""
+    return list(nested({host_key(r.host) for r in rules}))
+
+
+def path_stacks(rules: list[Rule]) -> list[tuple[str, str, list[int]]]:
+    """Key of a host, path of one of its rules, and the lengths of the paths of its rules that begin this path."""
+    own: dict[str, set[str]] = {}
+    for r in rules:
+        own.setdefault(host_key(r.host), set()).add(r.path)
+    return [(key, path, lengths) for key, paths in own.items() for path, lengths in nested(paths)]
+
+
+def named(rules: list[Rule]) -> list[tuple[str, str, str, str]]:
+    """Key of the host, path, text and verdict of each rule; of rules with the same text the first given stands."""
+    found: dict[tuple[str, str], tuple[str, str]] = {}
+    for r in rules:
+        found.setdefault((host_key(r.host), r.path), (r.text, r.verdict))
+    return [(*place, *rule) for place, rule in found.items()]
+
+
+def swept(points: DataFrame, marks: DataFrame, within: list[str], by: str) -> DataFrame:
+    """points with `holding`: the lengths of the marks (by, stack) that begin their `by`, among those of equal `within`.
+
+    In the order of `by` the last mark at or before a point is the only one to ask. marks are repeated for each salt.
+    """
+    salts = common.parts(points.sparkSession)
+    marks = marks.withColumns({"mark": F.struct(F.col(by).alias("key"), "stack"), "point": F.lit(False)}).drop("stack")
+    marks = marks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    both = points.withColumn("point", F.lit(True)).unionByName(marks, allowMissingColumns=True)
+    w = Window.partitionBy(*within, "salt").orderBy(by, "point").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = F.last("mark", ignorenulls=True).over(w)
+    rows = both.withColumn("mark", last).filter("point and mark is not null")
+    begins = F.filter("mark.stack", lambda n: F.substring(F.col(by), F.lit(1), n) == F.substring(F.col("mark.key"), F.lit(1), n))
+    return rows.withColumn("holding", begins).filter(F.size("holding") > 0).drop("mark", "point")
 
 
 def judge(pages: DataFrame, rules: list[Rule], default: str = "allow") -> DataFrame:
     """Adds host, path, rule (text of the longest that fits, else null) and verdict to every row.
 
-    A url that is null or has no `://` has empty host and path and gets the default. Repeated rows are judged each;
-    with no rules all rows get the default. Columns of these names that pages already has are replaced.
+    A url that is null or has no `://` has empty host and path and gets the default. Repeated rows are judged each; with
+    no rules all rows get the default. Of rules as long as each other the first in alphabetical order wins. Columns of
+    these names that pages already has are replaced.
     """
     spark = pages.sparkSession
-    salts = common.parts(spark)
     host, path = split_url(F.col("url"))
     rows = pages.drop("host", "path", "rule", "verdict").withColumns({"host": host, "path": path})
-    data = F.struct(*rows.columns)
-    labels = F.reverse(F.split("host", r"\."))
-    points = rows.select(
-        data.alias("_row"),
-        F.concat(F.array_join(labels, "."), F.lit(".")).alias("_key"),
-        F.pmod(F.xxhash64(*[c for c, t in rows.dtypes if not t.startswith("map")]), F.lit(salts)).cast("int").alias("_salt"),
-    )
-    stack_type = "array<struct<key:string,path:string,text:string,verdict:string>>"
-    stacks = spark.createDataFrame(rule_stacks(rules), f"_key string, _stack {stack_type}")
-    swept = stacks.select("_key", "_stack", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-    both = points.unionByName(swept, allowMissingColumns=True)
-    # A rule's host sorts before the urls of the same key.
-    w = Window.partitionBy("_salt").orderBy("_key", F.col("_row").isNotNull())
-    w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    active = F.last("_stack", ignorenulls=True).over(w)
-    path_of = F.col("_row.path")
-    fits = F.filter("_active", lambda r: F.startswith(F.col("_key"), r["key"]) & F.startswith(path_of, r["path"]))
-    best = F.when(F.size(fits) > 0, F.element_at(fits, 1))
-    found = both.withColumn("_active", active).filter(F.col("_row").isNotNull()).withColumn("_best", best)
-    return found.select(
-        "_row.*",
-        F.col("_best.text").alias("rule"),
-        F.coalesce(F.col("_best.verdict"), F.lit(default)).alias("verdict"),
+    key = F.concat(F.array_join(F.reverse(F.split("host", r"\.")), "."), F.lit("."))
+    salt = F.pmod(F.xxhash64("host", "path"), F.lit(common.parts(spark))).cast("int")
+    points = rows.select("host", "path").distinct().select("host", "path", key.alias("key"), salt.alias("salt"))
+    points = swept(points, spark.createDataFrame(host_stacks(rules), "key string, stack array<int>"), [], "key")
+    points = points.select("host", "path", "key", "salt", F.explode("holding").alias("n"))
+    points = points.select("host", "path", "salt", F.substring("key", F.lit(1), F.col("n")).alias("at"))
+    points = swept(points, spark.createDataFrame(path_stacks(rules), "at string, path string, stack array<int>"), ["at"], "path")
+    best = F.substring("path", F.lit(1), F.array_max("holding")).alias("begin")
+    texts = spark.createDataFrame(named(rules), "at string, begin string, text string, verdict string")
+    points = points.select("host", "path", "at", best).join(texts, ["at", "begin"])
+    longest = F.min(F.struct(-F.length("text"), "text", "verdict")).alias("best")
+    found = points.groupBy("host", "path").agg(longest).select("host", "path", "best.text", "best.verdict")
+    found = found.toDF("_kindred_host", "_kindred_path", "_kindred_rule", "_kindred_verdict")
+    same = (F.col("host") == F.col("_kindred_host")) & (F.col("path") == F.col("_kindred_path"))
+    return rows.join(found, same, "left").select(
+        *rows.columns, F.col("_kindred_rule").alias("rule"), F.coalesce("_kindred_verdict", F.lit(default)).alias("verdict")
     )

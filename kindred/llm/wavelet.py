@@ -1,13 +1,14 @@
 """Operator 10, token-id output: one compressed file a shard holding a wavelet matrix over its token ids.
 
 A wavelet matrix (Claude, Navarro, Ordonez 2015) keeps one bit-plane for each bit of the ids, the highest first; each
-plane orders the ids stably by the bit of the plane above. With counts of ones before every 512th bit, a plane answers
-rank and select, and so the matrix gives the id at a position, the count of an id in a range and the place of its
-k-th occurrence, without decoding the rest.
-
-File: magic, then blocks of at most BLOCK ids (each a matrix, its planes and counts compressed by zstd), then a footer
-(document ids, document starts, block table) and its length. Shards hold documents in ascending doc_id, null first;
-equal ids are ordered by a hash of their text.
+plane orders the ids stably by the bit of the plane above. A plane answers rank and select, and so the matrix gives the
+id at a position, the count of an id in a range and the place of its k-th occurrence.
+
+File: magic, then the planes in chunks of CHUNK bits, each compressed by zstd where that makes it smaller, then a footer
+(document ids and lengths, for each plane its zeros and where its chunks lie and how many ones come before each) and
+its length. A lookup reads the footer and one or two chunks a plane, and nothing else of the file. Shards hold
+documents in ascending doc_id, null first, equal ids ordered by a hash of their text, and are closed at SHARD_IDS ids: so
+their size does not grow with the data.
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ import io
 import json
 import struct
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache, partial
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -26,44 +29,53 @@ from pyspark.sql import functions as F
 
 from kindred.llm import common, storage, tokens
 
-MAGIC = b"KWM1"
-BLOCK = 1 << 18
-STEP = 512
+MAGIC = b"KWM2"
+#: Ids at which a shard is closed; its last document may exceed it.
+SHARD_IDS = 1 << 22
+CHUNK = 1 << 16
 #: Of zstd; planes of ids are half random, stronger levels gain little.
 LEVEL = 1
+#: Chunks that an open shard remembers.
+HELD_CHUNKS = 128
 
 
 class Bits:
-    """A bit-plane with rank and select. ones[j] counts the ones before bit j * STEP."""
+    """A bit-plane with rank and select. chunk(j) gives the bytes of chunk j, ones[j] counts the ones before it."""
+
+    def __init__(self, n: int, ones: np.ndarray, chunk: Callable[[int], np.ndarray]):
+        self.n, self.ones, self.chunk = n, ones, chunk
 
-    def __init__(self, packed: np.ndarray, n: int, ones: np.ndarray | None = None):
-        self.packed, self.n = packed, n
-        if ones is None:
-            padded = np.zeros(-(-n // STEP) * STEP // 8, np.uint8)
-            padded[: len(packed)] = packed
-            per = np.bitwise_count(padded.view(np.uint64)).reshape(-1, STEP // 64).sum(1, dtype=np.uint32)
-            ones = np.concatenate([[0], np.cumsum(per, dtype=np.uint32)]).astype(np.uint32)
-        self.ones = ones
+    @classmethod
+    def of(cls, packed: np.ndarray, n: int) -> Bits:
+        wide = CHUNK // 8
+        parts = [packed[i : i + wide] for i in range(0, len(packed), wide)]
+        ones = np.cumsum([0, *(np.bitwise_count(p).sum(dtype=np.int64) for p in parts)])
+        return cls(n, ones, parts.__getitem__)
 
     def get(self, i: int) -> int:
-        return int(self.packed[i >> 3]) >> (7 - (i & 7)) & 1
+        return int(self.chunk(i // CHUNK)[i % CHUNK >> 3]) >> (7 - (i & 7)) & 1
 
     def rank(self, bit: int, i: int) -> int:
         """How many of the first i bits equal bit."""
-        j = i // STEP
-        tail = np.unpackbits(self.packed[j * STEP // 8 : -(-i // 8)])[: i - j * STEP]
-        r = int(self.ones[j]) + int(tail.sum())
+        j, rest = divmod(i, CHUNK)
+        r = int(self.ones[j])
+        if rest:
+            chunk = self.chunk(j)
+            r += int(np.bitwise_count(chunk[: rest >> 3]).sum(dtype=np.int64))
+            if rest & 7:
+                r += (int(chunk[rest >> 3]) >> (8 - (rest & 7))).bit_count()
         return r if bit else i - r
 
     def select(self, bit: int, k: int) -> int:
         """Position of the k-th (from 0) bit that equals bit."""
-        before = self.ones if bit else np.arange(len(self.ones), dtype=np.int64) * STEP - self.ones
+        before = self.ones if bit else np.arange(len(self.ones), dtype=np.int64) * CHUNK - self.ones
         j = int(np.searchsorted(before, k, side="right")) - 1
-        chunk = np.unpackbits(self.packed[j * STEP // 8 : (j + 1) * STEP // 8])[: self.n - j * STEP]
-        return j * STEP + int(np.flatnonzero(chunk == bit)[k - int(before[j])])
+        bits = np.unpackbits(self.chunk(j), count=min(CHUNK, self.n - j * CHUNK))
+        return j * CHUNK + int(np.flatnonzero(bits == bit)[k - int(before[j])])
 
     def all(self) -> np.ndarray:
-        return np.unpackbits(self.packed, count=self.n).view(bool)
+        parts = [self.chunk(j) for j in range(len(self.ones) - 1)]
+        return np.unpackbits(np.concatenate([np.empty(0, np.uint8), *parts]), count=self.n).view(bool)
 
 
 class WaveletMatrix:
@@ -77,7 +89,7 @@ class WaveletMatrix:
         planes, zeros = [], []
         for level in range(levels):
             bit = ((v >> v.dtype.type(levels - 1 - level)).astype(np.uint8) & 1).view(bool)
-            planes.append(Bits(np.packbits(bit), len(v)))
+            planes.append(Bits.of(np.packbits(bit), len(v)))
             low = np.compress(~bit, v)
             zeros.append(len(low))
             v = np.concatenate([low, np.compress(bit, v)])
@@ -130,166 +142,155 @@ class WaveletMatrix:
             i = self.planes[level].select(bit, i - self.zeros[level] * bit)
         return i
 
-    def pack(self) -> bytes:
-        import zstandard
-
-        body = b"".join(p.packed.tobytes() + p.ones.tobytes() for p in self.planes)
-        head = struct.pack("<QI", self.n, len(self.planes)) + np.asarray(self.zeros, "<u8").tobytes()
-        return zstandard.ZstdCompressor(level=LEVEL).compress(head + body)
-
-    @classmethod
-    def unpack(cls, data: bytes) -> WaveletMatrix:
-        import zstandard
-
-        raw = zstandard.ZstdDecompressor().decompress(data)
-        n, levels = struct.unpack_from("<QI", raw)
-        zeros = np.frombuffer(raw, "<u8", levels, 12).astype(int).tolist()
-        at, wide, steps = 12 + 8 * levels, -(-n // 8), -(-n // STEP) + 1
-        planes = []
-        for _ in range(levels):
-            packed = np.frombuffer(raw, np.uint8, wide, at)
-            planes.append(Bits(packed, n, np.frombuffer(raw, "<u4", steps, at + wide)))
-            at += wide + 4 * steps
-        return cls(planes, zeros, n)
-
 
 class ShardWriter:
-    """Streams documents into one shard file; holds one block of ids and the documents' starts."""
+    """Gathers the documents of one shard and writes their matrix to a file."""
 
-    def __init__(self, out: io.IOBase):
-        self.out, self.at = out, len(MAGIC)
-        out.write(MAGIC)
+    def __init__(self):
         self.docs: list[int | None] = []
         self.sizes: list[int] = []
-        self.blocks: list[tuple[int, int, int]] = []
         self.held: list[bytes] = []
-        self.n_held = self.n = 0
+        self.n = 0
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
         """ids: little-endian unsigned 32-bit."""
         self.docs.append(doc_id)
         self.sizes.append(len(ids) // 4)
         self.held.append(ids)
-        self.n_held += len(ids) // 4
-        if self.n_held >= BLOCK:
-            self._flush(last=False)
+        self.n += len(ids) // 4
 
-    def _flush(self, last: bool) -> None:
-        ids = np.frombuffer(b"".join(self.held), "<u4")
-        whole = len(ids) if last else len(ids) - len(ids) % BLOCK
-        for lo in range(0, whole, BLOCK):
-            part = ids[lo : min(lo + BLOCK, whole)]
-            data = WaveletMatrix.build(part).pack()
-            self.out.write(data)
-            self.blocks.append((self.at, len(data), len(part)))
-            self.at += len(data)
-            self.n += len(part)
-        self.held, self.n_held = [ids[whole:].tobytes()], len(ids) - whole
-
-    def close(self) -> int:
+    def write(self, out: io.IOBase) -> None:
         import zstandard
 
-        self._flush(last=True)
+        out.write(MAGIC)
+        ids = np.frombuffer(b"".join(self.held), "<u4")
+        self.held.clear()
+        matrix, at, table, ones = WaveletMatrix.build(ids), len(MAGIC), [], []
+        squeeze = zstandard.ZstdCompressor(level=LEVEL).compress
+        for plane in matrix.planes:
+            for j in range(len(plane.ones) - 1):
+                raw = plane.chunk(j).tobytes()
+                data = squeeze(raw)
+                data = data if len(data) < len(raw) else raw
+                out.write(data)
+                table.append((at, len(data)))
+                at += len(data)
+            ones.append(plane.ones)
         known = np.array([d is not None for d in self.docs], bool)
         body = [
             np.packbits(known).tobytes(),
             np.array([d or 0 for d in self.docs], "<i8").tobytes(),
-            np.array(self.sizes, "<u4").tobytes(),
-            np.array(self.blocks, "<u8").reshape(-1, 3).tobytes(),
+            np.array(self.sizes, "<u8").tobytes(),
+            np.array(matrix.zeros, "<u8").tobytes(),
+            np.array(table, "<u8").reshape(-1, 2).tobytes(),
+            np.array(ones, "<u8").tobytes(),
         ]
-        head = json.dumps({"docs": len(self.docs), "blocks": len(self.blocks), "ids": self.n}).encode()
+        head = json.dumps({"docs": len(self.docs), "planes": len(matrix.planes), "ids": self.n}).encode()
         foot = zstandard.ZstdCompressor(level=3).compress(struct.pack("<I", len(head)) + head + b"".join(body))
-        self.out.write(foot + struct.pack("<I", len(foot)) + MAGIC)
-        return self.n
+        out.write(foot + struct.pack("<Q", len(foot)) + MAGIC)
 
 
 class Shard:
-    """One shard file: documents one after another, or single ids, counts and occurrences over the whole shard."""
+    """One shard file (bytes, or an open file that can seek): documents one after another, or single ids, counts and
+    occurrences. Chunks are read when they are needed."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, file: bytes | BinaryIO):
         import zstandard
 
-        if data[:4] != MAGIC or data[-4:] != MAGIC:
+        self.file = io.BytesIO(file) if isinstance(file, bytes) else file
+        end, tail = self.file.seek(0, 2), 8 + len(MAGIC)
+        if end < tail + len(MAGIC) or self.read(0, 4) != MAGIC or self.read(end - 4, 4) != MAGIC:
             raise ValueError("not a shard file")
-        (size,) = struct.unpack("<I", data[-8:-4])
-        raw = zstandard.ZstdDecompressor().decompress(data[-8 - size : -8])
+        (size,) = struct.unpack("<Q", self.read(end - tail, 8))
+        raw = zstandard.ZstdDecompressor().decompress(self.read(end - tail - size, size))
         (m,) = struct.unpack_from("<I", raw)
         head, at = json.loads(raw[4 : 4 + m]), 4 + m
-        d, self.data = head["docs"], data
+        d, planes, self.n = head["docs"], head["planes"], head["ids"]
+        chunks = -(-self.n // CHUNK)
+
+        def numbers(kind: str, n: int) -> np.ndarray:
+            nonlocal at
+            at += 8 * n
+            return np.frombuffer(raw, kind, n, at - 8 * n)
+
         known = np.unpackbits(np.frombuffer(raw, np.uint8, -(-d // 8), at), count=d)
         at += -(-d // 8)
-        ids = np.frombuffer(raw, "<i8", d, at).tolist()
-        self.doc_ids = [x if k else None for x, k in zip(ids, known, strict=True)]
-        self.sizes = np.frombuffer(raw, "<u4", d, at + 8 * d).astype(np.int64)
+        self.doc_ids = [x if k else None for x, k in zip(numbers("<i8", d).tolist(), known, strict=True)]
+        self.sizes = numbers("<u8", d).astype(np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)]).astype(np.int64)
-        self.blocks = np.frombuffer(raw, "<u8", 3 * head["blocks"], at + 12 * d).reshape(-1, 3).astype(np.int64)
-        self.n = head["ids"]
-        self.edges = np.concatenate([[0], np.cumsum(self.blocks[:, 2])]).astype(np.int64)
+        zeros = numbers("<u8", planes).astype(int).tolist()
+        self.table = numbers("<u8", 2 * planes * chunks).reshape(planes, chunks, 2).astype(np.int64)
+        ones = numbers("<u8", planes * (chunks + 1)).reshape(planes, chunks + 1).astype(np.int64)
+        held = lru_cache(maxsize=HELD_CHUNKS)(self.chunk)
+        self.matrix = WaveletMatrix([Bits(self.n, ones[p], partial(held, p)) for p in range(planes)], zeros, self.n)
+
+    def read(self, at: int, size: int) -> bytes:
+        self.file.seek(at)
+        return self.file.read(size)
 
-    def block(self, j: int) -> WaveletMatrix:
-        at, size, _ = self.blocks[j]
-        return WaveletMatrix.unpack(self.data[at : at + size])
+    def chunk(self, plane: int, j: int) -> np.ndarray:
+        import zstandard
+
+        at, size = self.table[plane, j].tolist()
+        data, wide = self.read(at, size), -(-min(CHUNK, self.n - j * CHUNK) // 8)
+        return np.frombuffer(data if size == wide else zstandard.ZstdDecompressor().decompress(data), np.uint8)
 
     def access(self, i: int) -> int:
-        j = int(np.searchsorted(self.edges, i, side="right")) - 1
-        return self.block(j).access(i - int(self.edges[j]))
+        if not 0 <= i < self.n:
+            raise IndexError(i)
+        return self.matrix.access(i)
 
-    def count(self, value: int) -> int:
-        return sum(self.block(j).count(value) for j in range(len(self.blocks)))
+    def count(self, value: int, lo: int = 0, hi: int | None = None) -> int:
+        """Occurrences of value in positions [lo, hi) of the shard."""
+        return self.matrix.count(value, lo, hi)
 
     def occurrences(self, value: int) -> Iterator[int]:
         """Positions of value in the shard, ascending."""
-        for j in range(len(self.blocks)):
-            m = self.block(j)
-            for k in range(m.count(value)):
-                yield int(self.edges[j]) + m.select(value, k)
+        for k in range(self.matrix.count(value)):
+            yield self.matrix.select(value, k)
 
     def documents(self) -> Iterator[tuple[int | None, int, bytes]]:
-        """(doc_id, start in the shard, ids as little-endian unsigned 32-bit); one block is decoded at a time."""
-        held, at, j = np.empty(0, "<u4"), 0, 0
+        """(doc_id, start in the shard, ids as little-endian unsigned 32-bit)."""
+        ids = self.matrix.decode()
         for doc, lo, size in zip(self.doc_ids, self.starts.tolist(), self.sizes.tolist(), strict=False):
-            parts, need = [], size
-            while need:
-                if at == len(held):
-                    held, at, j = self.block(j).decode().astype("<u4"), 0, j + 1
-                take = min(need, len(held) - at)
-                parts.append(held[at : at + take].tobytes())
-                at, need = at + take, need - take
-            yield doc, lo, b"".join(parts)
+            yield doc, lo, ids[lo : lo + size].astype("<u4").tobytes()
 
 
-MANIFEST = "shard int, uri string, n_docs long, n_ids long"
+MANIFEST = "shard long, uri string, n_docs long, n_ids long"
 
 
-def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, shards: int | None = None) -> DataFrame:
-    """Encode whole texts (null: empty), append end_id, write one shard file for each range of doc_id.
+def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, tasks: int | None = None) -> DataFrame:
+    """Encode whole texts (null: empty), append end_id, write shard files of about SHARD_IDS ids in ascending doc_id.
 
-    docs: doc_id, text; other columns are ignored. Returns the manifest (shard, uri, n_docs, n_ids), written to the
-    shared folder: it names the files of the attempts that succeeded, so files of lost executors are never read.
-    Repeated rows are written each; an empty table gives an empty manifest or shards without documents.
+    docs: doc_id, text; other columns are ignored. Returns the manifest (shard: its place in order, uri, n_docs, n_ids),
+    written to the shared folder: it names the files of the attempts that succeeded, so files of lost executors are never
+    read. tasks is the number of ranges of doc_id that are written side by side. Repeated rows are written each; an empty
+    table gives an empty manifest.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = tokens.tokenizer(tokenizer), np.array([end_id], "<u4").tobytes()
-        shard = TaskContext.get().partitionId()
-        uri, writer, out = f"{folder}/shard-{shard:05d}-{uuid.uuid4().hex}.kwm", None, None
+        part, made, writer = TaskContext.get().partitionId(), 0, ShardWriter()
+
+        def done() -> pa.RecordBatch:
+            uri = f"{folder}/shard-{part:05d}-{made:05d}-{uuid.uuid4().hex}.kwm"
+            with storage.open_write(uri) as out:
+                writer.write(out)
+            columns = [[(part << 32) + made], [uri], [len(writer.docs)], [writer.n]]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["shard", "uri", "n_docs", "n_ids"])
+
         for batch in batches:
-            if writer is None and batch.num_rows:
-                out = storage.open_write(uri)
-                writer = ShardWriter(out)
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 writer.add(doc, encoder.encode(text) + end)
-        if writer:
-            n = writer.close()
-            out.close()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([shard], pa.int32()), pa.array([uri]), pa.array([len(writer.docs)]), pa.array([n])],
-                names=["shard", "uri", "n_docs", "n_ids"],
-            )
+                if writer.n >= SHARD_IDS:
+                    yield done()
+                    made, writer = made + 1, ShardWriter()
+        if writer.docs:
+            yield done()
 
     rows = docs.select(F.col("doc_id").cast("long"), "text").withColumn("_h", F.xxhash64("text"))
     by = ("doc_id", "_h")
-    dealt = rows.repartitionByRange(shards, *by) if shards else rows.repartitionByRange(*by)
+    dealt = rows.repartitionByRange(tasks, *by) if tasks else rows.repartitionByRange(*by)
     return common.materialize(
         dealt.sortWithinPartitions(*by).select("doc_id", "text").mapInArrow(write, MANIFEST), "manifest"
     )
@@ -310,12 +311,13 @@ def read_shards(manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for uri, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 rows, size = [], 0
-                for doc, lo, ids in Shard(storage.read_bytes(uri)).documents():
-                    rows.append((doc, base + lo, len(ids) // 4, ids))
-                    size += len(ids)
-                    if size >= 4 << 20:
-                        yield flush(rows)
-                        rows, size = [], 0
+                with storage.open_seekable(uri) as file:
+                    for doc, lo, ids in Shard(file).documents():
+                        rows.append((doc, base + lo, len(ids) // 4, ids))
+                        size += len(ids)
+                        if size >= 4 << 20:
+                            yield flush(rows)
+                            rows, size = [], 0
                 if rows:
                     yield flush(rows)
 

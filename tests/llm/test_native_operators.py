@@ -47,8 +47,26 @@ def test_urls_without_rules_or_rows(spark):
     rows = urls.judge(df, [], default="block").collect()
     assert len(rows) == 3 and {(r["rule"], r["verdict"]) for r in rows} == {(None, "block")}
     assert urls.judge(df.limit(0), [urls.parse_rule("allow", "org/")]).count() == 0
-    with pytest.raises(ValueError):
-        urls.rule_stacks([urls.Rule("allow", f"h{i}", "/") for i in range(urls.MAX_RULES + 1)])
+
+
+def test_many_and_deeply_nested_rules(spark):
+    deep = [".".join(f"l{j}" for j in range(i, 60)) for i in range(60)]
+    rules = [urls.Rule("block" if i % 2 else "allow", h, "") for i, h in enumerate(deep)]
+    rules += [urls.Rule("block", deep[-1], "/" + "a" * i) for i in range(1, 300)]
+    rules += [urls.Rule("allow", "l58.l59", "/" + "b" * i) for i in range(1, 50)]
+    entries = sum(len(s) for _, s in urls.host_stacks(rules))
+    assert entries == 60 * 61 // 2  # labels of the hosts themselves, however many rules there are
+    made = [f"http://x.{h}{p}" for h in (deep[0], deep[30], deep[58], deep[59]) for p in ("", "/c", "/aaa", "/" + "a" * 5000, "/bbbb")]
+    made.append("http://y.l59/" + "z" * 200_000)
+    out = urls.judge(spark.createDataFrame(list(enumerate(made)), "page_id long, url string"), rules)
+    for r in out.collect():
+        assert (r["host"], r["path"], r["rule"], r["verdict"]) == judged(r["url"], rules, "allow"), r["url"][:99]
+
+
+def test_rules_of_one_length_and_one_text(spark):
+    rules = [urls.Rule("block", "b.org", "/x"), urls.Rule("allow", "org", "/xyz"), urls.Rule("allow", "b.org", "/x")]
+    (r,) = urls.judge(spark.createDataFrame([(1, "http://b.org/xyzw")], "page_id long, url string"), rules).collect()
+    assert (r["rule"], r["verdict"]) == ("b.org/x", "block")
 
 
 def shared_out(sizes, weights, total, epochs):
@@ -104,6 +122,14 @@ def test_mix_prefers_heavier_documents(spark):
     assert heavy > 0.75 * sum(r["taken"] for r in rows)
 
 
+def test_small_weights_fill_all_buckets(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET", 10)
+    docs = [(i, "w " * (1 + i % 9), "a") for i in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    rows = mixing.mix(df, share=0.5, weight=F.lit(1e-4)).collect()
+    assert sum(r["taken"] for r in rows) == round(0.5 * sum(1 + i % 9 for i in range(300)))
+
+
 def test_mix_of_awkward_rows(spark, awkward, empty):
     rows = mixing.mix(awkward).collect()
     assert len(rows) == awkward.count() and all(0 <= r["taken"] <= 2 * r["size"] for r in rows)
