@@ -21,7 +21,6 @@ step writes out all pairs; links() does, between classes, for those who ask for
 
 from __future__ import annotations
 
-import functools
 import math
 from collections.abc import Callable, Iterator
 from fractions import Fraction
@@ -42,8 +41,8 @@ STAGE_THRESHOLD, STAGE_WORDS = Fraction(80, 100), 5
 BAND = 1.2
 #: Sets of at least WIDE_FROM elements have a second, wider sketch, as the short one is full of ones and zeros then.
 SHORT_BITS, WIDE_BITS, WIDE_FROM = 1024, 8192, 1000
-#: Rows of a share of a bucket and of a component, and rows that a task compares at least.
-BUCKET_SHARE, SET_SHARE, TASK_ROWS = 512, 128, 4096
+#: Rows of a share of a bucket and of a component, and rows of all shares that a task compares.
+BUCKET_SHARE, SET_SHARE, BUCKET_TASK, SET_TASK = 512, 128, 4096, 64
 #: Fingerprints that a task remembers, to leave out copies.
 HAD_SETS = 200_000
 
@@ -253,11 +252,11 @@ def compare(group: pd.DataFrame, unit: list[str], t: Fraction, every: bool) -> p
 LINKS = "u long, v long"
 
 
-def within_shares(rows: DataFrame, total: int, share: int, salt: int, t: Fraction) -> DataFrame:
+def within_shares(rows: DataFrame, total: int, share: int, task: int, salt: int, t: Fraction) -> DataFrame:
     """Links that connect what is linked within shares: each group (group, m: its rows) is dealt by salt to shares of about
-    `share` rows, tasks hold about TASK_ROWS rows, of `total`, of shares of small and large groups."""
+    `share` rows, tasks hold about `task` rows, of `total`, of shares of small and large groups."""
     own = F.pmod(F.xxhash64(F.lit(salt), "node"), F.expr(f"(m + {share - 1}) div {share}"))
-    bins = max(1, -(-total // TASK_ROWS))
+    bins = max(1, -(-total // task))
     dealt = rows.withColumn("share", own).withColumn("bin", F.pmod(F.xxhash64("group", "share"), F.lit(bins)))
     return dealt.drop("m").groupBy("bin").applyInPandas(lambda g: compare(g, ["group", "share"], t, False), LINKS)
 
@@ -279,7 +278,7 @@ def across_shares(rows: DataFrame, share: int, t: Fraction, every: bool) -> Data
     return both.groupBy(*unit).applyInPandas(lambda g: compare(g, unit, t, every), LINKS)
 
 
-def spanning(rows: DataFrame, share: int, t: Fraction, attach: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def spanning(rows: DataFrame, share: int, task: int, t: Fraction, attach: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Links (u, v) that connect whatever is linked within the groups of a written table rows (group, m: its rows, node, n);
     attach adds sketches, and sets if links are to be verified, to some of them.
 
@@ -287,11 +286,11 @@ def spanning(rows: DataFrame, share: int, t: Fraction, attach: Callable[[DataFra
     copies that connects nearly all. What is then not connected with the group's largest part is compared with all of
     it, so no link is lost, and the work grows with the square of what is left only.
     """
-    links = common.materialize(within_shares(attach(rows), rows.count(), share, 21, t).distinct(), "links")
+    links = common.materialize(within_shares(attach(rows), rows.count(), share, task, 21, t).distinct(), "links")
     large = rows.filter(F.col("m") > share)
     if not (total := large.count()):
         return links
-    links = common.materialize(links.union(within_shares(attach(large), total, share, 22, t)).distinct(), "links")
+    links = common.materialize(links.union(within_shares(attach(large), total, share, task, 22, t)).distinct(), "links")
     labels = common.materialize(components.connected_components(links), "labels")
     named = large.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
     parts = named.groupBy("group", "label").agg(F.count("*").alias("k"))
@@ -340,27 +339,31 @@ def provisional_links(docs: DataFrame, classes: DataFrame, sketched: DataFrame,
     shared = common.materialize(rows.filter("lo <> hi").select("group", "s1").distinct(), "buckets")
     shared = shared.join(classes.select("s1", "node", "n"), "s1").withColumn("m", F.count("*").over(w)).drop("s1")
     sketches = sketched.select(F.col("row").alias("node"), "sketch")
-    return spanning(common.materialize(shared, "shared"), BUCKET_SHARE, t, lambda rows: rows.join(sketches, "node"))
+    return spanning(common.materialize(shared, "shared"), BUCKET_SHARE, BUCKET_TASK, t, lambda rows: rows.join(sketches, "node"))
 
 
 def with_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
-    """members (node, group, m, n, s1, s2, sketch, text_key, rows) with the set of each, read off a text of its class."""
-    texts = docs.select(text_key(), "text")
-    single = texts.join(members.filter("rows = 1"), "text_key")
+    """members (group, m, node, n, s1, s2, sketch, text_key) with the set of each, read off a text of its class, written to
+    the shared folder: texts travel once. Of rows that repeat a text a task keeps one."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        had: set[int] = set()
         for batch in batches:
-            text, s1, s2 = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("text", "s1", "s2"))
+            column = lambda c: batch.column(batch.schema.get_field_index(c)).to_pylist()  # noqa: B023, E731
+            fresh = [i for i, node in enumerate(column("node")) if node not in had and not had.add(node)]
+            batch = batch.take(pa.array(fresh, pa.int64()))
+            text, s1, s2 = column("text"), column("s1"), column("s2")
             found = list(shingles.shingle_sets(text, words))
             # Texts of other sets whose keys are equal by chance go.
-            at = pa.array([i for i, h in enumerate(found) if fingerprint(h) == (s1[i], s2[i])], pa.int64())
-            kept = batch.select(["group", "m", "node", "n", "sketch"]).take(at)
-            hashes = pa.array([found[i].tobytes() for i in at.to_pylist()], pa.binary())
+            at = [i for i, h in enumerate(found) if fingerprint(h) == (s1[i], s2[i])]
+            had.difference_update(set(column("node")) - {column("node")[i] for i in at})
+            kept = batch.select(["group", "m", "node", "n", "sketch"]).take(pa.array(at, pa.int64()))
+            hashes = pa.array([found[i].tobytes() for i in at], pa.binary())
             yield pa.RecordBatch.from_arrays([*kept.columns, hashes], names=[*kept.schema.names, "set"])
 
-    repeated = common.one_of_each(texts.join(members.filter("rows > 1"), "text_key"), "node")
-    found = single.unionByName(repeated.select(single.columns))
-    return found.mapInArrow(sets, "group long, m long, node long, n long, sketch binary, set binary")
+    rows = docs.select(text_key(), "text").join(members, "text_key")
+    rows = rows.mapInArrow(sets, "group long, m long, node long, n long, sketch binary, set binary")
+    return common.materialize(rows, "sets")
 
 
 def sketched_classes(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
@@ -383,12 +386,13 @@ def joined_rows(docs: DataFrame, t: Fraction, words: int) -> DataFrame:
     """row, doc_id, text_key, n_shingles, component (null for empty sets) and component_id of each row."""
     sketched, classes = sketched_classes(docs, words)
     members = candidates(docs, sketched, classes, t, words)
-    small, large = (members.filter(F.col("m") <= SET_SHARE), members.filter(F.col("m") > SET_SHARE))
-    found = [within_shares(with_sets(docs, small, words), small.count(), SET_SHARE, 21, t)]
+    sets = with_sets(docs, members, words)
+    payload = sets.select("node", "sketch", "set")
+    small, large = (members.filter(f"m {sign} {SET_SHARE}").select("group", "m", "node", "n") for sign in ("<=", ">"))
+    links = within_shares(sets.filter(F.col("m") <= SET_SHARE), small.count(), SET_SHARE, SET_TASK, 21, t)
     if not large.isEmpty():
-        sets = common.materialize(with_sets(docs, large, words), "sets").select("node", "sketch", "set")
-        found.append(spanning(large.select("group", "m", "node", "n"), SET_SHARE, t, lambda rows: rows.join(sets, "node")))
-    links = functools.reduce(DataFrame.union, found)
+        more = spanning(large, SET_SHARE, SET_TASK, t, lambda rows: rows.join(payload, "node"))
+        links = links.union(more)
     labels = components.connected_components(links)
     same = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = same.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -418,7 +422,7 @@ def links(docs: DataFrame, t: Fraction = THRESHOLD, words: int = WORDS) -> DataF
     """
     sketched, classes = sketched_classes(docs, words)
     members = candidates(docs, sketched, classes, t, words)
-    rows = common.materialize(with_sets(docs, members, words), "sets")
+    rows = with_sets(docs, members, words)
     rows = rows.withColumns({"label": F.col("node"), "rest": F.lit(True)})
     found = across_shares(rows, SET_SHARE, t, True).distinct()
     sizes = sketched.groupBy("n", "s1", "s2").agg(F.count("*").alias("rows"))

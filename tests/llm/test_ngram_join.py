@@ -70,7 +70,7 @@ def corpus(seed=1):
     [(Fraction(90, 100), 3, 128), (Fraction(90, 100), 3, 7), (Fraction(80, 100), 5, 5), (Fraction(60, 100), 2, 128)],
 )
 def test_components_against_all_pairs(spark, monkeypatch, t, words, share):
-    for name, value in {"BUCKET_SHARE": share, "SET_SHARE": share, "TASK_ROWS": 64, "HAD_SETS": 20}.items():
+    for name, value in {"BUCKET_SHARE": share, "SET_SHARE": share, "BUCKET_TASK": 64, "HAD_SETS": 20}.items():
         monkeypatch.setattr(ngram_join, name, value)
     docs = corpus()
     df = spark.createDataFrame(docs, "doc_id long, text string")
