@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kindred.functions import text as T
 from kindred.functions import vocab
 
+#: Fixed value, as are the forms of numbers and postal codes below.
 US_STATE = r"(?U)\b([A-Z]{2})\b"
 
 
@@ -93,6 +94,11 @@ def in_country(country: Column | str, names: str) -> Column:
     return F.upper(F.trim(T.present(country))).isin(names.split("|"))
 
 
+def is_india(country: Column | str) -> Column:
+    """[PF5]"""
+    return F.lower(F.trim(T.present(country))) == "india"
+
+
 INDIA, FRANCE, US = "INDIA|IN", "FRANCE|FR", "UNITED STATES|USA|US"
 
 

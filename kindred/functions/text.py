@@ -44,8 +44,7 @@ def tokens(c: Column | str) -> Column:
 
 
 def without(words: Column, unwanted: list[str]) -> Column:
-    stop = F.array(*map(F.lit, unwanted))
-    return F.filter(words, lambda t: ~F.array_contains(stop, t))
+    return F.filter(words, lambda t: ~t.isin(unwanted)) if unwanted else words
 
 
 def normalize_name(c: Column | str, suffixes: list[str] | None = None) -> Column:
@@ -103,6 +102,11 @@ def prefix(c: Column | str, n: int) -> Column:
     return F.substring(col(c), 1, n)
 
 
+def at_least(c: Column | str, n: int) -> Column:
+    """The text if it is so long, else null: shorter ones say too little to be a key. [PF16]"""
+    return F.when(F.length(col(c)) >= n, col(c))
+
+
 def trigram(c: Column | str) -> Column:
     """The first three characters of the first word, empty if it is shorter. [ST14]"""
     w = first_word(c)
@@ -159,9 +163,27 @@ def encoder_text(name: Column | str, address: Column | str, between: str = " | "
     return F.when(present(address) == "", present(name)).otherwise(F.concat_ws(between, present(name), present(address)))
 
 
+#: The first and the last character of each script's block.
+SCRIPTS = {
+    "devanagari": "[\u0900-\u097f]",
+    "bengali": "[\u0980-\u09ff]",
+    "gurmukhi": "[\u0a00-\u0a7f]",
+    "gujarati": "[\u0a80-\u0aff]",
+    "tamil": "[\u0b80-\u0bff]",
+    "telugu": "[\u0c00-\u0c7f]",
+    "kannada": "[\u0c80-\u0cff]",
+    "malayalam": "[\u0d00-\u0d7f]",
+}
+
+
+def has_script(c: Column | str, script: str) -> Column:
+    """Whether a character of the script's block occurs. [PF6]"""
+    return present(c).rlike(SCRIPTS[script])
+
+
 def has_indic(c: Column | str) -> Column:
-    """[PF6]"""
-    return present(c).rlike("[ऀ-ൿ]")
+    """Whether a character of any of the blocks occurs. [PF6]"""
+    return present(c).rlike("[\u0900-\u0d7f]")
 
 
 def is_latin(c: Column | str) -> Column:

@@ -7,7 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kindred.functions import address as A
 from kindred.functions import text as T
+from kindred.functions import vocab
 from kindred.operators import keys as K
 
 FLAGS = ("a", "b", "c", "d", "f", "g", "i")
@@ -191,3 +193,17 @@ def token_join(probes: DataFrame, targets: DataFrame, tokens: Column, least: int
     right = rare_tokens(targets, tokens, least, most).select("token", "country", F.col("entity_id").alias("target_id"))
     left = probes.select(F.col("entity_id").alias("s1_id"), "country", F.explode(F.array_distinct(tokens)).alias("token"))
     return left.join(right, ["token", "country"]).groupBy("s1_id", "target_id").agg(F.count("*").alias("shared"))
+
+
+def three_key_union(s1: DataFrame, targets: DataFrame, most: int = 25) -> DataFrame:
+    """s1_id, target_id of records of one country that share the name, its first four letters and the numbers of the
+    address, or the address's first number and word; of each S1 the first `most` by id. [J5]"""
+    name = T.clean_name("name", vocab.SUFFIXES_BLOCKING)
+    numbers = A.number_set_key("address")
+    both = F.when((name != "") & (numbers != ""), F.concat_ws("|", T.prefix(name, 4), numbers))
+    made = {"a": name, "b": both, "c": A.loose_anchor("address")}
+    key = F.explode(F.array(*[F.struct(F.lit(n).alias("kind"), F.concat_ws("|", "country", k).alias("key"), k.isNotNull().alias("ok")) for n, k in made.items()]))
+    side = lambda df, i: df.filter("country is not null").select(F.col("entity_id").alias(i), key.alias("k")).filter("k.ok").select(i, "k.kind", "k.key")
+    found = side(s1, "s1_id").join(side(targets, "target_id"), ["kind", "key"]).select("s1_id", "target_id").distinct()
+    w = Window.partitionBy("s1_id").orderBy("target_id")
+    return found.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= most).drop("_rn")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,14 +11,12 @@ from pyspark.sql import functions as F
 
 from kindred.functions import text as T
 from kindred.operators import keys as K
+from kindred.sources import scratch
 
 
 def _checkpointed(df: DataFrame) -> DataFrame:
     """Cuts lineage in the folder of spark.checkpoint.dir, so that no executor's loss undoes a round."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="kindred-graph-"))
-    return df.checkpoint()
+    return scratch.materialize(df, "graph")
 
 
 #: Edges that one task contracts at once.

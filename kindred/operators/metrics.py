@@ -5,10 +5,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.functions.similarity import f_beta
+from kindred.operators import keys as K
 from kindred.operators import ranking
 from kindred.operators.blocking import index_percentiles
 
@@ -165,24 +166,110 @@ def truncation_loss(truth: DataFrame, ranked: DataFrame, most: int) -> DataFrame
     return rows.groupBy(reason.alias("reason")).agg(F.count("*").alias("pairs"))
 
 
-def config_recall(truth: DataFrame, found: DataFrame, configs: dict[str, ranking.RankingConfig]) -> DataFrame:
-    """Recall of each ranking, from one table of evidence: config, recovered, and the gain on the first. [EV2, AG21]"""
-    out = None
-    for i, (name, c) in enumerate(configs.items()):
-        kept = ranking.rank(found, c).select("s1_id", "target_id").join(truth, ["s1_id", "target_id"], "left_semi")
-        row = kept.agg(F.count("*").alias("recovered")).select(F.lit(i).alias("i"), F.lit(name).alias("config"), "recovered")
-        out = row if out is None else out.unionByName(row)
-    base = out.filter("i = 0").select(F.col("recovered").alias("_base"))
-    return out.join(F.broadcast(base)).select("config", "recovered", (F.col("recovered") - F.col("_base")).alias("gain"))
+def _exploded(values: dict[str, Column], name: str, value: str) -> Column:
+    """An array of (name, value) for explode: one pass over a table for many configurations."""
+    return F.explode(F.array(*[F.struct(F.lit(n).alias(name), c.alias(value)) for n, c in values.items()]))
 
 
-def rule_grid(pairs: DataFrame, truth: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """Pooled precision, recall and F0.5 of each predicate over the same pairs, in one pass. [PF11, AG15]"""
+def bake_off(truth: DataFrame, found: DataFrame, configs: dict[str, ranking.RankingConfig], most: int = 25, promoted: int = 3) -> DataFrame:
+    """Of each ranking the true pairs among the first `most` candidates, those of them that only experimental keys find,
+    candidates, its place by true pairs (ties in the order given) and whether it is one of the `promoted`. [EV2, AG21]
+
+    Evidence is read once; every configuration ranks a copy of its ids and flags.
+    """
+    base = F.col("has_a") | F.col("has_b") | F.col("has_c")
+    marked = found.join(truth.select("s1_id", "target_id", F.lit(1).alias("_t")).distinct(), ["s1_id", "target_id"], "left")
+    scores = {n: ranking.score(c) for n, c in configs.items()}
+    rows = marked.select("s1_id", "target_id", "_t", "evidence_count", base.alias("_base"), _exploded(scores, "config", "score").alias("_c"))
+    rows = rows.select("*", "_c.*").drop("_c")
+    w = Window.partitionBy("config", "s1_id").orderBy(F.desc("score"), F.desc("evidence_count"), "target_id")
+    kept = rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= most)
+    out = kept.groupBy("config").agg(
+        F.count("_t").alias("recovered"), F.count_if(F.col("_t").isNotNull() & ~F.col("_base")).alias("only_experimental"), F.count("*").alias("candidates")
+    )
+    order = F.array_position(F.array(*map(F.lit, configs)), F.col("config"))
+    # A row for each configuration: the one window is over a handful of them.
+    out = out.withColumn("place", F.row_number().over(Window.orderBy(F.desc("recovered"), order)))
+    first = out.agg(F.max(F.when(order == 1, F.col("recovered"))).alias("_first"))
+    out = out.join(F.broadcast(first)).withColumn("gain", F.col("recovered") - F.col("_first")).drop("_first")
+    return out.withColumn("promoted", F.col("place") <= promoted)
+
+
+def ablation(truth: DataFrame, s1: DataFrame, targets: DataFrame, experiments: dict[str, dict[str, int | None]]) -> DataFrame:
+    """Candidate pairs, true ones among them and the gain in those on the first experiment, of each experiment: the keys it
+    uses with their caps (None: none). [EV3]
+
+    Keys are joined once, postings with their place in the key's list; an experiment takes hits within its caps.
+    """
+    names = tuple(sorted({k for keys in experiments.values() for k in keys}))
+    w = Window.partitionBy("key_type", "key").orderBy("ord", "entity_id")
+    posted = K.key_table(targets, names).dropDuplicates(["key_type", "key", "entity_id"]).withColumn("at", F.row_number().over(w))
+    most = {k: max((keys[k] or 1 << 62) for keys in experiments.values() if k in keys) for k in names}
+    posted = posted.filter(F.coalesce(*[F.when(F.col("key_type") == k, F.col("at") <= n) for k, n in most.items()]))
+    left = K.key_table(s1, names).select("key_type", "key", F.col("entity_id").alias("s1_id")).distinct()
+    hits = left.join(posted.select("key_type", "key", F.col("entity_id").alias("target_id"), "at"), ["key_type", "key"])
+    best = hits.groupBy("s1_id", "target_id").agg(*[F.min(F.when(F.col("key_type") == k, F.col("at"))).alias(f"at_{k}") for k in names])
+
+    def within(keys: dict[str, int | None]) -> Column:
+        tests = [F.coalesce(F.col(f"at_{k}") <= (n or 1 << 62), F.lit(False)) for k, n in keys.items()]
+        out = tests[0]
+        for t in tests[1:]:
+            out = out | t
+        return out
+
+    marked = best.join(truth.select("s1_id", "target_id", F.lit(1).alias("_t")).distinct(), ["s1_id", "target_id"], "left")
+    rows = marked.select("_t", _exploded({n: within(keys) for n, keys in experiments.items()}, "experiment", "hit").alias("e"))
+    out = rows.filter("e.hit").groupBy("e.experiment").agg(F.count("*").alias("pairs"), F.count("_t").alias("recovered"))
+    first = out.agg(F.max(F.when(F.col("experiment") == next(iter(experiments)), F.col("recovered"))).alias("_first"))
+    return out.join(F.broadcast(first)).withColumn("gain", F.col("recovered") - F.coalesce("_first", F.lit(0))).drop("_first")
+
+
+def rule_grid(scope: DataFrame, pairs: DataFrame, truth: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """rule, found, right, precision, recall and f05 of all entities pooled, the mean f05 over the entities of scope, and
+    whether that is the greatest (ties to the first in alphabetical order), for each predicate over the same pairs, in one
+    pass. [PF11, AG15]"""
     marked = pairs.join(truth.select("s1_id", "target_id", F.lit(1).alias("_t")).distinct(), ["s1_id", "target_id"], "left")
-    named = F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()])
-    hits = marked.select("_t", F.explode(F.array_compact(named)).alias("rule"))
-    counts = hits.groupBy("rule").agg(F.count("*").alias("found"), F.count("_t").alias("right"))
-    total = truth.distinct().agg(F.count("*").alias("n_true"))
-    out = counts.join(F.broadcast(total))
-    p, r = F.col("right") / F.col("found"), F.col("right") / F.col("n_true")
-    return out.withColumn("precision", p).withColumn("recall", r).withColumn("f05", f_beta(F.col("precision"), F.col("recall")))
+    hits = marked.select("s1_id", "_t", _exploded(rules, "rule", "hit").alias("r")).filter("r.hit")
+    per = hits.groupBy("s1_id", "r.rule").agg(F.count("*").alias("n_found"), F.count("_t").alias("n_right"))
+    true = truth.distinct().groupBy("s1_id").agg(F.count("*").alias("n_true"))
+    every = scope.select("s1_id", F.explode(F.array(*map(F.lit, rules))).alias("rule"))
+    rows = every.join(per, ["s1_id", "rule"], "left").join(true, "s1_id", "left").fillna(0, ["n_found", "n_right", "n_true"])
+    out = entity_scores(rows).groupBy("rule").agg(
+        F.sum("n_found").alias("found"), F.sum("n_right").alias("right"), F.sum("n_true").alias("n_true"), F.round(F.avg("f05"), 9).alias("macro_f05")
+    )
+    p = F.when(F.col("found") == 0, 0.0).otherwise(F.col("right") / F.col("found"))
+    r = F.when(F.col("n_true") == 0, 0.0).otherwise(F.col("right") / F.col("n_true"))
+    out = out.withColumn("precision", F.round(p, 9)).withColumn("recall", F.round(r, 9))
+    out = out.withColumn("f05", F.round(f_beta(p, r), 9)).drop("n_true")
+    best = out.agg(F.max_by("rule", F.struct("macro_f05", F.transform(F.split("rule", ""), lambda c: -F.ascii(c)))).alias("_best"))
+    return out.join(F.broadcast(best)).withColumn("best", F.col("rule") == F.col("_best")).drop("_best")
+
+
+def run_report(scope: DataFrame, truth: DataFrame, found: DataFrame, ranked: DataFrame, crossing: DataFrame) -> DataFrame:
+    """metric, value: what a run of candidate generation counts. [AG7, SK5]"""
+    marked = lambda df: df.select("s1_id", "target_id").distinct().join(truth.distinct(), ["s1_id", "target_id"], "left_semi")
+    one = lambda df, name: df.agg(F.count("*").cast("double").alias("value")).select(F.lit(name).alias("metric"), "value")
+    rows = [
+        one(scope, "entities"),
+        one(truth.distinct(), "true_pairs"),
+        one(found, "pairs"),
+        one(marked(found), "true_pairs_found"),
+        one(marked(ranked), "true_pairs_kept"),
+        one(ranked, "pairs_kept"),
+        one(ranked.groupBy("s1_id", "target_id").count().filter("count > 1"), "pairs_twice"),
+        one(ranked.filter(~F.col("target_id").rlike("^S[23]-")), "bad_targets"),
+        one(ranked.join(scope, "s1_id", "left_anti"), "unknown_entities"),
+        one(crossing, "pairs_across_countries"),
+    ]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+def digest(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """rows, digest: a checksum of a result that does not depend on the order of its rows, so that no task sees all of
+    them: the sum of 32 bits of each row's md5. [SM21]"""
+    line = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns])
+    bits = F.conv(F.substring(F.md5(line.cast("binary")), 1, 8), 16, 10).cast("long")
+    return rows.agg(F.count("*").alias("rows"), F.coalesce(F.sum(bits), F.lit(0)).alias("digest"))

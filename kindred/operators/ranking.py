@@ -58,3 +58,9 @@ def conflict_gate(scored: DataFrame, one: str, two: str, by: str = "p") -> DataF
     """The probability becomes 0 where both values are there and differ. [PF9]"""
     known = (F.coalesce(one, F.lit("")) != "") & (F.coalesce(two, F.lit("")) != "")
     return scored.withColumn(by, F.when(known & (F.col(one) != F.col(two)), 0.0).otherwise(F.col(by)))
+
+
+def prefilter(scored: DataFrame, least: float = 0.35, most: int = 200, by: str = "similarity") -> DataFrame:
+    """Of each S1's pairs that reach `least` the best `most`. [SL4]"""
+    w = Window.partitionBy("s1_id").orderBy(F.desc(by), "target_id")
+    return scored.filter(F.col(by) >= least).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= most).drop("_rn")

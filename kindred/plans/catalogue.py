@@ -1,6 +1,6 @@
 """The queries over the driver's tables, and the SQL that says the same.
 
-Records are those of plans.entities. Caps are set low enough for the tables to reach them.
+Records are those of plans.entities; keys have their own caps.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from kindred.plans import presets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
-CAPS = {"d": 10, "f": 20, "g": 20, "h": 10, "i": 20}
+CAPS = {k.name: k.cap for k in keys.KEYS.values() if k.cap}
 R33 = ranking.PRODUCTION
 
 
@@ -101,24 +101,6 @@ def significant_tokens(spark, d):
     )
 
 
-@query("super_clean_names")
-def super_clean_names(spark, d):
-    return E.records(spark, d).select("entity_id", T.super_clean_name("name").alias("cleaned"), T.clean_name_enhanced("name").alias("enhanced"))
-
-
-@query("places")
-def places(spark, d):
-    rows = E.landed(E.records(spark, d))
-    return rows.select(
-        "entity_id",
-        A.geo("address", "country", E.PLACES_INDIA, E.PLACES_FRANCE).alias("geo"),
-        A.canonical_geo("address", "country").alias("canonical"),
-        A.audit_state("address", "country").alias("audit"),
-        A.state_code("address").alias("code"),
-        A.postal_code("address", "country").alias("postal"),
-    )
-
-
 @query(
     "page_domains",
     r"""SELECT page_id, list_filter(list_transform(regexp_extract_all(url, '(?i)\b(?:https?://)?(?:www\.)?([a-zA-Z0-9][-a-zA-Z0-9]*\.[a-zA-Z]{2,}(?:\.[a-zA-Z]{2,})?)\b', 1), lambda h: lower(h)), lambda h: length(h) > 4)[1] AS domain FROM pages""",
@@ -330,11 +312,6 @@ def pair_diagnostics(spark, d):
     return FV.diagnostics(_pairs(spark, d))
 
 
-@query("fuzzy_scores")
-def fuzzy_scores(spark, d):
-    return _pairs(spark, d).select("s1_id", "target_id", S.fuzzy_score(T.normalize_name("name1"), T.normalize_name("name2")).alias("score"))
-
-
 # -- vectors ---------------------------------------------------------------------------------------------------------
 
 
@@ -391,12 +368,13 @@ def macro_f05_by_country(spark, d):
     "micro_scores",
     f"""{_CONF}, m AS (SELECT sum(n_right)::BIGINT AS tp, sum(n_found - n_right)::BIGINT AS fp, sum(n_true - n_right)::BIGINT AS fn,
   round(avg(CASE WHEN n_true = 0 THEN (n_found = 0)::INT END), 9) AS singleton_accuracy,
-  round(avg((n_found = n_right AND n_true = n_right)::INT), 9) AS exact_accuracy FROM conf)
-SELECT tp, fp, fn, singleton_accuracy, exact_accuracy, round(tp / (tp + fp), 9) AS precision, round(tp / (tp + fn), 9) AS recall FROM m""",
+  round(avg((n_found = n_right AND n_true = n_right)::INT), 9) AS exact_accuracy FROM conf),
+q AS (SELECT *, tp / (tp + fp) AS p, tp / (tp + fn) AS r FROM m)
+SELECT tp, fp, fn, singleton_accuracy, exact_accuracy, round(p, 9) AS precision, round(r, 9) AS recall, round(1.25 * p * r / (0.25 * p + r), 9) AS f05, round(2 * p * r / (p + r), 9) AS f1 FROM q""",
 )
 def micro_scores(spark, d):
-    rows = metrics.micro(_confused(spark, d)).drop("f05", "f1")
-    return rows.withColumn("precision", F.round("precision", 9)).withColumn("recall", F.round("recall", 9))
+    rows = metrics.micro(_confused(spark, d))
+    return rows.withColumns({c: F.round(c, 9) for c in ("precision", "recall", "f05", "f1")})
 
 
 @query(
@@ -485,51 +463,6 @@ def truncation_loss(spark, d):
     return metrics.truncation_loss(E.truth(spark, d), every, 3)
 
 
-def _config_sql() -> str:
-    def recovered(name: str, weights: dict[str, float], bonus: float) -> str:
-        score = " + ".join(f"has_{f}::INT * {w}::DOUBLE" for f, w in weights.items()) + f" + greatest(evidence_count - 1, 0) * {bonus}::DOUBLE"
-        return f"""SELECT '{name}' AS config, count(*) AS recovered FROM (SELECT s1_id, target_id, row_number() OVER (PARTITION BY s1_id ORDER BY {score} DESC, evidence_count DESC, target_id) AS rn FROM ev)
-  JOIN truth USING (s1_id, target_id) WHERE rn <= 3"""
-
-    base = {"a": 3.0, "b": 2.0, "c": 1.5}
-    rows = " UNION ALL ".join([recovered("base", base, 0.0), recovered("bonus", base, 0.5), recovered("production", R33.weights, R33.bonus)])
-    return f"{_EV}, {O.TRUTH}, c AS ({rows}) SELECT config, recovered, recovered - (SELECT recovered FROM c WHERE config = 'base') AS gain FROM c"
-
-
-@query("config_recall", _config_sql())
-def config_recall(spark, d):
-    configs = {
-        "base": ranking.RankingConfig(most=3),
-        "bonus": ranking.RankingConfig(bonus=0.5, most=3),
-        "production": ranking.RankingConfig(R33.weights, R33.bonus, 3),
-    }
-    return metrics.config_recall(E.truth(spark, d), _evidence(spark, d), configs)
-
-
-@query(
-    "rule_grid",
-    f"""{_RK}, {O.TRUTH}, p AS (SELECT rk.*, t.target_id IS NOT NULL AS hit FROM rk LEFT JOIN truth t USING (s1_id, target_id)),
-g AS (SELECT 'name' AS rule, hit FROM p WHERE has_a UNION ALL SELECT 'name and address', hit FROM p WHERE has_a AND has_c
-  UNION ALL SELECT 'score 4', hit FROM p WHERE score >= 4 UNION ALL SELECT 'three keys', hit FROM p WHERE evidence_count >= 3)
-SELECT rule, count(*) AS found, count(*) FILTER (hit) AS right, (SELECT count(*) FROM truth) AS n_true FROM g GROUP BY 1""",
-)
-def rule_grid(spark, d):
-    every = ranking.rank(_evidence(spark, d), ranking.RankingConfig(R33.weights, R33.bonus, 0))
-    rules = {
-        "name": F.col("has_a"),
-        "name and address": F.col("has_a") & F.col("has_c"),
-        "score 4": F.col("score") >= 4,
-        "three keys": F.col("evidence_count") >= 3,
-    }
-    return metrics.rule_grid(every, E.truth(spark, d), rules).select("rule", "found", "right", "n_true")
-
-
-@query("cross_country_pairs", f"{_EV} SELECT s1_id, target_id FROM ev JOIN rec a ON a.entity_id = s1_id JOIN rec b ON b.entity_id = target_id WHERE a.country <> b.country")
-def cross_country_pairs(spark, d):
-    s1, targets = E.sides(spark, d)
-    return validate.cross_country(_evidence(spark, d), s1, targets).select("s1_id", "target_id")
-
-
 @query(
     "script_counts",
     rf"""WITH {O.RECORDS} SELECT country, count(*) AS records, count(*) FILTER (regexp_matches(name, '[ऀ-ൿ]')) AS indic,
@@ -565,11 +498,6 @@ def _edges(spark, d):
     return scored.unionByName(graph.bridge_edges(rows.filter("source = 'S2'"), rows.filter("source = 'S3'")))
 
 
-@query("greedy_assignment")
-def greedy_assignment(spark, d):
-    return graph.assign(_edges(spark, d), 0.3)
-
-
 def _exact_slots(spark, d, source: str | None = None):
     best = ranking.best_per_source(ranking.rank(_evidence(spark, d)).filter("has_a"), by="score")
     wide = best.groupBy("s1_id").agg(*[F.max(F.when(F.col("source") == f"S{i}", F.col("target_id"))).alias(f"s{i}_id") for i in (2, 3)])
@@ -599,16 +527,6 @@ def transitive_bridge(spark, d):
     return graph.transitive(_exact_slots(spark, d, "s3_id"), E.records(spark, d))
 
 
-@query("override_slots", f"{_BEST} SELECT s1_id, s2_id, s3_id FROM wide")
-def override_slots(spark, d):
-    return fusion.override_slots(_exact_slots(spark, d, "s2_id"), _exact_slots(spark, d))
-
-
-@query("override_entities", f"{_BEST} SELECT s1_id, CASE WHEN s3_id IS NULL THEN s2_id END AS s2_id, s3_id FROM wide")
-def override_entities(spark, d):
-    return fusion.override_entities(_exact_slots(spark, d, "s2_id"), _exact_slots(spark, d))
-
-
 @query(
     "recovered_matches",
     f"""{_BEST}, p AS (SELECT s1_id, target_id, score / 14 AS p FROM rk WHERE rank <= 25 AND score / 14 >= 0.25),
@@ -641,20 +559,6 @@ def superset_sync(spark, d):
     return _lists(spark, d).select("s1_id", F.array_join(fusion.superset(F.col("matched"), F.col("candidates")), ",").alias("ids"))
 
 
-@query("result_violations")
-def result_violations(spark, d):
-    rows, s1 = _lists(spark, d), E.sides(spark, d)[0]
-    found = validate.match_violations(rows.select("s1_id", "matched"), s1)
-    found = found.unionByName(validate.candidate_violations(rows.select("s1_id", "candidates"), s1))
-    return found.unionByName(validate.not_candidates(rows.select("s1_id", "matched"), rows.select("s1_id", "candidates")))
-
-
-@query("suspect_pairs")
-def suspect_pairs(spark, d):
-    rows = fusion.suspects(_pairs(spark, d).withColumns({f"country{i}": F.lit("us") for i in (1, 2)}))
-    return rows.select("s1_id", "target_id", "reason")
-
-
 # -- sampling and learning -------------------------------------------------------------------------------------------
 
 _DIGEST = "('0x' || substr(md5('42:' || entity_id), 1, 8))::BIGINT"
@@ -754,11 +658,6 @@ def dense_first_acceptable(spark, d):
     return multilingual.first_acceptable(ranked, s1, three)
 
 
-@query("canonical_recovery")
-def canonical_recovery(spark, d):
-    return multilingual.canonical_recovery(*[E.landed(x) for x in E.sides(spark, d)])
-
-
 _FALLBACK = f"""WITH {O.RECORDS}, {O.PARTS}, {O.key_table(("a", "d"))}, {O.postings({"d": CAPS["d"]})},
 p AS (SELECT DISTINCT key_type, s.entity_id AS s1_id, q.entity_id AS target_id FROM keyed s JOIN posted q USING (key_type, key) WHERE s.source = 'S1'),
 n AS (SELECT s1_id FROM p WHERE key_type = 'a' GROUP BY 1 HAVING count(*) >= 5)
@@ -769,26 +668,3 @@ SELECT s1_id, target_id FROM p WHERE key_type = 'a' UNION SELECT s1_id, target_i
 def conditional_fallback(spark, d):
     sides = E.sides(spark, d)
     return multilingual.with_fallback(blocking.key_join(*sides, "a"), blocking.key_join(*sides, "d", CAPS["d"]))
-
-
-@query("failure_categories")
-def failure_categories(spark, d):
-    return failures.histogram(_pairs(spark, d))
-
-
-@query(
-    "missed_patterns",
-    f"""{_PAIRS_SQL}, t AS (SELECT *, {O.tokens("n1")} AS w1, list_intersect({O.tokens("n1")}, {O.tokens("n2")}) AS sh,
-  list_filter({O.tokens(O.clean("address1"))}, lambda t: {O.DIGITS}) AS d1, list_filter({O.tokens(O.clean("address2"))}, lambda t: {O.DIGITS}) AS d2 FROM pairs),
-g AS (SELECT unnest(list_filter([
-  CASE WHEN len(sh) > 0 THEN 'has_token_overlap' END, CASE WHEN len(sh) = 1 AND sh[1] = w1[1] THEN 'first_token_matches' END,
-  CASE WHEN len(sh) = 0 THEN 'zero_name_token_overlap' END,
-  CASE WHEN length(n1) >= 5 AND length(n2) >= 5 AND left(n1, 5) = left(n2, 5) THEN 'prefix_5_matches' END,
-  CASE WHEN len(d1) = 0 OR len(d2) = 0 THEN 'missing_address_digits' END,
-  CASE WHEN len(d1) > 0 AND len(d2) > 0 AND len(list_intersect(d1, d2)) > 0 THEN 'address_digits_overlap_but_name_failed' END,
-  CASE WHEN len(d1) > 0 AND len(d2) > 0 AND len(list_intersect(d1, d2)) = 0 THEN 'address_digits_mismatch' END,
-  CASE WHEN list_filter(d1, lambda t: length(t) IN (5, 6))[1] = list_filter(d2, lambda t: length(t) IN (5, 6))[1] THEN 'postal_code_matches' END],
-  lambda x: x IS NOT NULL)) AS pattern FROM t) SELECT pattern, count(*) AS pairs FROM g GROUP BY 1""",
-)
-def missed_patterns(spark, d):
-    return failures.patterns(_pairs(spark, d)).filter("pattern <> 'non_latin_or_script_mismatch'")

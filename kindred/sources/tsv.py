@@ -7,18 +7,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SCHEMA = "entity_id string, business_name string, business_address string, country string, _bad string"
-
+from kindred.functions import text as T
+from kindred.sources import scratch
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+SCHEMA = "entity_id string, business_name string, business_address string, country string, _bad string"
 
 
 def _reader(spark: SparkSession):
     return (
         spark.read.option("sep", "\t").option("header", True).option("mode", "PERMISSIVE").option("emptyValue", "")
         .option("nullValue", "\x00").option("maxCharsPerColumn", -1).option("enforceSchema", True)
+        .option("escape", '"')
     )
 
 
@@ -28,7 +27,7 @@ def read_records(spark: SparkSession, paths: list[str], strict: bool = True, sho
     A file that is missing raises, or is left out where not strict. Rows of fewer than four fields are dropped
     ("drop"), or missing fields are empty ("pad"). Ids, postal codes and the like stay text.
     """
-    found = [p for p in paths if strict or _exists(spark, p)]
+    found = [p for p in paths if strict or scratch.exists(spark, p)]
     out = None
     for i, path in enumerate(found):
         rows = _reader(spark).schema(SCHEMA).option("columnNameOfCorruptRecord", "_bad").csv(path)
@@ -57,7 +56,7 @@ def short_rows(spark: SparkSession, path: str) -> int:
 
 def read_lists(spark: SparkSession, path: str, value: str = "matched", optional: bool = False) -> DataFrame:
     """s1_id and an array of ids, distinct, in order: truth, candidates or matches. [SC3, SC7, SC8]"""
-    if optional and not _exists(spark, path):
+    if optional and not scratch.exists(spark, path):
         return spark.createDataFrame([], f"s1_id string, {value} array<string>")
     rows = _reader(spark).schema("s1_id string, ids string").csv(path)
     ids = F.transform(F.split(F.coalesce("ids", F.lit("")), ","), lambda x: F.trim(x))
@@ -74,6 +73,24 @@ def needed(records: DataFrame, ids: DataFrame, id_col: str = "target_id") -> Dat
     return records.join(ids.select(F.col(id_col).alias("entity_id")).distinct(), "entity_id", "left_semi")
 
 
+def first_rows(records: DataFrame, n: int | None) -> DataFrame:
+    """The first n records in reading order; all of them without n. [SC4, SL12]"""
+    return records if n is None else records.orderBy("ord", "entity_id").limit(n)
+
+
+def entity_texts(records: DataFrame) -> DataFrame:
+    """entity_id, name, the text that an encoder reads, and country. [SC6]"""
+    return records.select("entity_id", T.present("name").alias("name"), T.encoder_text("name", "address").alias("text"), "country")
+
+
+def write_records(records: DataFrame, path: str) -> None:
+    """Records as read_records reads them. [SC1, SC2]"""
+    rows = records.select(
+        "entity_id", F.col("name").alias("business_name"), F.col("address").alias("business_address"), "country"
+    )
+    rows.write.option("sep", "\t").option("header", True).option("emptyValue", "").option("escape", '"').csv(path)
+
+
 def lists_of(s1: DataFrame, ranked: DataFrame, header: str, order: str = "rank") -> DataFrame:
     """One row for each S1 record, in read order, with its targets as a comma list, empty if it has none. [SK1, SK2, J21]"""
     listed = F.array_sort(F.collect_list(F.struct(order, "target_id")))
@@ -83,14 +100,19 @@ def lists_of(s1: DataFrame, ranked: DataFrame, header: str, order: str = "rank")
 
 
 def write_lists(lists: DataFrame, path: str) -> None:
-    """Write beside the target, then put in its place: a reader sees the old result or the new one. [SK7]"""
+    """Write beside the target, then move the old result aside, the new one in, and delete the old. A crash in between
+    loses neither: there is always one of them under the target's name or beside it. [SK7]"""
     spark = lists.sparkSession
-    fresh = f"{path}.{uuid.uuid4().hex}"
+    fresh, old = (f"{path}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
     rows = lists.repartitionByRange("ord").sortWithinPartitions("ord").drop("ord")
     rows.write.option("sep", "\t").option("header", True).option("emptyValue", "").option("quote", "").csv(fresh)
     jvm = spark._jvm.org.apache.hadoop.fs
     target = jvm.Path(path)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(target, True)
+    had = fs.exists(target)
+    if had and not fs.rename(target, jvm.Path(old)):
+        raise OSError(f"could not move {path} aside to {old}")
     if not fs.rename(jvm.Path(fresh), target):
-        raise OSError(f"could not move {fresh} to {path}")
+        raise OSError(f"could not move {fresh} to {path}; the result before is at {old if had else None}")
+    if had:
+        fs.delete(jvm.Path(old), True)
