@@ -43,7 +43,7 @@ def pair_features(pairs: DataFrame, which: list[str] = EIGHTEEN) -> DataFrame:
     """
     n1, n2 = T.present("name1"), T.present("name2")
     rows = pairs.withColumn("_m", S.edit_measures(n1, n2))
-    wide = which is EIGHTEEN
+    wide = list(which) == EIGHTEEN
     words = A.feature_tokens if wide else _words
     t1, t2 = words("address1"), words("address2")
     state = [F.col(f"state{i}") if f"state{i}" in pairs.columns else A.us_state(f"address{i}") for i in (1, 2)]

@@ -102,14 +102,17 @@ def jaro_winkler(a: str, b: str) -> float:
 
 
 def common_substring(a: str, b: str) -> int:
-    """Length of the longest common substring."""
-    best, row = 0, [0] * (len(b) + 1)
-    for c in a:
-        above = 0
-        for j, d in enumerate(b, 1):
-            above, row[j] = row[j], above + 1 if c == d else 0
-            best = max(best, row[j])
-    return best
+    """Length of the longest common substring: if one of some length is shared, so are shorter ones, so the length is
+    halved in on."""
+    least, most = 0, min(len(a), len(b))
+    while least < most:
+        n = (least + most + 1) // 2
+        parts = {a[i : i + n] for i in range(len(a) - n + 1)}
+        if any(b[i : i + n] in parts for i in range(len(b) - n + 1)):
+            least = n
+        else:
+            most = n - 1
+    return least
 
 
 def substring_ratio(a: str, b: str) -> float:

@@ -38,8 +38,8 @@ def exact_tier(s1: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def pool(s1: DataFrame, targets: DataFrame, postal: int = 15, per_token: int = 10, rare: tuple[int, int] = (2, 4000), most: int = 20) -> DataFrame:
-    """s1_id, target_id of records that share the postal code or one of the first three rare address tokens; an S1 with
-    more than `most` of them has none: it says too little."""
+    """s1_id, target_id of records that share the postal code or one of the S1's first three address tokens, in alphabetical
+    order, if it is rare; an S1 with more than `most` of them has none: it says too little."""
     side = lambda df: df.select("entity_id", "ord", F.lower(K.country_of()).alias("land"), A.last_postal("address").alias("postal"), A.address_tokens("address").alias("words"))
     left, right = side(s1), side(targets)
     by_code = Window.partitionBy("land", "postal").orderBy("ord", "entity_id")

@@ -5,6 +5,7 @@ Records are those of plans.entities; keys have their own caps.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -29,7 +30,12 @@ R33 = ranking.PRODUCTION
 
 def query(name: str, sql: str | None = None):
     def register(f):
-        QUERIES[name] = f
+        @functools.wraps(f)
+        def run(spark, d):
+            with E.staging():
+                return f(spark, d)
+
+        QUERIES[name] = run
         if sql:
             ORACLE_SQL[name] = sql
         return f
@@ -125,7 +131,8 @@ for _k in keys.KEYS:
 
 
 def _evidence(spark, d):
-    return blocking.evidence(*E.sides(spark, d), keys.PRODUCTION, {k: v for k, v in CAPS.items() if k != "h"})
+    caps = {k: v for k, v in CAPS.items() if k != "h"}
+    return E.staged(f"evidence:{d}", lambda: blocking.evidence(*E.sides(spark, d), keys.PRODUCTION, caps))
 
 
 _CAPS = {k: v for k, v in CAPS.items() if k != "h"}
@@ -601,7 +608,7 @@ def training_negatives(spark, d):
 
 @query("classifier_scores")
 def classifier_scores(spark, d):
-    rows = sampling.holdout(_labelled(spark, d))
+    rows = E.staged(f"labelled:{d}", lambda: sampling.holdout(_labelled(spark, d)))
     models = learning.train(rows.filter(~F.col("held_out")), models={"boosted": learning.boosted(depth=3, rounds=5), "logistic": learning.ensemble()["logistic"]})
     return learning.score(rows, models, {"boosted": 0.6, "logistic": 0.4}).select("s1_id", "target_id", "label", "held_out", "p")
 

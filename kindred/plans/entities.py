@@ -7,15 +7,44 @@ truly matches.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kindred.sources import scratch
+
 #: Stand-ins for countries, and words that stand for places, so that country rules and gazetteers have work to do.
 LANDS = {"en": "us", "fr": "france", "de": "india"}
 PLACES_FRANCE = ["de", "la", "le", "les", "des", "un", "une", "et", "en", "que"]
 PLACES_INDIA = ["der", "die", "das", "und", "den", "ist", "von", "zu", "mit", "ein"]
 
 
+_memo: ContextVar[dict[str, DataFrame] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def staging() -> Iterator[None]:
+    """While a query is put together, staged() writes each table once."""
+    token = _memo.set({})
+    try:
+        yield
+    finally:
+        _memo.reset(token)
+
+
+def staged(name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The table that make() gives; where several branches of a query read it, written to the shared folder once."""
+    known = _memo.get()
+    if known is None:
+        return make()
+    if name not in known:
+        known[name] = scratch.materialize(make(), name.partition(":")[0])
+    return known[name]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -38,7 +67,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """S1 records, and those of S2 and S3."""
-    rows = records(spark, sf_dir)
+    rows = staged(f"records:{sf_dir}", lambda: records(spark, sf_dir))
     return rows.filter("source = 'S1'"), rows.filter("source <> 'S1'")
 
 
