@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from kindred.llm import common, langid, mixing, ngram_join, packing, queries, toxicity
 
-#: No DuckDB SQL: the first two stages are trained models and the last needs token ids; tests hold every stage against
-#: a brute-force version.
+#: No DuckDB SQL: the first two stages are trained models and the last needs token ids. Tests hold the models against plain
+#: computations, the other stages against brute force, and the stages against what the models say of each document.
 ORACLE_SQL = None
 #: Texts that share less with every language's profile are not prose of any of them.
 LEAST_LANGUAGE_SCORE = 0.25

@@ -71,9 +71,17 @@ def ascii_fold(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else t if t.isascii() else fold(t))
 
 
+# What a business name is freed of.
+TRADE_NAME = r"(?i)(?:\b(?:dba|trading as|t/a|c/o)\b|\bd\.b\.a\.)\s*"
+METADATA = r"(?i)[(\[{](?:id|branch|division|code|store|ref)[\s:]*[\w\s]+[)\]}]"
+DOMAIN_ENDING = r"(?i)\.(?:com|org|net|in|us|fr|co|biz|info)\b"
+HONORIFIC = r"(?i)^(?:mr|mrs|ms|shri|smt|m/s|messrs|dr|prof|the)\b\s*"
+INNER_DOT = r"(?<=\w)\.(?=\w)"
+
+
 def clean_name_enhanced(c: Column | str) -> Column:
     """Diacritics folded, dots between word characters dropped, then as clean_name. [ST9]"""
-    return clean_name(F.regexp_replace(ascii_fold(present(c)), r"(?<=\w)\.(?=\w)", ""))
+    return clean_name(F.regexp_replace(ascii_fold(present(c)), INNER_DOT, ""))
 
 
 def super_clean_name(c: Column | str) -> Column:
@@ -81,13 +89,11 @@ def super_clean_name(c: Column | str) -> Column:
 
     `d.b.a. ` is understood as well, where a word boundary after its last dot could never be.
     """
-    text = ascii_fold(present(c))
-    text = F.element_at(F.split(text, r"(?i)(?:\b(?:dba|trading as|t/a|c/o)\b|\bd\.b\.a\.)\s*"), -1)
-    text = F.regexp_replace(text, r"(?i)[(\[{](?:id|branch|division|code|store|ref)[\s:]*[\w\s]+[)\]}]", " ")
-    text = F.regexp_replace(text, r"(?i)\.(?:com|org|net|in|us|fr|co|biz|info)\b", " ")
-    text = F.regexp_replace(F.trim(text), r"(?i)^(?:mr|mrs|ms|shri|smt|m/s|messrs|dr|prof|the)\b\s*", "")
-    text = F.regexp_replace(text, r"(?<=\w)\.(?=\w)", "")
-    return clean_name(text, vocab.SUFFIXES_SUPER)
+    text = F.element_at(F.split(ascii_fold(present(c)), TRADE_NAME), -1)
+    for pattern in (METADATA, DOMAIN_ENDING):
+        text = F.regexp_replace(text, pattern, " ")
+    text = F.regexp_replace(F.trim(text), HONORIFIC, "")
+    return clean_name(F.regexp_replace(text, INNER_DOT, ""), vocab.SUFFIXES_SUPER)
 
 
 def condensed(c: Column | str) -> Column:

@@ -310,8 +310,7 @@ def _feature_query(name: str, which: list[str]) -> None:
     query(name)(lambda spark, d: FV.pair_features(_pairs(spark, d), which).select("s1_id", "target_id", *which))
 
 
-for _n, _w in {"features_6": FV.SIX, "features_10": FV.TEN, "features_16": FV.SIXTEEN, "features_18": FV.EIGHTEEN}.items():
-    _feature_query(_n, _w)
+_feature_query("features_18", FV.EIGHTEEN)
 
 
 @query("pair_diagnostics")

@@ -57,13 +57,10 @@ def _land(names: str) -> str:
 # -- names -----------------------------------------------------------------------------------------------------------
 
 _FOLD = r"regexp_replace(strip_accents(name), '[^\x00-\x7F]', '', 'g')"
-_SUPER = rf"""regexp_split_to_array({_FOLD}, '(?i)(?:\b(?:dba|trading as|t/a|c/o)\b|\bd\.b\.a\.)\s*')[-1]"""
-for _p, _r in (
-    (r"(?i)[(\[{](?:id|branch|division|code|store|ref)[\s:]*[\w\s]+[)\]}]", " "),
-    (r"(?i)\.(?:com|org|net|in|us|fr|co|biz|info)\b", " "),
-):
-    _SUPER = f"regexp_replace({_SUPER}, '{_p}', '{_r}', 'g')"
-_SUPER = rf"regexp_replace(trim({_SUPER}), '(?i)^(?:mr|mrs|ms|shri|smt|m/s|messrs|dr|prof|the)\b\s*', '', 'g')"
+_SUPER = f"regexp_split_to_array({_FOLD}, '{T.TRADE_NAME}')[-1]"
+for _p in (T.METADATA, T.DOMAIN_ENDING):
+    _SUPER = f"regexp_replace({_SUPER}, '{_p}', ' ', 'g')"
+_SUPER = f"regexp_replace(trim({_SUPER}), '{T.HONORIFIC}', '', 'g')"
 
 
 def _closed(x: str) -> str:

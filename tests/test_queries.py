@@ -12,7 +12,7 @@ from kindred.functions import anchors as N
 from kindred.functions import features as FV
 from kindred.functions import similarity as S
 from kindred.functions import text as T
-from kindred.operators import failures, metrics, ranking, validate
+from kindred.operators import failures, learning, metrics, ranking, sampling, validate
 from kindred.plans import catalogue as C
 from kindred.plans import entities as E
 from kindred.sources import scratch, tsv
@@ -143,3 +143,12 @@ def test_bake_off_of_nothing(spark):
 
 def test_no_query_names_a_folder_of_this_machine():
     assert not [n for n, sql in __spark_entry__.oracle_sql().items() if re.search(r"/(tmp|root)/", sql)]
+
+
+def test_boosting_that_stops(spark):
+    rows = [(f"S1-{i % 50}", float(i * 7919 % 101), float(i * 31 % 17), int(i * 104729 % 1009 % 2)) for i in range(300)]
+    df = spark.createDataFrame(rows, "s1_id string, a double, b double, label int")
+    df = sampling.holdout(learning.weighted(df)).withColumnRenamed("held_out", "validation")
+    model = learning.train(df, ["a", "b"], {"x": learning.stopping(rounds=15)})
+    assert model["x"].stages[-1].getNumTrees < 15  # nothing follows from a and b
+    assert all(0 <= r["p"] <= 1 for r in learning.score(df, model).collect())
