@@ -162,15 +162,21 @@ def train(
         return Model(np.zeros(BUCKETS, np.float32), math.log(share / (1 - share)))
     rng = np.random.default_rng(seed)
     # Buckets that occur are numbered anew, so that what training touches lies together.
-    used = np.unique(np.concatenate([ids for ids, _ in bags]))
+    occurs = np.zeros(BUCKETS, bool)
+    for ids, _ in bags:
+        occurs[ids] = True
+    used, place = np.flatnonzero(occurs), np.cumsum(occurs, dtype=np.int32) - 1
     marks, batches = np.array(labels), []
     order = rng.permutation(len(bags))
     for lo in range(0, len(order), BATCH):
         chosen = order[lo : lo + BATCH]
         ids = np.concatenate([bags[i][0] for i in chosen])
-        touched, at = np.unique(np.searchsorted(used, ids).astype(np.int32), return_inverse=True)
-        doc = np.repeat(np.arange(len(chosen), dtype=np.uint8), [len(bags[i][0]) for i in chosen])
-        batches.append((marks[chosen], touched, at.astype(np.int32), doc, np.concatenate([bags[i][1] for i in chosen])))
+        touched, at = np.unique(place[ids], return_inverse=True)
+        sizes = [len(bags[i][0]) for i in chosen]
+        w = np.concatenate([bags[i][1] for i in chosen])
+        batches.append((marks[chosen], touched, at.astype(np.min_scalar_type(len(touched))), sizes, w))
+        for i in chosen:
+            bags[i] = None
     bags.clear()
     embedding = rng.uniform(-1 / DIM, 1 / DIM, (len(used), DIM)).astype(np.float32)
     softmax, bias = rng.normal(0, 0.3, (2, DIM)).astype(np.float32), np.zeros(2, np.float32)
@@ -178,8 +184,8 @@ def train(
     weight = np.array([len(labels) / (2 * (len(labels) - positive)), len(labels) / (2 * positive)])
     for _ in range(epochs):
         for i in rng.permutation(len(batches)).tolist():
-            classes, touched, at, doc, w = batches[i]
-            mean = np.zeros((len(classes), len(touched)), np.float32)
+            classes, touched, at, sizes, w = batches[i]
+            mean, doc = np.zeros((len(classes), len(touched)), np.float32), np.repeat(np.arange(len(classes)), sizes)
             mean[doc, at] = SCALE * w
             rows = embedding[touched]
             hidden = mean @ rows
