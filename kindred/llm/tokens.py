@@ -20,7 +20,7 @@ import regex
 #: The alphabet whose character classes are the same in every Unicode version in use; other texts go through whole.
 USUAL = [chr(i) for i in (*range(0x250), *range(0x2010, 0x2028), 0x20AC)]
 #: About 200 bytes each, for as long as a Python worker lives.
-CACHE_PIECES = 520_000
+CACHE_PIECES = 340_000
 
 
 def _members(prop: str) -> str:

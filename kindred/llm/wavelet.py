@@ -31,7 +31,7 @@ from kindred.llm import common, storage, tokens
 
 MAGIC = b"KWM2"
 #: Ids at which a shard is closed; its last document may exceed it.
-SHARD_IDS = 1 << 22
+SHARD_IDS = 1 << 21
 CHUNK = 1 << 16
 #: Of zstd; planes of ids are half random, stronger levels gain little.
 LEVEL = 1
