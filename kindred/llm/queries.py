@@ -89,8 +89,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read_table(spark, sf_dir, "documents")
     manifest = wavelet.write_shards(docs, common.scratch_path(spark, "wavelet"), tokenizer_path())
-    read = wavelet.read_shards(manifest).withColumn("ids_crc32", F.crc32("ids"))
-    return read.select("doc_id", "start", "n_tokens", "ids_crc32")
+    return wavelet.read_shards(manifest, ids=False)
 
 
 QUERIES = {

@@ -17,6 +17,7 @@ import io
 import json
 import struct
 import uuid
+import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 from typing import BinaryIO
@@ -301,11 +302,13 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
     )
 
 
-def read_shards(manifest: DataFrame) -> DataFrame:
-    """The documents of shard files: doc_id, start (ids of all documents before it), n_tokens, ids (binary)."""
-    schema = "doc_id long, start long, n_tokens long, ids binary"
-    names = ["doc_id", "start", "n_tokens", "ids"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+def read_shards(manifest: DataFrame, ids: bool = True) -> DataFrame:
+    """The documents of shard files: doc_id, start (ids of all documents before it), n_tokens, and ids (binary) or, without
+    them, their checksum ids_crc32, so that ids that are only to be compared don't leave the task that reads them."""
+    last = ("ids", "binary", pa.binary()) if ids else ("ids_crc32", "long", pa.int64())
+    schema = f"doc_id long, start long, n_tokens long, {last[0]} {last[1]}"
+    names = ["doc_id", "start", "n_tokens", last[0]]
+    types = [pa.int64(), pa.int64(), pa.int64(), last[2]]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(rows: list[tuple]) -> pa.RecordBatch:
@@ -317,10 +320,10 @@ def read_shards(manifest: DataFrame) -> DataFrame:
             for uri, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 rows, size = [], 0
                 with storage.open_seekable(uri) as file:
-                    for doc, lo, ids in Shard(file).documents():
-                        rows.append((doc, base + lo, len(ids) // 4, ids))
-                        size += len(ids)
-                        if size >= 4 << 20:
+                    for doc, lo, raw in Shard(file).documents():
+                        rows.append((doc, base + lo, len(raw) // 4, raw if ids else zlib.crc32(raw)))
+                        size += len(raw) if ids else 100
+                        if size >= 1 << 20:
                             yield flush(rows)
                             rows, size = [], 0
                 if rows:
