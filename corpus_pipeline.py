@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import common, langid, mixing, ngram_join, packing, queries, toxicity
+from kindred.llm import common, langid, mixing, ngram_join, packing, queries, tokens, toxicity
 
 #: No DuckDB SQL: the first two stages are trained models and the last needs token ids. Tests hold the models against plain
 #: computations, the other stages against brute force, and the stages against what the models say of each document.
@@ -48,7 +48,7 @@ def stage_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def stage_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 2048 ids, as in op5: doc_id, start, length, ids_crc32, doc_tokens, sequence_id,
     offset."""
-    return queries.packed_digest(docs)
+    return queries.packed_digest(docs, tokens.CACHE_PIECES_SHARED)
 
 
 STAGES = [

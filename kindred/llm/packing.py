@@ -78,16 +78,18 @@ def best_fit_decreasing(lengths: np.ndarray, window: int = WINDOW) -> tuple[np.n
     return seq, off, n
 
 
-def cut(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = WINDOW) -> DataFrame:
+def cut(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = WINDOW, cache: int = tokens.CACHE_PIECES) -> DataFrame:
     """Pieces of at most window ids of every row: doc_id, start, length, doc_tokens, ids (little-endian 32-bit).
 
-    A null or empty text is the end id alone; a row repeated is cut each time; null ids stay null.
+    A null or empty text is the end id alone; a row repeated is cut each time; null ids stay null. cache is how many
+    pieces of texts a worker remembers.
     """
     names = ["doc_id", "start", "length", "doc_tokens", "ids"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = tokens.tokenizer(tokenizer), np.array([end_id], "<u4").tobytes()
+        common.release_memory()
+        encoder, end = tokens.tokenizer(tokenizer, cache), np.array([end_id], "<u4").tobytes()
 
         def flush(rows: list[tuple]) -> pa.RecordBatch:
             cols = zip(*rows, strict=True)

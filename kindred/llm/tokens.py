@@ -21,6 +21,8 @@ import regex
 USUAL = [chr(i) for i in (*range(0x250), *range(0x2010, 0x2028), 0x20AC)]
 #: About 200 bytes each, for as long as a Python worker lives.
 CACHE_PIECES = 520_000
+#: Where workers live beside what earlier stages have left.
+CACHE_PIECES_SHARED = 130_000
 
 
 def _members(prop: str) -> str:
@@ -89,6 +91,6 @@ class PieceTokenizer(dict):
 
 
 @lru_cache(maxsize=2)
-def tokenizer(path: str) -> PieceTokenizer:
+def tokenizer(path: str, cache: int = CACHE_PIECES) -> PieceTokenizer:
     """One tokenizer and cache for each Python worker."""
-    return PieceTokenizer(path)
+    return PieceTokenizer(path, cache)
