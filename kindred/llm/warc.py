@@ -30,6 +30,8 @@ LINE = re.compile(rb"WARC/1\.[01]\r\n")
 LEAST_REVISIT = 100
 #: An archive is closed and the next begun when it holds this many compressed bytes.
 ARCHIVE_BYTES = 16 << 20
+#: Compressed bytes that a reader hands to zlib at once: what lies behind a member's end in them is copied.
+READ_BYTES = 16 << 10
 
 
 @dataclass
@@ -139,14 +141,16 @@ def parse_record(raw: bytes, at: int = 0) -> tuple[Record, int]:
 
 
 def _member(data: bytes, at: int) -> tuple[bytes, int]:
-    z = zlib.decompressobj(31)
+    z, view, raw = zlib.decompressobj(31), memoryview(data), []
     try:
-        raw = z.decompress(memoryview(data)[at:])
+        while not z.eof and at < len(data):
+            raw.append(z.decompress(view[at : at + READ_BYTES]))
+            at = min(at + READ_BYTES, len(data))
     except zlib.error as e:
         raise ValueError("gzip member") from e
     if not z.eof:
         raise ValueError("gzip end")
-    return raw, len(data) - len(z.unused_data)
+    return b"".join(raw), at - len(z.unused_data)
 
 
 def read_archive(data: bytes, salvage: Salvage | None = None) -> Iterator[Record]:

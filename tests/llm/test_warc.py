@@ -21,6 +21,32 @@ def test_round_trip_of_records():
     assert [r.payload for r in read] == payloads and salvage.gaps == []
 
 
+def test_reading_is_linear_in_the_archive(monkeypatch):
+    """zlib keeps a copy of what it is given beyond a member's end: it must not be given the rest of the archive."""
+    fed = 0
+
+    class Counting:
+        def __init__(self, wbits):
+            self.z = real(wbits)
+
+        def decompress(self, part):
+            nonlocal fed
+            fed += len(part)
+            return self.z.decompress(part)
+
+        def __getattr__(self, name):
+            return getattr(self.z, name)
+
+    real = warc.zlib.decompressobj
+    rng = random.Random(2)
+    payloads = [rng.randbytes(n) for n in (100, 70_000, *[2000] * 400, 50_000)]
+    data = b"".join(archive(payloads))
+    monkeypatch.setattr(warc.zlib, "decompressobj", Counting)
+    salvage = warc.Salvage()
+    assert [r.payload for r in warc.read_archive(data, salvage)] == payloads and salvage.gaps == []
+    assert fed <= len(data) + len(payloads) * (16 << 10)
+
+
 def test_damage_loses_only_what_it_hits():
     rng = random.Random(1)
     payloads = [rng.randbytes(300) for _ in range(8)]
