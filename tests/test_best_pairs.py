@@ -1,12 +1,15 @@
 """The best targets found in cells of classes, against a ranking of the evidence of all pairs."""
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__
 from kindred.operators import best_pairs, blocking, keys, ranking
 
+SF = "/root/testdata/sf0.001"
 CAPS = {"d": 4, "f": 30, "g": 3, "i": 3}
 
 
@@ -63,3 +66,20 @@ def test_only_the_best_of_a_common_key_leave_a_task():
     found = best_pairs.best_of_bin(left, right, ("a", "b"), bits, place, 25)
     assert found.num_rows == 400 * 25
     assert set(found["target_class"].to_pylist()) == set(sorted(f"S2-{i}" for i in range(1000))[:25])
+
+
+@pytest.mark.parametrize("name", ["gated_scores"])
+def test_query_lists_no_pairs(spark, monkeypatch, name):
+    """The query has the result of its SQL without evidence between all classes."""
+
+    def listed(*args, **kwargs):
+        raise AssertionError("all pairs are listed")
+
+    monkeypatch.setattr(blocking, "classes", listed)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    df = __spark_entry__.queries()[name](spark, SF)
+    found = con.execute(__spark_entry__.oracle_sql()[name])
+    at = [c[0] for c in found.description]
+    expected = spark.createDataFrame(found.fetchall(), df.select(*at).schema)
+    assert sorted(map(str, df.select(*at).collect())) == sorted(map(str, expected.collect()))
