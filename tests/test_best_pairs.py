@@ -68,7 +68,7 @@ def test_only_the_best_of_a_common_key_leave_a_task():
     assert set(found["target_class"].to_pylist()) == set(sorted(f"S2-{i}" for i in range(1000))[:25])
 
 
-@pytest.mark.parametrize("name", ["gated_scores", "macro_f05", "macro_f05_by_country", "micro_scores"])
+@pytest.mark.parametrize("name", ["gated_scores", "macro_f05", "macro_f05_by_country", "micro_scores", "multi_match"])
 def test_query_lists_no_pairs(spark, monkeypatch, name):
     """The query has the result of its SQL without evidence between all classes."""
 
