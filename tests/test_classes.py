@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from kindred.operators import blocking, graph, keys, metrics, ranking, validate
+from kindred.operators import blocking, graph, keys, metrics, multilingual, ranking, validate
 
 SF = "/root/testdata/sf0.001"
 CAPS = {"d": 4, "f": 3, "g": 3, "i": 3}
@@ -73,3 +73,13 @@ def test_query_of_classes_against_sql(spark, name):
     at = [c[0] for c in found.description]
     assert sorted(at) == sorted(df.columns)
     assert sorted(map(str, df.select(*at).collect())) == sorted(map(str, df.sparkSession.createDataFrame(found.fetchall(), df.select(*at).schema).collect()))
+
+
+def test_pairs_of_a_common_name_are_written_by_several_tasks(spark, sides, plain, monkeypatch):
+    monkeypatch.setattr(blocking, "PART", 5)
+    found = multilingual.classes_with_fallback(blocking.classes(*sides, ("a", "d"), {"d": 4}))
+    every = plain.filter("has_a").select("s1_id", "target_id"), plain.filter("has_d").select("s1_id", "target_id")
+    expected = multilingual.with_fallback(*every)
+    assert rows(found, "s1_id", "target_id") == rows(expected, "s1_id", "target_id")
+    written = [r["n"] for r in found.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert max(written) < sum(written) * 0.6
