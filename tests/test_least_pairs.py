@@ -1,5 +1,6 @@
 """Negatives drawn in cells of keys, against those drawn from a list of all pairs."""
 
+import functools
 import hashlib
 
 import duckdb
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from kindred.operators import best_pairs, blocking, keys, least_pairs, sampling
+from kindred.operators import best_pairs, blocking, keys, learning, least_pairs, sampling
 
 SF = "/root/testdata/sf0.001"
 CAPS = {"d": 4, "f": 30, "g": 3, "i": 3}
@@ -65,8 +66,23 @@ def test_query_lists_no_pairs(spark, monkeypatch, name):
         raise AssertionError("all pairs were listed")
 
     monkeypatch.setattr(blocking.Classes, "members", never)
+    monkeypatch.setattr(learning, "boosted", functools.partial(learning.boosted, rounds=2))
     df = __spark_entry__.queries()[name](spark, SF)
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
     drawn = df.filter("label = 0") if "label" in df.columns else df
     assert rows(drawn) == sorted(con.execute(f"SELECT s1_id, target_id FROM ({__spark_entry__.oracle_sql()['training_negatives']})").fetchall())
+
+
+def test_classifier_scores_boosts_as_ml1_says(spark, monkeypatch):
+    class Asked(Exception):
+        pass
+
+    def ask(rows, models):
+        raise Asked(models["boosted"])
+
+    monkeypatch.setattr(learning, "train", ask)
+    with pytest.raises(Asked) as asked:
+        __spark_entry__.queries()["classifier_scores"](spark, SF)
+    model = asked.value.args[0]
+    assert (model.getMaxIter(), model.getMaxDepth(), model.getStepSize()) == (100, 6, 0.1)
