@@ -6,7 +6,7 @@ training has not met shares most n-grams with its word. As all is linear, a trai
 and a text's log odds are the mean of its words' numbers plus a bias: scoring reads each word once.
 
 It is fitted on at most `sample` toxic documents and three times as many clean ones, those with the least hashes of
-their ids. Their bags are made in tasks; of these only buckets that several documents have come to the driver.
+their ids. Their bags are made in tasks; of these only buckets that several documents have come to the task that learns.
 """
 
 from __future__ import annotations
@@ -243,8 +243,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 9)
     """Train on labelled documents: docs (doc_id, text), labels (doc_id, toxic).
 
     Null ids and labels are left out; a document labelled both ways is toxic, and of rows that repeat an id one is read.
-    At most `sample` documents a class, the clean ones three times as many, are read, and come to the driver as bags of
-    at most BUCKETS numbers.
+    At most `sample` documents a class, the clean ones three times as many, are read, and come to one task as bags of at
+    most BUCKETS numbers.
     """
     marked = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     marked = marked.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
@@ -252,14 +252,23 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 9)
     chosen = hashed.filter("toxic = 1").orderBy("_h").limit(sample)
     chosen = chosen.union(hashed.filter("toxic = 0").orderBy("_h").limit(3 * sample)).select("doc_id", "toxic")
     rows = bags_of(docs.withColumn("doc_id", F.col("doc_id").cast("long")), chosen)
-    bags, marks = [], []
-    for r in rows.orderBy("doc_id").toLocalIterator(prefetchPartitions=False):
-        bags.append((np.frombuffer(r["ids"], np.int32), np.frombuffer(r["w"], np.float32)))
-        marks.append(r["toxic"])
-    model = train(bags, marks, seed=seed)
-    del bags
-    common.release_memory()
-    return model
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bags, marks, ids = [], [], []
+        for batch in batches:
+            for doc, toxic, *bag in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                ids.append(doc)
+                marks.append(toxic)
+                bags.append((np.frombuffer(bag[0], np.int32), np.frombuffer(bag[1], np.float32)))
+        order = np.argsort(np.array(ids, np.int64), kind="stable").tolist()
+        bags, marks = [bags[i] for i in order], [marks[i] for i in order]
+        model = train(bags, marks, seed=seed)
+        yield pa.RecordBatch.from_arrays([pa.array([model.numbers.tobytes()], pa.binary()), pa.array([model.bias])], names=["numbers", "bias"])
+        common.release_memory()
+
+    # One task learns from the sample: the driver, which has the least memory, gets the model alone.
+    found = rows.repartition(1).mapInArrow(learn, "numbers binary, bias double").first()
+    return Model(np.frombuffer(found["numbers"], np.float32), found["bias"]) if found else train([], [])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -1,7 +1,9 @@
 import math
+import os
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from kindred.llm import langid, queries, toxicity
@@ -168,3 +170,13 @@ def test_held_out_accuracy(spark):
     rows = [r for r in queries.op1_language_id(spark, sf).collect() if r["held_out"]]
     assert len(rows) > 200 and sum(r["lang_pred"] == docs[r["doc_id"]] for r in rows) >= 0.97 * len(rows)
     assert {r["predicted"] for r in queries.op9_toxicity(spark, sf).collect()} <= {0, 1}
+
+
+def test_a_task_learns_and_the_driver_does_not(spark, monkeypatch):
+    rows = toxic_docs(random.Random(8), 300, ["vormulik", "zuxtrapo", "kwynzzle"])
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    here = os.getpid()
+    monkeypatch.setattr(toxicity, "train", lambda *_, **__: toxicity.Model(np.zeros(toxicity.BUCKETS, np.float32), float(os.getpid())))
+    model = toxicity.fit(docs, labels)
+    assert model.bias != here and len(model.numbers) == toxicity.BUCKETS
